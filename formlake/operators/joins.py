@@ -33,6 +33,24 @@ from formlake.session import (
 MAX_SALTS = 65_536
 _SALT, _SALTS, _N = "__salt", "__salts", "__n"
 
+# Lookups persisted by the joins below (so the size check and the join share one
+# computation). A job driver calls ``release_lookups()`` once the results are written.
+_PERSISTED: list[DataFrame] = []
+
+
+def _persist(df: DataFrame) -> DataFrame:
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(df)
+    return df
+
+
+def release_lookups() -> int:
+    """Unpersist every lookup cached by these joins; returns how many were released."""
+    n = len(_PERSISTED)
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist(blocking=False)
+    return n
+
 
 def bounded_count(df: DataFrame, limit: int) -> int | None:
     """Row count of ``df`` if it is at most ``limit``, else None (reads at most limit+1 rows)."""
@@ -68,7 +86,7 @@ def lookup_join(
     out_cols = big.columns + extra
     max_rows = broadcast_limit(big, max_broadcast_rows)
 
-    lookup = lookup.persist(StorageLevel.MEMORY_AND_DISK)
+    lookup = _persist(lookup)
     if bounded_count(lookup, max_rows) is not None:
         return big.join(F.broadcast(lookup), keys, how).select(*out_cols)
 
@@ -78,8 +96,8 @@ def lookup_join(
     hot = (
         key_counts.filter(F.col(_N) > per_task)
         .select(*keys, F.least(F.ceil(F.col(_N) / F.lit(per_task)), F.lit(MAX_SALTS)).cast("int").alias(_SALTS))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    hot = _persist(hot)
     n_hot = bounded_count(hot, max_rows)
     if n_hot == 0 or n_hot is None:
         # nothing hot (or, beyond any realistic size, too many hot keys to list):

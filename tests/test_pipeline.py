@@ -1,0 +1,74 @@
+"""The daily batch and its streaming trigger over a small lake built from the fixtures."""
+
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from formlake import constants as K
+from formlake.operators import signals as S
+from formlake.plans.pipeline import INDEX_TEXTS, run_dates
+from formlake.sources import fixtures as fx
+from formlake.sources import render
+from formlake.sources.lake import read_table, trades_view
+from formlake.schemas import SIGNALS
+from formlake.streaming import start_filings_stream
+from tests.conftest import SF_SMALL
+
+
+def busiest_days(spark, n):
+    rows = fx.raw_trades(spark, SF_SMALL).groupBy("filing_date").count().orderBy(F.desc("count"), "filing_date").limit(n)
+    return [r.filing_date for r in rows.collect()]
+
+
+def land(spark, root, days):
+    """Write one filing text per filing and one index text per day (test input only)."""
+    raw = fx.raw_trades(spark, SF_SMALL).filter(F.col("filing_date").isin(days))
+    for r in render.render_filings(raw).collect():
+        folder = os.path.join(root, K.TABLE_FILINGS, r.filing_date.isoformat())
+        os.makedirs(folder, exist_ok=True)
+        with open(os.path.join(folder, r.file_name), "w") as f:
+            f.write(r.content)
+    idx = fx.index_rows(spark, SF_SMALL).filter(F.col("date_filed").isin(days))
+    os.makedirs(os.path.join(root, INDEX_TEXTS), exist_ok=True)
+    for r in render.render_index_texts(idx, texts_per_day=1).collect():
+        day = r.path.split(".")[1]
+        with open(os.path.join(root, INDEX_TEXTS, f"master.{day}.idx"), "w") as f:
+            f.write(r.value)
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_run_dates_end_to_end(spark, tmp_root):
+    days = busiest_days(spark, 3)
+    land(spark, tmp_root, days)
+    report = run_dates(spark, tmp_root, days, fx.fundamentals_raw(spark, SF_SMALL))
+    expected = fx.trades(spark, SF_SMALL).filter(F.col("filing_date").isin(days))
+    assert rows(trades_view(spark, tmp_root)) == rows(expected)
+    assert report["trades"]["rows"] == expected.count()
+    buys = read_table(spark, tmp_root, K.TABLE_BUY_SIGNALS, SIGNALS)
+    assert rows(buys) == rows(S.buy_signals(expected))
+    assert report["index"]["rows"] > 0 and report["download_plan"] is not None
+    # every index row of these days whose file landed is not planned again
+    plan = read_table(spark, tmp_root, "raw/download_plan", spark.read.parquet(report["download_plan"]["path"]).schema)
+    assert plan.count() <= report["index"]["rows"]
+    assert set(report["elite"]) <= {d.isoformat() for d in days}
+
+
+def test_stream_builds_new_days_once(spark, tmp_root):
+    days = busiest_days(spark, 3)
+    land(spark, tmp_root, days[:2])
+    ckpt = os.path.join(tmp_root, "_stream")
+    seen = []
+    q = start_filings_stream(spark, tmp_root, checkpoint=ckpt, on_batch=lambda e, r: seen.append(r["days"]))
+    q.awaitTermination(300)
+    assert sorted(d for b in seen for d in b) == sorted(d.isoformat() for d in days[:2])
+    land(spark, tmp_root, days[2:])
+    seen.clear()
+    q = start_filings_stream(spark, tmp_root, checkpoint=ckpt, on_batch=lambda e, r: seen.append(r["days"]))
+    q.awaitTermination(300)
+    assert seen == [[days[2].isoformat()]]
+    expected = fx.trades(spark, SF_SMALL).filter(F.col("filing_date").isin(days))
+    assert rows(trades_view(spark, tmp_root)) == rows(expected)
