@@ -40,3 +40,18 @@ def sell_reason(title: Column, total: Column, cluster_size: Column) -> Column:
         F.when(total > K.WHALE_DUMP_ABOVE, F.lit(K.REASON_WHALE)),
         F.when(cluster_size > 1, F.concat(F.lit(before), cluster_size.cast("string"), F.lit(after))),
     )
+
+
+def dollars0(value: Column) -> Column:
+    """'$1,235' (display format of totals)."""
+    return F.concat(F.lit("$"), F.format_number(value, 0))
+
+
+def dollars2(value: Column) -> Column:
+    """'$12.35' (display format of prices; no thousands separator)."""
+    return F.concat(F.lit("$"), F.format_string("%.2f", value))
+
+
+def fixed1(value: Column) -> Column:
+    """'12.3' (display format of ratios)."""
+    return F.format_string("%.1f", value)

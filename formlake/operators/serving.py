@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formlake import constants as K
-from formlake.functions.display import dip_text, marker_label, sell_reason
+from formlake.functions.display import dip_text, dollars0, dollars2, fixed1, marker_label, sell_reason
 
 
 def _top(df: DataFrame, descending: list[str], limit: int) -> DataFrame:
@@ -164,3 +164,38 @@ def price_overlay(prices: DataFrame, explorer: DataFrame, ticker: str, as_of: st
 def projected_price(df: DataFrame) -> DataFrame:
     """``ticker`` and ``price * 1.1`` (the setup smoke check)."""
     return df.select("ticker", (F.col("price") * 1.1).alias("projected_price"))
+
+
+# --- optional display projections (run on the k rows of a report) ---------------------
+
+
+def elite_buys_display(elite: DataFrame) -> DataFrame:
+    """Totals as '$1,234' and P/E as '12.3'."""
+    return elite.withColumn("total_value", dollars0(F.col("total_value"))).withColumn("pe_ratio", fixed1(F.col("pe_ratio")))
+
+
+SELL_DISPLAY_COLUMNS = [
+    "filing_date", "ticker", "owner_name", "owner_title", "total_value_aggregated", "conviction_score", "signal_context",
+]
+
+
+def sell_rollup_display(rollup: DataFrame) -> DataFrame:
+    """The seven shown columns, totals as '$1,234'."""
+    return rollup.select(*SELL_DISPLAY_COLUMNS).withColumn(
+        "total_value_aggregated", dollars0(F.col("total_value_aggregated"))
+    )
+
+
+def explorer_display(explorer: DataFrame) -> DataFrame:
+    """Totals as '$1,234', prices as '$12.34'."""
+    return explorer.withColumn("total_value", dollars0(F.col("total_value"))).withColumn(
+        "price_per_share", dollars2(F.col("price_per_share"))
+    )
+
+
+def explorer_metrics_display(metrics: DataFrame) -> DataFrame:
+    """'1,234' visible trades and an average like '$12,345' (null when nothing is visible)."""
+    return metrics.select(
+        F.format_number(F.col("visible_trades"), 0).alias("visible_trades"),
+        dollars0(F.col("avg_trade_size")).alias("avg_trade_size"),
+    )
