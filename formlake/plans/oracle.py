@@ -173,6 +173,9 @@ fx_landed AS (
 )""",
         "SELECT * FROM fx_targets t WHERE NOT EXISTS (SELECT 1 FROM fx_landed l WHERE l.output_path = t.output_path)",
     ),
+    "form4_counts": _with(
+        INDEX_ROWS, "SELECT date_filed AS filing_date, count(*) AS form4_filings FROM fx_form4 GROUP BY date_filed"
+    ),
     "parse_filings": _with(RAW_TRADES, f"SELECT {TRADE_COLS} FROM fx_trades"),
     "fundamentals": _with(FUNDAMENTALS, "SELECT * FROM fx_fund"),
     "price_history": _with(

@@ -73,6 +73,10 @@ def q_download_plan(spark, sf):
     return ingest.download_plan(f4, fx.landed_files(spark, sf, EXAMPLE_ROOT), EXAMPLE_ROOT)
 
 
+def q_form4_counts(spark, sf):
+    return ingest.form4_counts(ingest.form4_index(render.render_index_texts(fx.index_rows(spark, sf))))
+
+
 def q_parse_filings(spark, sf):
     trades, _rejects = parse.parse_filings(render.render_filings(fx.raw_trades(spark, sf)))
     return trades
@@ -149,6 +153,7 @@ QUERIES: dict[str, Query] = {
     "master_index": q_master_index,
     "form4_index": q_form4_index,
     "download_plan": q_download_plan,
+    "form4_counts": q_form4_counts,
     "parse_filings": q_parse_filings,
     "fundamentals": _fundamentals,
     "price_history": q_price_history,

@@ -31,7 +31,7 @@ def land(spark, root, days):
             f.write(r.content)
     idx = fx.index_rows(spark, SF_SMALL).filter(F.col("date_filed").isin(days))
     os.makedirs(os.path.join(root, INDEX_TEXTS), exist_ok=True)
-    for r in render.render_index_texts(idx, texts_per_day=1).collect():
+    for r in render.render_index_texts(idx).collect():
         day = r.path.split(".")[1]
         with open(os.path.join(root, INDEX_TEXTS, f"master.{day}.idx"), "w") as f:
             f.write(r.value)
