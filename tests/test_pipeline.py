@@ -1,6 +1,5 @@
 """The daily batch and its streaming trigger over a small lake built from the fixtures."""
 
-import datetime as dt
 import os
 
 from pyspark.sql import functions as F
