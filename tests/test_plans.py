@@ -1,0 +1,63 @@
+"""Physical-plan properties the design relies on (checked on executed plans)."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from formlake import constants as K
+from formlake.operators import parse, serving
+from formlake.operators.signals import buy_signals
+from formlake.sources import fixtures as fx
+from formlake.sources import render
+from formlake.sources.lake import trades_view, write_day
+from tests.conftest import SF_SMALL
+
+
+def executed(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def lake_with_trades(spark, root):
+    trades = fx.trades(spark, SF_SMALL)
+    days = [r[0] for r in trades.select("filing_date").distinct().collect()]
+    write_day(trades, root, K.TABLE_TRADES, days)
+    return days
+
+
+def test_lake_read_prunes_days_and_columns_and_pushes_filters(spark, tmp_root):
+    days = lake_with_trades(spark, tmp_root)
+    one = sorted(days)[len(days) // 2]
+    ex = serving.trade_explorer(trades_view(spark, tmp_root, dates=[one]), ticker="brand13")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        plan = ex._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [isnotnull(filing_date" in plan and str(one) in plan
+    assert "GreaterThanOrEqual(total_value,10000.0)" in plan and "EqualTo(ticker,BRAND13)" in plan
+    read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert "shares" not in read_schema and "cik" not in read_schema
+    assert "TakeOrderedAndProject" in executed(ex)
+
+
+def test_signals_use_no_window_and_broadcast_the_bounded_counts(spark):
+    plan = executed(buy_signals(fx.trades(spark, SF_SMALL)))
+    assert "Window" not in plan
+    assert "BroadcastHashJoin [ticker" in plan and "LeftOuter" in plan
+
+
+def test_rollup_aggregates_map_side(spark):
+    from formlake.operators.signals import sell_signals
+
+    plan = executed(serving.sell_rollup(sell_signals(fx.trades(spark, SF_SMALL))))
+    assert "partial_sum" in plan and "partial_max" in plan and "partial_count" in plan
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_each_filing_is_parsed_once(spark):
+    filings = render.render_filings(fx.raw_trades(spark, SF_SMALL).filter(F.col("filing_date") < dt.date(1996, 1, 1)))
+    trades, _ = parse.parse_filings(filings)
+    plan = executed(trades)
+    assert plan.count("from_xml(") == 1
+    assert plan.count("regexp_extract(") <= 1  # may sit inside an aggregate's result list
