@@ -146,7 +146,7 @@ def attach_group_count(
 def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], max_broadcast_rows: int | None = None) -> DataFrame:
     """Rows of ``left`` with no match in ``right``; ``right`` is broadcast only when bounded."""
     keys = list(keys)
-    right = right.select(*keys)
+    right = _persist(right.select(*keys))
     max_rows = broadcast_limit(left, max_broadcast_rows)
     if bounded_count(right, max_rows) is not None:
         right = F.broadcast(right)
