@@ -30,8 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _scored_both_sides(spark: SparkSession, sf: str) -> DataFrame:
-    trades = fx.trades(spark, sf)
-    return S.score_trades(trades, S.BUY).unionByName(S.score_trades(trades, S.SELL))
+    return S.score_both_sides(fx.trades(spark, sf))
 
 
 def _buys(spark, sf):
@@ -107,8 +106,7 @@ def q_conviction_score(spark, sf):
 
 
 def q_signal_counts(spark, sf):
-    trades = fx.trades(spark, sf)
-    return S.signal_counts(trades, S.buy_signals(trades), S.sell_signals(trades))
+    return S.signal_counts(fx.trades(spark, sf))
 
 
 def q_elite_count(spark, sf):
