@@ -34,7 +34,8 @@ def test_lake_read_prunes_days_and_columns_and_pushes_filters(spark, tmp_root):
         plan = ex._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
-    assert "PartitionFilters: [isnotnull(filing_date" in plan and str(one) in plan
+    # the listed day is read by location: only its folder is listed and scanned
+    assert "InMemoryFileIndex(1 paths)" in plan and f"filing_date={one}" in plan
     assert "GreaterThanOrEqual(total_value,10000.0)" in plan and "EqualTo(ticker,BRAND13)" in plan
     read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert "shares" not in read_schema and "cik" not in read_schema
@@ -61,3 +62,12 @@ def test_each_filing_is_parsed_once(spark):
     plan = executed(trades)
     assert plan.count("from_xml(") == 1
     assert plan.count("regexp_extract(") <= 1  # may sit inside an aggregate's result list
+
+
+def test_adhoc_day_filter_prunes_partitions(spark, tmp_root):
+    days = lake_with_trades(spark, tmp_root)
+    one = sorted(days)[0]
+    df = trades_view(spark, tmp_root).filter(F.col("filing_date") == F.lit(one))
+    plan = executed(df)
+    assert "PartitionFilters: [isnotnull(filing_date" in plan
+    assert df.count() == fx.trades(spark, SF_SMALL).filter(F.col("filing_date") == F.lit(one)).count()
