@@ -46,16 +46,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local tests, the bench) do we point it at a fresh local
-    folder.
+    ``spark.checkpoint.dir`` (a core setting, fixed at start-up) names a shared folder on a
+    cluster and is used as is. Only when it is unset (local tests) does this point the
+    SparkContext at a fresh local folder; the core setting itself cannot be changed at
+    run time.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.removeprefix("file:")
+    current = spark.sparkContext.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="formlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
         spark.sparkContext.setCheckpointDir(current)
     return current.removeprefix("file:")
 
