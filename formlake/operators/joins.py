@@ -104,20 +104,30 @@ def lookup_join(
         # a plain shuffle join; AQE's skew-join split still applies at run time
         return big.join(lookup, keys, how).select(*out_cols)
 
-    hot_b = F.broadcast(hot)
-    big_salted = big.join(hot_b, keys, "left").withColumn(
+    big_salted = _with_salts(big, hot, keys).withColumn(
         _SALT,
         F.when(F.col(_SALTS).isNull(), F.lit(0).cast("long")).otherwise(
             F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col(_SALTS).cast("long"))
         ),
     )
-    lookup_salted = lookup.join(hot_b, keys, "left").withColumn(
+    lookup_salted = _with_salts(lookup, hot, keys).withColumn(
         _SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(_SALTS), F.lit(1)).cast("long") - 1))
     )
     joined = big_salted.drop(_SALTS).join(lookup_salted.drop(_SALTS), keys + [_SALT], how)
     return joined.select(*out_cols)
 
 
+def _with_salts(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` plus the salt count of its key (null when the key is not hot).
+
+    Null-safe key equality: a null key is a group like any other here, so a hot null
+    group is spread as well (its rows still match nothing in the final equi-join).
+    """
+    renamed = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], _SALTS)
+    cond = [df[k].eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
+    return df.join(F.broadcast(renamed), cond, "left").drop(*[f"__hot_{k}" for k in keys])
+
+
 def attach_group_count(
     df: DataFrame,
     keys: Sequence[str],

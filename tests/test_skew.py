@@ -65,3 +65,21 @@ def test_cluster_scores_identical_when_forced_to_salt(spark):
         spark.conf.unset("formlake.broadcast.maxRows")
         spark.conf.unset("formlake.skew.rowsPerTask")
     assert salted == rows(score_trades(trades, BUY))
+
+
+def test_hot_null_key_is_salted_and_never_matches(spark):
+    df = spark.range(9_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("v"),
+    )
+    look = spark.createDataFrame([(None, 1.0), ("1", 2.0)], "k string, y double")
+    for kw in ({}, {"max_broadcast_rows": 0, "task_rows": 100}):
+        out = lookup_join(df, look, ["k"], "left", **kw)
+        assert out.count() == 9_000
+        assert out.filter(F.col("k").isNull() & F.col("y").isNotNull()).count() == 0
+        assert out.filter(F.col("k") == "1").first()["y"] == 2.0
+    salted = lookup_join(df, look, ["k"], "left", max_broadcast_rows=1, task_rows=100)
+    nulls = salted.filter(F.col("k").isNull())
+    # 3,000 null-key rows are spread over ceil(3000 / 100) = 30 salts
+    assert "__salt" in salted._jdf.queryExecution().executedPlan().toString()
+    assert nulls.count() == 3_000
