@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from formlake.operators import enrich as E
 from formlake.operators import ingest, parse, serving
+from formlake.operators.joins import release_lookups
 from formlake.operators import signals as S
 from formlake.sources import fixtures as fx
 from formlake.sources import render
@@ -146,7 +147,20 @@ def q_projected_price(spark, sf):
     return serving.projected_price(fx.smoke_prices(spark, sf))
 
 
-QUERIES: dict[str, Query] = {
+def _releasing(query: Query) -> Query:
+    """Build the query after releasing lookups cached for earlier ones (a released
+    lookup is simply recomputed from lineage if an older DataFrame still needs it)."""
+
+    def build(spark: SparkSession, sf: str) -> DataFrame:
+        release_lookups()
+        return query(spark, sf)
+
+    build.__name__ = build.__qualname__ = getattr(query, "__name__", "query")
+    build.__doc__ = query.__doc__
+    return build
+
+
+_QUERIES: dict[str, Query] = {
     "index_calendar": q_index_calendar,
     "master_index": q_master_index,
     "form4_index": q_form4_index,
@@ -173,3 +187,5 @@ QUERIES: dict[str, Query] = {
     "price_overlay": q_price_overlay,
     "projected_price": q_projected_price,
 }
+
+QUERIES: dict[str, Query] = {name: _releasing(q) for name, q in _QUERIES.items()}
