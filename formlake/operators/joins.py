@@ -53,7 +53,9 @@ def release_lookups() -> int:
 
 
 def bounded_count(df: DataFrame, limit: int) -> int | None:
-    """Row count of ``df`` if it is at most ``limit``, else None (reads at most limit+1 rows)."""
+    """Row count of ``df`` if it is at most ``limit``, else None. The limit stops the
+    count after ``limit + 1`` rows of ``df`` (an aggregate below it still reads all of
+    its own input)."""
     n = df.limit(limit + 1).count()
     return n if n <= limit else None
 
