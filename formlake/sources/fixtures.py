@@ -75,7 +75,12 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fundamentals_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One snapshot row per brand ticker; some tickers absent, some fields null."""
+    """One snapshot row per brand ticker; some tickers absent, some fields null.
+
+    The ``n % 6`` gap (FIXTURES.md) models tickers that have no fundamentals at all, so the
+    unmatched side of the left join is exercised; it is part of the input's meaning, not
+    a sample.
+    """
     part = table(spark, sf_dir, "part").select("p_brand")
     brands = part.select(
         brand_ticker(F.col("p_brand")).alias("ticker"),
