@@ -23,17 +23,8 @@ def busiest_days(spark, n):
 def land(spark, root, days):
     """Write one filing text per filing and one index text per day (test input only)."""
     raw = fx.raw_trades(spark, SF_SMALL).filter(F.col("filing_date").isin(days))
-    for r in render.render_filings(raw).collect():
-        folder = os.path.join(root, K.TABLE_FILINGS, r.filing_date.isoformat())
-        os.makedirs(folder, exist_ok=True)
-        with open(os.path.join(folder, r.file_name), "w") as f:
-            f.write(r.content)
     idx = fx.index_rows(spark, SF_SMALL).filter(F.col("date_filed").isin(days))
-    os.makedirs(os.path.join(root, INDEX_TEXTS), exist_ok=True)
-    for r in render.render_index_texts(idx).collect():
-        day = r.path.split(".")[1]
-        with open(os.path.join(root, INDEX_TEXTS, f"master.{day}.idx"), "w") as f:
-            f.write(r.value)
+    render.land_rendered(raw, idx, root, INDEX_TEXTS)
 
 
 def rows(df):

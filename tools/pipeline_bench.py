@@ -17,7 +17,6 @@ import time
 HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, HERE)
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from formlake import constants as K  # noqa: E402
 from formlake.plans.pipeline import INDEX_TEXTS, run_dates  # noqa: E402
@@ -27,28 +26,8 @@ from formlake.sources import render  # noqa: E402
 from formlake.sources.lake import trades_view  # noqa: E402
 
 
-def _write_files(folder_of, name_of, text_of):
-    def write(rows):
-        for r in rows:
-            folder = folder_of(r)
-            os.makedirs(folder, exist_ok=True)
-            with open(os.path.join(folder, name_of(r)), "w") as f:
-                f.write(text_of(r))
-
-    return write
-
-
 def land(spark, sf_dir: str, root: str) -> None:
-    filings = render.render_filings(fx.raw_trades(spark, sf_dir))
-    filings_root = os.path.join(root, K.TABLE_FILINGS)
-    filings.foreachPartition(
-        _write_files(lambda r: os.path.join(filings_root, r.filing_date.isoformat()), lambda r: r.file_name, lambda r: r.content)
-    )
-    index_root = os.path.join(root, INDEX_TEXTS)
-    texts = render.render_index_texts(fx.index_rows(spark, sf_dir), rows_per_text=1_000_000)
-    texts.foreachPartition(
-        _write_files(lambda r: index_root, lambda r: "master." + r.path.split(".")[1] + ".idx", lambda r: r.value)
-    )
+    render.land_rendered(fx.raw_trades(spark, sf_dir), fx.index_rows(spark, sf_dir), root, INDEX_TEXTS)
 
 
 def main() -> None:
