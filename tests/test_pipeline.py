@@ -38,6 +38,8 @@ def test_run_dates_end_to_end(spark, tmp_root):
     expected = fx.trades(spark, SF_SMALL).filter(F.col("filing_date").isin(days))
     assert rows(trades_view(spark, tmp_root)) == rows(expected)
     assert report["trades"]["rows"] == expected.count()
+    health = report["parse_health"]
+    assert health["rejected"] == 0 and health["without_xml_block"] == 0 and health["documents"] > 0
     buys = read_table(spark, tmp_root, K.TABLE_BUY_SIGNALS, SIGNALS)
     assert rows(buys) == rows(S.buy_signals(expected))
     assert report["index"]["rows"] > 0 and report["download_plan"] is not None
