@@ -148,17 +148,18 @@ def price_overlay(prices: DataFrame, explorer: DataFrame, ticker: str, as_of: st
         F.col("close").alias("value"),
         F.lit(None).cast("string").alias("label"),
     )
-    mine = explorer.filter(F.col("ticker") == F.upper(F.lit(ticker)))
-
-    def markers(code: str, series: str) -> DataFrame:
-        return mine.filter(F.col("transaction_code") == code).select(
-            F.lit(series).alias("series"),
-            F.col("transaction_date").alias("date"),
-            F.col("price_per_share").alias("value"),
-            marker_label(series, F.col("owner_name"), F.col("total_value")).alias("label"),
-        )
-
-    return line.unionByName(markers("P", "buy")).unionByName(markers("S", "sell"))
+    mine = explorer.filter(F.col("ticker") == F.upper(F.lit(ticker)) & F.col("transaction_code").isin("P", "S"))
+    # both marker series from one pass over the explorer (a top-k is not reused by Spark)
+    is_buy = F.col("transaction_code") == "P"
+    markers = mine.select(
+        F.when(is_buy, F.lit("buy")).otherwise(F.lit("sell")).alias("series"),
+        F.col("transaction_date").alias("date"),
+        F.col("price_per_share").alias("value"),
+        F.when(is_buy, marker_label("buy", F.col("owner_name"), F.col("total_value")))
+        .otherwise(marker_label("sell", F.col("owner_name"), F.col("total_value")))
+        .alias("label"),
+    )
+    return line.unionByName(markers)
 
 
 def projected_price(df: DataFrame) -> DataFrame:
