@@ -148,7 +148,7 @@ def price_overlay(prices: DataFrame, explorer: DataFrame, ticker: str, as_of: st
         F.col("close").alias("value"),
         F.lit(None).cast("string").alias("label"),
     )
-    mine = explorer.filter(F.col("ticker") == F.upper(F.lit(ticker)) & F.col("transaction_code").isin("P", "S"))
+    mine = explorer.filter((F.col("ticker") == F.upper(F.lit(ticker))) & F.col("transaction_code").isin("P", "S"))
     # both marker series from one pass over the explorer (a top-k is not reused by Spark)
     is_buy = F.col("transaction_code") == "P"
     markers = mine.select(
