@@ -71,3 +71,16 @@ def test_adhoc_day_filter_prunes_partitions(spark, tmp_root):
     plan = executed(df)
     assert "PartitionFilters: [isnotnull(filing_date" in plan
     assert df.count() == fx.trades(spark, SF_SMALL).filter(F.col("filing_date") == F.lit(one)).count()
+
+
+def final_plan(df) -> str:
+    df._jdf.queryExecution().toRdd().count()  # run this plan so AQE finalizes it
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
+def test_price_overlay_computes_the_explorer_once(spark):
+    from formlake.plans.queries import QUERIES
+
+    plan = final_plan(QUERIES["price_overlay"](spark, SF_SMALL))
+    assert plan.count("TakeOrderedAndProject") == 1
