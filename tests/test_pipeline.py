@@ -64,3 +64,19 @@ def test_stream_builds_new_days_once(spark, tmp_root):
     assert seen == [[days[2].isoformat()]]
     expected = fx.trades(spark, SF_SMALL).filter(F.col("filing_date").isin(days))
     assert rows(trades_view(spark, tmp_root)) == rows(expected)
+
+
+def test_landed_paths_match_plan_paths_for_any_root_form(spark, tmp_root):
+    from formlake.operators.ingest import download_targets
+    from formlake.plans.pipeline import landed_filings
+
+    folder = os.path.join(tmp_root, K.TABLE_FILINGS, "2026-01-05")
+    os.makedirs(folder)
+    open(os.path.join(folder, "7_0000000001-26-000001.txt"), "w").write("x")
+    index = spark.createDataFrame(
+        [("7", "edgar/data/7/0000000001-26-000001.txt", "2026-01-05")], "cik string, filename string, date_filed string"
+    ).withColumn("date_filed", F.to_date("date_filed"))
+    for root in (tmp_root, "file://" + tmp_root):
+        landed = {r[0] for r in landed_filings(spark, root, ["2026-01-05"]).collect()}
+        planned = {r[0] for r in download_targets(index, root).select("output_path").collect()}
+        assert landed == planned
