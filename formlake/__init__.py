@@ -30,7 +30,7 @@ from formlake.operators.serving import (  # noqa: E402
     trade_explorer,
 )
 from formlake.operators.signals import buy_signals, score_both_sides, sell_signals, signal_counts  # noqa: E402
-from formlake.plans.pipeline import run_dates  # noqa: E402
+from formlake.plans.daily_batch import run_dates  # noqa: E402
 from formlake.sources.filings import read_filings  # noqa: E402
 from formlake.sources.index import index_calendar, parse_master_index, read_index_texts  # noqa: E402
 from formlake.sources.lake import preview, signals_view, trades_view, write_day  # noqa: E402

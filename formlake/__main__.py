@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("formlake").getOrCreate()
     fundamentals = spark.read.parquet(args.fundamentals) if args.fundamentals else None
     if args.command == "run":
-        from formlake.plans.pipeline import run_dates
+        from formlake.plans.daily_batch import run_dates
         from formlake.sources.index import index_calendar
 
         days = [r["date"].isoformat() for r in index_calendar(spark, args.start, args.end).select("date").collect()]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from formlake import constants as K
-from formlake.plans.pipeline import run_dates
+from formlake.plans.daily_batch import run_dates
 from formlake.session import ensure_checkpoint_dir
 from formlake.sources.lake import table_path
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from formlake import constants as K
 from formlake.operators import signals as S
-from formlake.plans.pipeline import INDEX_TEXTS, run_dates
+from formlake.plans.daily_batch import INDEX_TEXTS, run_dates
 from formlake.sources import fixtures as fx
 from formlake.sources import render
 from formlake.sources.lake import read_table, trades_view
@@ -68,7 +68,7 @@ def test_stream_builds_new_days_once(spark, tmp_root):
 
 def test_landed_paths_match_plan_paths_for_any_root_form(spark, tmp_root):
     from formlake.operators.ingest import download_targets
-    from formlake.plans.pipeline import landed_filings
+    from formlake.plans.daily_batch import landed_filings
 
     folder = os.path.join(tmp_root, K.TABLE_FILINGS, "2026-01-05")
     os.makedirs(folder)

@@ -3,7 +3,7 @@
 Lands one filing text per filing and one index text per day in a fresh scratch lake
 (written by the executors, not through the driver), runs ``run_dates`` over all days,
 and checks the stored trades against the fixture. Prints one JSON line.
-Usage: python tools/pipeline_bench.py [SF_DIR]   (default /root/testdata/sf0.01)
+Usage: python tools/backfill_bench.py [SF_DIR]   (default /root/testdata/sf0.01)
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ sys.path.insert(0, HERE)
 
 
 from formlake import constants as K  # noqa: E402
-from formlake.plans.pipeline import INDEX_TEXTS, run_dates  # noqa: E402
+from formlake.plans.daily_batch import INDEX_TEXTS, run_dates  # noqa: E402
 from formlake.session import local_session  # noqa: E402
 from formlake.sources import fixtures as fx  # noqa: E402
 from formlake.sources import render  # noqa: E402
@@ -32,7 +32,7 @@ def land(spark, sf_dir: str, root: str) -> None:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = local_session(int(os.environ.get("BENCH_CPUS", "8")), app="formlake-pipeline-bench")
+    spark = local_session(int(os.environ.get("BENCH_CPUS", "8")), app="formlake-backfill-bench")
     root = tempfile.mkdtemp(prefix="formlake-lake-")
     t0 = time.perf_counter()
     land(spark, sf_dir, root)
