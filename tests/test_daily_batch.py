@@ -80,3 +80,22 @@ def test_landed_paths_match_plan_paths_for_any_root_form(spark, tmp_root):
         landed = {r[0] for r in landed_filings(spark, root, ["2026-01-05"]).collect()}
         planned = {r[0] for r in download_targets(index, root).select("output_path").collect()}
         assert landed == planned
+
+
+def test_lake_serving_reads_newest_days_only_and_matches_full_scan(spark, tmp_root):
+    from formlake.operators import serving
+    from formlake.operators.serving_lake import elite_buys_from_lake, sell_rollup_from_lake, newest_days_with
+    from formlake.schemas import ENRICHED
+    from formlake.sources.lake import signals_view
+
+    days = busiest_days(spark, 6)
+    land(spark, tmp_root, days)
+    run_dates(spark, tmp_root, days, fx.fundamentals_raw(spark, SF_SMALL))
+    for limit in (1, 5, 10_000):
+        full = serving.elite_buys(signals_view(spark, tmp_root, "buy"), min_score=7, limit=limit)
+        assert rows(elite_buys_from_lake(spark, tmp_root, min_score=7, limit=limit)) == rows(full)
+        full_sells = serving.sell_rollup(signals_view(spark, tmp_root, "sell"), limit=limit)
+        assert rows(sell_rollup_from_lake(spark, tmp_root, limit=limit)) == rows(full_sells)
+    # a small k reads fewer days than the table holds
+    few = newest_days_with(spark, tmp_root, K.TABLE_ENRICHED, ENRICHED, lambda df: df, 1)
+    assert few.select("filing_date").distinct().count() < len(days)
