@@ -84,3 +84,9 @@ def test_price_overlay_computes_the_explorer_once(spark):
 
     plan = final_plan(QUERIES["price_overlay"](spark, SF_SMALL))
     assert plan.count("TakeOrderedAndProject") == 1
+
+
+def test_dedupe_does_not_parse_twice(spark):
+    filings = render.render_filings(fx.raw_trades(spark, SF_SMALL).filter(F.col("filing_date") < dt.date(1996, 1, 1)))
+    trades, _ = parse.parse_filings(filings, dedupe_accession=True)
+    assert final_plan(trades).count("from_xml(") == 1
