@@ -29,7 +29,11 @@ from formlake.operators.serving import (  # noqa: E402
     sell_rollup,
     trade_explorer,
 )
-from formlake.operators.serving_lake import elite_buys_from_lake, sell_rollup_from_lake  # noqa: E402
+from formlake.operators.serving_lake import (  # noqa: E402
+    elite_buys_from_lake,
+    sell_rollup_from_lake,
+    trade_explorer_from_lake,
+)
 from formlake.operators.signals import buy_signals, score_both_sides, sell_signals, signal_counts  # noqa: E402
 from formlake.plans.daily_batch import run_dates  # noqa: E402
 from formlake.sources.filings import read_filings  # noqa: E402
@@ -37,7 +41,8 @@ from formlake.sources.index import index_calendar, parse_master_index, read_inde
 from formlake.sources.lake import preview, signals_view, trades_view, write_day  # noqa: E402
 
 __all__ = [
-    "buy_signals", "download_plan", "elite_buys", "elite_buys_from_lake", "sell_rollup_from_lake", "elite_count", "enrich", "explorer_metrics", "form4_counts",
+    "buy_signals", "download_plan", "elite_buys", "elite_buys_from_lake", "sell_rollup_from_lake",
+    "trade_explorer_from_lake", "elite_count", "enrich", "explorer_metrics", "form4_counts",
     "form4_index", "index_calendar", "net_volume", "parse_filings", "parse_master_index", "prepare_fundamentals",
     "preview", "price_history", "price_overlay", "projected_price", "read_filings", "read_index_texts", "run_dates",
     "score_both_sides", "sell_rollup", "sell_signals", "signal_counts", "signals_view", "trade_explorer",

@@ -62,4 +62,5 @@ TABLE_TRADES = "processed/trades"
 TABLE_BUY_SIGNALS = "processed/gold_signals_buy"
 TABLE_SELL_SIGNALS = "processed/gold_signals_sell"
 TABLE_ENRICHED = "processed/enriched_signals"
+TABLE_TRADES_DAYS = "processed/trades_days"
 PARTITION_COLUMN = "filing_date"

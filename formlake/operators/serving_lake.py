@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from formlake import constants as K
 from formlake.operators import serving
-from formlake.schemas import ENRICHED, SIGNALS
-from formlake.sources.lake import list_children, path_exists, read_table, table_path
+from formlake.schemas import ENRICHED, SIGNALS, TRADES
+from formlake.sources.lake import day_summary, list_children, path_exists, read_table, table_path, trades_view
 
 _PREFIX = K.PARTITION_COLUMN + "="
 
@@ -67,3 +67,37 @@ def sell_rollup_from_lake(spark: SparkSession, root: str, limit: int = K.SELL_RO
     """``serving.sell_rollup`` over the stored sell signals, reading only the newest days needed."""
     sells = newest_days_with(spark, root, K.TABLE_SELL_SIGNALS, SIGNALS, serving.sell_rollup_groups, limit)
     return serving.sell_rollup(sells, limit)
+
+
+def trade_explorer_from_lake(
+    spark: SparkSession,
+    root: str,
+    min_value: float = K.EXPLORER_MIN_VALUE,
+    ticker: str | None = None,
+    limit: int = K.EXPLORER_LIMIT,
+) -> DataFrame:
+    """``serving.trade_explorer`` over the stored trades, reading days by recency of trade.
+
+    The per-day summary gives each filing day's latest transaction date. Days are read
+    in that order, in doubling batches; once the k-th best transaction date found is
+    strictly later than every unread day's latest one, no unread row can enter the top k,
+    so the result equals the full scan. Without a summary that covers exactly the stored
+    days (``run_dates`` keeps it current), it scans all days.
+    """
+    summary = sorted(day_summary(spark, root), key=lambda r: (r[1], r[0]), reverse=True)
+    covered = {r[0].isoformat() for r in summary} == set(stored_days(spark, root, K.TABLE_TRADES))
+    if not summary or not covered:
+        # no summary, or one that does not match the stored days: scan everything
+        return serving.trade_explorer(trades_view(spark, root), min_value, ticker, limit)
+    days = [r[0].isoformat() for r in summary]
+    latest = [r[1] for r in summary]
+    read, size = 0, 1
+    while True:
+        read = min(len(days), read + size)
+        size *= 2
+        top = serving.trade_explorer(read_table(spark, root, K.TABLE_TRADES, TRADES, days[:read]), min_value, ticker, limit)
+        if read == len(days):
+            return top
+        stats = top.agg(F.count(F.lit(1)).alias("n"), F.min("transaction_date").alias("kth")).first()
+        if stats["n"] >= limit and stats["kth"] > latest[read]:
+            return top

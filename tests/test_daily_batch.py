@@ -99,3 +99,17 @@ def test_lake_serving_reads_newest_days_only_and_matches_full_scan(spark, tmp_ro
     # a small k reads fewer days than the table holds
     few = newest_days_with(spark, tmp_root, K.TABLE_ENRICHED, ENRICHED, lambda df: df, 1)
     assert few.select("filing_date").distinct().count() < len(days)
+
+
+def test_lake_explorer_matches_full_scan(spark, tmp_root):
+    from formlake.operators import serving
+    from formlake.operators.serving_lake import trade_explorer_from_lake
+    from formlake.sources.lake import day_summary
+
+    days = busiest_days(spark, 6)
+    land(spark, tmp_root, days)
+    report = run_dates(spark, tmp_root, days, fx.fundamentals_raw(spark, SF_SMALL))
+    assert report["trades_days"] == len(days) == len(day_summary(spark, tmp_root))
+    stored = trades_view(spark, tmp_root)
+    for kw in ({"limit": 1}, {"limit": 7}, {"limit": 40, "min_value": 50_000.0}, {"limit": 10_000}, {"limit": 3, "ticker": "brand7"}):
+        assert rows(trade_explorer_from_lake(spark, tmp_root, **kw)) == rows(serving.trade_explorer(stored, **kw)), kw
