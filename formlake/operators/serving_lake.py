@@ -3,7 +3,7 @@
 ``elite_buys`` and ``sell_rollup`` order by ``filing_date`` descending first, and the lake
 is partitioned by ``filing_date``. So their top k lies entirely in the newest days that
 together hold at least k qualifying rows (a sell group never spans two days). These
-functions read days newest first, in batches that double in size (1, 2, 4, ... days),
+functions read days newest first, in batches that double in size (4, 8, 16, ... days),
 count qualifying rows per batch with one small job, and stop once k are found; the
 result is then exactly the query over the whole table, computed over those days only.
 """
@@ -22,6 +22,7 @@ from formlake.schemas import ENRICHED, SIGNALS, TRADES
 from formlake.sources.lake import day_summary, list_children, path_exists, read_table, table_path, trades_view
 
 _PREFIX = K.PARTITION_COLUMN + "="
+FIRST_BATCH_DAYS = 4
 
 
 def stored_days(spark: SparkSession, root: str, table: str) -> list[str]:
@@ -44,7 +45,7 @@ def newest_days_with(
     (all days if there are fewer). One count job per doubling batch of days."""
     days = stored_days(spark, root, table)
     chosen: list[str] = []
-    found, size = 0, 1
+    found, size = 0, FIRST_BATCH_DAYS
     while len(chosen) < len(days) and found < needed:
         batch = days[len(chosen) : len(chosen) + size]
         found += qualifying(read_table(spark, root, table, schema, batch)).count()
@@ -91,10 +92,16 @@ def trade_explorer_from_lake(
         return serving.trade_explorer(trades_view(spark, root), min_value, ticker, limit)
     days = [r[0].isoformat() for r in summary]
     latest = [r[1] for r in summary]
-    read, size = 0, 1
+    # first batch: the fewest days holding k trades at all (enough if every trade qualifies)
+    read, total = 0, 0
+    while read < len(days) and total < limit:
+        total += summary[read][2]
+        read += 1
+    size = max(read, 1)
+    read = 0
     while True:
         read = min(len(days), read + size)
-        size *= 2
+        size = read  # doubles the days read so far
         top = serving.trade_explorer(read_table(spark, root, K.TABLE_TRADES, TRADES, days[:read]), min_value, ticker, limit)
         if read == len(days):
             return top
