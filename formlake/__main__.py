@@ -2,6 +2,7 @@
 
     python -m formlake run --root LAKE --start 2026-01-05 --end 2026-01-09 [--fundamentals PARQUET]
     python -m formlake stream --root LAKE [--every "1 hour"]
+    python -m formlake report --root LAKE --kind elite|sells|explorer [--ticker T] [--min-score N] [--min-value V]
 
 On a cluster: ``spark-submit --py-files formlake.zip formlake/__main__.py run ...`` (the
 package is needed on the driver only: no Python code runs on the executors).
@@ -28,10 +29,17 @@ def main(argv: list[str] | None = None) -> None:
     stream.add_argument("--root", required=True)
     stream.add_argument("--fundamentals")
     stream.add_argument("--every", help="trigger interval, e.g. '1 hour'; default: process what landed, then stop")
+    report = sub.add_parser("report", help="print a dashboard table from the lake as JSON lines")
+    report.add_argument("--root", required=True)
+    report.add_argument("--kind", choices=["elite", "sells", "explorer"], required=True)
+    report.add_argument("--min-score", type=int, default=10)
+    report.add_argument("--min-value", type=float, default=10_000)
+    report.add_argument("--ticker", default="")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("formlake").getOrCreate()
-    fundamentals = spark.read.parquet(args.fundamentals) if args.fundamentals else None
+    fundamentals_path = getattr(args, "fundamentals", None)
+    fundamentals = spark.read.parquet(fundamentals_path) if fundamentals_path else None
     if args.command == "run":
         from formlake.plans.daily_batch import run_dates
         from formlake.sources.index import index_calendar
@@ -39,6 +47,17 @@ def main(argv: list[str] | None = None) -> None:
         days = [r["date"].isoformat() for r in index_calendar(spark, args.start, args.end).select("date").collect()]
         report = run_dates(spark, args.root, days, fundamentals)
         print(json.dumps({k: v for k, v in report.items() if k != "days"}, default=str))
+    elif args.command == "report":
+        from formlake.operators import serving_lake
+
+        if args.kind == "elite":
+            table = serving_lake.elite_buys_from_lake(spark, args.root, min_score=args.min_score)
+        elif args.kind == "sells":
+            table = serving_lake.sell_rollup_from_lake(spark, args.root)
+        else:
+            table = serving_lake.trade_explorer_from_lake(spark, args.root, args.min_value, args.ticker or None)
+        for row in table.collect():  # a top-k report: at most k rows reach the driver
+            print(json.dumps(row.asDict(), default=str, ensure_ascii=False))
     else:
         from formlake.streaming import start_filings_stream
 

@@ -113,3 +113,19 @@ def test_lake_explorer_matches_full_scan(spark, tmp_root):
     stored = trades_view(spark, tmp_root)
     for kw in ({"limit": 1}, {"limit": 7}, {"limit": 40, "min_value": 50_000.0}, {"limit": 10_000}, {"limit": 3, "ticker": "brand7"}):
         assert rows(trade_explorer_from_lake(spark, tmp_root, **kw)) == rows(serving.trade_explorer(stored, **kw)), kw
+
+
+def test_command_line_run_and_report(spark, tmp_root, capsys):
+    import json
+
+    from formlake.__main__ import main
+
+    days = busiest_days(spark, 2)
+    land(spark, tmp_root, days)
+    start, end = min(days).isoformat(), max(days).isoformat()
+    main(["run", "--root", tmp_root, "--start", start, "--end", end])
+    printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert printed["trades"]["rows"] > 0
+    main(["report", "--root", tmp_root, "--kind", "explorer", "--min-value", "0"])
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert 0 < len(lines) <= 500 and "transaction_date" in json.loads(lines[0])
