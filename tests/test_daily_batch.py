@@ -129,3 +129,17 @@ def test_command_line_run_and_report(spark, tmp_root, capsys):
     main(["report", "--root", tmp_root, "--kind", "explorer", "--min-value", "0"])
     lines = capsys.readouterr().out.strip().splitlines()
     assert 0 < len(lines) <= 500 and "transaction_date" in json.loads(lines[0])
+
+
+def test_stream_rebuilds_a_day_many_times_idempotently(spark, tmp_root):
+    days = busiest_days(spark, 1)
+    land(spark, tmp_root, days)
+    batches = []
+    q = start_filings_stream(
+        spark, tmp_root, checkpoint=os.path.join(tmp_root, "_stream"), max_files_per_trigger=7,
+        on_batch=lambda e, r: batches.append(r["days"]),
+    )
+    q.awaitTermination(600)
+    assert len(batches) > 1 and all(b == [days[0].isoformat()] for b in batches)
+    expected = fx.trades(spark, SF_SMALL).filter(F.col("filing_date").isin(days))
+    assert rows(trades_view(spark, tmp_root)) == rows(expected)
