@@ -2,8 +2,8 @@
 
 Two rules drive every join in the library:
 
-* a side is broadcast only after a bounded count (``limit(n + 1).count()``) proves it
-  holds at most ``formlake.broadcast.maxRows`` rows;
+* a side is broadcast only after an exact count of the persisted side proves it holds
+  at most ``formlake.broadcast.maxRows`` rows;
 * otherwise the join shuffles, and keys of the large side holding more than
   ``formlake.skew.rowsPerTask`` rows are salted: their rows are spread over several
   salt values and the single matching lookup row is replicated once per salt. The set
@@ -53,10 +53,14 @@ def release_lookups() -> int:
 
 
 def bounded_count(df: DataFrame, limit: int) -> int | None:
-    """Row count of ``df`` if it is at most ``limit``, else None. The limit stops the
-    count after ``limit + 1`` rows of ``df`` (an aggregate below it still reads all of
-    its own input)."""
-    n = df.limit(limit + 1).count()
+    """Row count of ``df`` if it is at most ``limit``, else None.
+
+    ``df`` is a persisted lookup, so an exact ``count()`` costs what the join would pay
+    anyway: it fills the cache, and only one partial count per partition is shuffled.
+    (``limit(n + 1).count()`` would instead send up to n + 1 rows of every partition
+    to a single task.)
+    """
+    n = df.count()
     return n if n <= limit else None
 
 
