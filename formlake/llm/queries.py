@@ -4,18 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from formlake.llm import packing
+from formlake.llm.bpe_count import token_counts
 from formlake.llm.common import table
 from formlake.llm.near_dedup import near_duplicates
+from formlake.llm.suffix_dedup import cut_repeats
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, num=4, den=5)
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op9_bpe_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op9_bpe_token_counts": op9_bpe_token_counts,
+    "op10_swap_packing": op10_swap_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
