@@ -38,6 +38,12 @@ def shuffle_tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def hash_sample(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
+    """About ``rows`` rows, chosen by a hash of ``key`` (all, if there are no more)."""
+    share = min(1.0, rows / max(1, df.count()))
+    return df if share == 1.0 else df.filter(F.pmod(F.xxhash64(F.lit(17), key), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+
+
 def signature(df: DataFrame) -> tuple[int, int]:
     """(rows, order-free checksum) of a two-column table, from partial aggregates."""
     row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
@@ -47,15 +53,14 @@ def signature(df: DataFrame) -> tuple[int, int]:
 def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected components of an undirected graph: (id, component = smallest id).
 
-    ``edges`` has two columns of ids. Alternating large-star and small-star rounds: each is
-    a minimum per node (partial aggregates first) and a join back, so no node's
-    neighbours are gathered in one place. Every round is written to the shared folder;
-    rounds stop when a round changes nothing. Nodes without an edge are not listed.
+    ``edges`` has two columns of ids; nodes without an edge are not listed. Alternating
+    large-star and small-star rounds: each is a minimum per node (partial aggregates first)
+    and a join back, so no node's neighbours are gathered in one place. Every round is written
+    to the shared folder; rounds stop when one changes nothing.
     """
     a, b = edges.columns
-    now = staged(
-        edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), f"{label}-edges"
-    )
+    pairs = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
+    now = staged(pairs, f"{label}-edges")
     before = signature(now)
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -63,8 +68,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         large = both.join(low, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
-        small = joined.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.toDF("u", "v"))
-        now = staged(small.distinct(), f"{label}-round")
+        star = joined.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.toDF("u", "v"))
+        now = staged(star.distinct(), f"{label}-round")
         after = signature(now)
         if after == before:
             break

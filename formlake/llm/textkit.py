@@ -64,11 +64,12 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         i = j
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, first word of each document plus the total) of words ``[^\\x20\\x09-\\x0D]+``."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, first word of each document plus the total) of the runs of bytes not marked in
+    ``outside``; by default of words ``[^\\x20\\x09-\\x0D]+``."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~outside[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[offsets] = True
     begins, ends = inside.copy(), inside.copy()
