@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formlake.llm.common import shuffle_tasks, staged
-from formlake.llm.textkit import _BASE, _BYTE_VALUE, _INVERSE, chunks, column_bytes, mix, signed
+from formlake.llm.textkit import Rolling, chunks, column_bytes, mix, signed
 
 LENGTH = 200
 GRAM = 50
@@ -46,24 +46,6 @@ SHARD_WINDOWS = 200_000
 _U = np.uint64
 
 
-class _Rolling:
-    """Hashes of any byte ranges of one buffer."""
-
-    def __init__(self, data: np.ndarray):
-        n = len(data)
-        power = np.full(n, _BASE, dtype=np.uint64)
-        power[:1] = 1
-        np.cumprod(power, out=power)
-        self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUE[data] * power, out=self.sums[1:])
-        self.back = np.full(n + 1, _INVERSE, dtype=np.uint64)
-        self.back[0] = 1
-        np.cumprod(self.back, out=self.back)
-
-    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.back[start])
-
-
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every full run of ``width`` values."""
     n = len(x)
@@ -82,7 +64,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     """
     if len(data) < length:
         return (np.zeros(0, np.int64),) * 6
-    rolling = _Rolling(data)
+    rolling = Rolling(data)
     at = np.arange(len(data) - gram + 1)
     grams = rolling(at, at + gram)
     # order by 32 hash bits, then by place: the leftmost smallest gram, alike in every buffer

@@ -79,20 +79,27 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPA
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, offsets)
 
 
+class Rolling:
+    """Hashes of any byte ranges of one buffer, equal for equal bytes wherever they stand."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        power = np.full(n, _BASE, dtype=np.uint64)
+        power[:1] = 1
+        np.cumprod(power, out=power)
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_VALUE[data] * power, out=self.sums[1:])
+        self.back = np.full(n + 1, _INVERSE, dtype=np.uint64)
+        self.back[0] = 1
+        np.cumprod(self.back, out=self.back)
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash per word, equal for equal bytes wherever the word stands."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    n = len(data)
-    power = np.full(n, _BASE, dtype=np.uint64)
-    power[0] = 1
-    np.cumprod(power, out=power)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUE[data] * power, out=sums[1:])
-    back = np.full(n, _INVERSE, dtype=np.uint64)
-    back[0] = 1
-    np.cumprod(back, out=back)
-    return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash per word."""
+    return Rolling(data)(starts, ends) if len(starts) else np.zeros(0, np.uint64)
 
 
 def shingle_hashes(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

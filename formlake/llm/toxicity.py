@@ -1,6 +1,6 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-A linear model over the words of a text is fitted with numpy from confirmed toxic examples and
+A linear model over the words of a text and their stems (first bytes of longer words) is fitted with numpy from confirmed toxic examples and
 unlabelled texts. With class prior p the risk is
 ``p R(toxic as 1) + max(0, R(unlabelled as 0) - p R(toxic as 0))``: unlabelled texts stand for
 both classes, the subtracted term takes their toxic share out, and where the corrected
@@ -8,10 +8,10 @@ part turns negative the step goes back on it alone. The prior is the toxic share
 training rows.
 
 The fit uses a bounded sample: about ``POSITIVE`` toxic and ``UNLABELLED`` other rows, chosen by a
-hash; words in fewer than ``LEAST`` sampled texts are no features. Scoring covers every
+hash; features are at most ``FEATURES`` words overrepresented in toxic texts, found in ``LEAST`` sampled texts or more. Scoring covers every
 row and whole texts: tasks hold the model (at most ``FEATURES`` hashed words) and read texts once.
 
-Words are runs of letters, digits and bytes over 127, A-Z lower-cased, counted once a text.
+Words are runs of letters, digits and bytes over 127, A-Z lower-cased; each counts once a text.
 Defined results: a null or empty text has no words and scores the model's intercept; with no
 toxic training row every score is 0; equal texts score alike; label rows with null ids or
 values are left out, repeated label rows count once; extra columns play no part.
@@ -27,24 +27,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formlake.llm.common import hash_sample
-from formlake.llm.textkit import _LOWER, chunks, column_bytes, signed, word_hashes, word_spans
+from formlake.llm.textkit import _LOWER, Rolling, chunks, column_bytes, mix, signed, word_spans
 
 POSITIVE = 4_000
 UNLABELLED = 12_000
 LEAST = 8
-FEATURES = 100_000
+FEATURES = 3_000
+GAIN = 10.0  # a smaller likelihood gain of a feature is taken for chance
+STEMS = (5, 6, 7)  # bytes
 STEPS = 150
 _OUTSIDE = np.ones(256, dtype=bool)
 _OUTSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 def word_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first document, last, word hash, document of it) by chunk of documents."""
+    """(first document, last, hashes of words and stems, document of each) by chunk of documents."""
     for i, j in chunks(offsets):
         own = offsets[i : j + 1] - offsets[i]
         part = _LOWER[data[offsets[i] : offsets[j]]]
         starts, ends, first = word_spans(part, own, _OUTSIDE)
-        yield i, j, word_hashes(part, starts, ends), np.repeat(np.arange(i, j), np.diff(first))
+        doc, rolling = np.repeat(np.arange(i, j), np.diff(first)), Rolling(part)
+        hashes, docs = [rolling(starts, ends)], [doc]
+        for size in STEMS:
+            longer = ends - starts > size
+            hashes.append(mix(rolling(starts[longer], starts[longer] + size)))
+            docs.append(doc[longer])
+        yield i, j, np.concatenate(hashes), np.concatenate(docs)
 
 
 def _features(rows: DataFrame):
@@ -93,10 +101,14 @@ def fit(positive, unlabelled, prior: float, steps: int = STEPS, rate: float = 0.
     (po, pw), (uo, uw) = positive, unlabelled
     if len(po) < 2 or len(uo) < 2:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -500.0 if len(po) < 2 else 0.0)
-    every = np.concatenate([pw, uw])
-    words, code, df = np.unique(every, return_inverse=True, return_counts=True)
-    frequent = np.sort(df)[::-1][min(len(df), FEATURES) - 1] if len(df) else 0
-    chosen = (df >= LEAST) & (df >= frequent)
+    words, code = np.unique(np.concatenate([pw, uw]), return_inverse=True)
+    # features: the words whose shares among toxic and unlabelled texts differ most (log-likelihood ratio)
+    here, there = (np.bincount(c, minlength=len(words)).astype(float) for c in (code[: len(pw)], code[len(pw) :]))
+    both = (here + there) / (len(po) + len(uo) - 2)
+    gain = here * np.log(np.maximum(here, 1) / (both * (len(po) - 1))) + there * np.log(np.maximum(there, 1) / (both * (len(uo) - 1)))
+    gain[(here + there < LEAST) | (here < 2) | (here / (len(po) - 1) < there / (len(uo) - 1))] = 0
+    bar = np.partition(gain, -FEATURES)[-FEATURES] if len(gain) > FEATURES else 0.0
+    chosen = (gain >= max(bar, GAIN)) if len(gain) else np.zeros(0, bool)
     new = np.cumsum(chosen) - 1
     rows = np.concatenate([np.repeat(np.arange(len(po) - 1), np.diff(po)), len(po) - 1 + np.repeat(np.arange(len(uo) - 1), np.diff(uo))])
     use = chosen[code]
