@@ -1,0 +1,86 @@
+"""op1 against brute force, with the awkward rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from formlake.llm import near_dedup
+from formlake.llm.common import components
+from formlake.llm.near_dedup import drop_near_duplicates, near_duplicates
+from tests.llm.helpers import edited, frame, prose, rng
+
+
+def shingles(text, size):
+    import re
+
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words)} if 0 < len(words) < size else {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def brute(texts, size):
+    sets = {i: shingles(t, size) for i, t in texts}
+    low = {i: i for i in sets}
+
+    def find(x):
+        while low[x] != x:
+            x = low[x]
+        return x
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                low[y] = x
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def cases():
+    r = rng()
+    texts = [(0, None), (1, ""), (2, " \n\t "), (3, "One two"), (4, "one TWO"), (5, "one two three"), (6, "É a b c"), (7, "é a b c")]
+    texts += [(10, prose(r, 30_000))]
+    base = prose(r, 300)
+    texts += [(20 + k, base) for k in range(6)]
+    texts += [(40 + k, edited(r, base, 0.005 * (k % 9))) for k in range(60)]
+    chain = prose(r, 200)
+    for k in range(20):  # neighbours are linked, the ends aren't
+        chain = edited(r, chain, 0.015)
+        texts.append((120 + k, chain))
+    common = prose(r, 40)
+    texts += [(200 + k, common + " " + prose(r, 30 + k)) for k in range(40)]
+    texts += [(300 + k, prose(r, k + 1)) for k in range(12)]
+    words = [f"w{k}" for k in range(90)]
+    texts += [(400 + k, " ".join(words[: 60 + k])) for k in range(30)]  # sizes around the sketch's
+    return texts
+
+
+@pytest.mark.parametrize("block", [512, 16])
+def test_links_match_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "LONG_LIST", 8)
+    texts = cases()
+    want = brute(texts, 4)
+    got = {r.doc_id: r for r in near_duplicates(frame(spark, texts), words=4).collect()}
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
+
+
+def test_null_ids_and_repeated_rows(spark):
+    r = rng(8)
+    a = prose(r, 80)
+    docs = frame(spark, [(None, a), (3, a), (3, a), (9, edited(r, a, 0.01)), (None, None)])
+    got = sorted(((x.doc_id, x.component_id, x.kept) for x in near_duplicates(docs, words=4).collect()), key=str)
+    assert got == sorted([(None, None, True), (None, None, True), (3, 3, True), (3, 3, True), (9, 3, False)], key=str)
+    left = drop_near_duplicates(docs)
+    assert left.columns == ["doc_id", *[c for c in docs.columns if c != "doc_id"]]
+    assert sorted(x.doc_id or -1 for x in left.collect()) == [-1, -1, 3, 3]
+
+
+def test_empty_table(spark):
+    docs = frame(spark, [(1, "x")]).filter(F.lit(False))
+    assert near_duplicates(docs).count() == 0
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    edges = [(k, k + 1) for k in range(100, 160)] + [(500, k) for k in range(501, 600)] + [(7, 7)]
+    got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
+    assert got == {**{k: 100 for k in range(100, 161)}, **{k: 500 for k in range(500, 600)}}
