@@ -274,7 +274,8 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cell: i
     found = staged(_pieces_of(rows, length, gram), f"{label}-pieces")
 
     anchors = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("places"), F.min("piece").alias("lo"), F.max("piece").alias("hi"))
-    anchors = anchors.filter("places > 1").select("anchor", (F.col("lo") == F.col("hi")).alias("alike"))
+    # a table of its own, so that the join reads two plain exchanges and a hot anchor can be split
+    anchors = staged(anchors.filter("places > 1").select("anchor", (F.col("lo") == F.col("hi")).alias("alike")), f"{label}-anchors")
     again = staged(found.join(anchors, "anchor"), f"{label}-again")
     mixed = again.filter("not alike")
     # distinct pieces of an anchor that has several: their borders are compared below
