@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formlake.llm.textkit import column_bytes
+from formlake.llm.textkit import column_bytes, small_batches
 
 CACHE = 600_000
 CACHED_LENGTH = 48
@@ -129,7 +129,7 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = MergeCounter(model_file)
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             _, offsets = column_bytes(batch.column("text"))
             tokens = np.array([counter.count(t) for t in batch.column("text").to_pylist()], dtype=np.int64)
             yield pa.RecordBatch.from_arrays(

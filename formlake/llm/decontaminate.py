@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from formlake.llm.textkit import small_batches
+
 Q = 8
 SEGMENT = 100
 RATE = 0.08
@@ -159,19 +161,15 @@ def _matched(docs: DataFrame, segments: Segments, keep: list[str]) -> DataFrame:
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, found = [normalised(t) for t in batch.column("text").to_pylist()], []
-            start = size = 0
-            for i, t in enumerate(texts):
-                size += len(t)
-                if size > _CHUNK or i == len(texts) - 1:
-                    found += segments.matches(texts[start : i + 1])
-                    start, size = i + 1, 0
+        for batch in small_batches(batches, "text", _CHUNK):
+            found = segments.matches([normalised(t) for t in batch.column("text").to_pylist()])
             rows = [[{"item_id": k, "start": a, "end": b, "edits": e} for k, (e, a, b) in sorted(f.items())] for f in found]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(rows, kind)], names=[*keep, "matches"])
 
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
-    return docs.select(*keep, "text").mapInArrow(run, f"{fields}, matches array<struct<item_id: bigint, start: bigint, end: bigint, edits: bigint>>")
+    out = docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(run, f"{fields}, matches array<struct<item_id: bigint, start: bigint, end: bigint, edits: bigint>>")
+    # the new column by place: a kept one may have its name
+    return out.toDF(*[f"k{i}" for i in range(len(keep))], "found").select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], F.col("found").alias("__matches"))
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Segments]:
@@ -188,7 +186,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
     for segments in _blocks(benchmark):
-        found = _matched(own, segments, ["doc_id"]).select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*")
+        found = _matched(own, segments, ["doc_id"]).select("doc_id", F.explode("__matches").alias("m")).select("doc_id", "m.*")
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -197,6 +195,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark passage."""
     columns = docs.columns
     for segments in _blocks(benchmark):
-        rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text")
-        docs = _matched(rows, segments, ["row"]).filter(F.size("matches") == 0).select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
+        docs = _matched(docs, segments, columns).filter(F.size("__matches") == 0).drop("__matches")
     return docs

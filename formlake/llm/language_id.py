@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formlake.llm.common import hash_sample, staged
+from formlake.llm.textkit import small_batches
 
 ORDER = 4
 MAX_GRAMS = 200_000
@@ -93,7 +94,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, sums = _letters(), {}
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             langs, texts = np.array(batch.column("lang").to_pylist(), dtype=object), batch.column("text").to_pylist()
             for i, j in _text_chunks(texts):
                 grams, doc, _ = characters(texts[i:j], letters)
@@ -192,12 +193,12 @@ class Scorer:
         return n, letter, sums, squares
 
 
-def _scored(rows: DataFrame, models: list[KneserNey], langs: list[str], limits: dict | None, keep: list[str]) -> DataFrame:
+def _scored(rows: DataFrame, models: list[KneserNey], langs: list[str], limits: dict | None, keep: list[str], prefix: str = "") -> DataFrame:
     """``keep`` columns with lang_pred, score, accepted, entropy and n (characters scored)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(models) if models else None
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             size = len(texts)
             pred, score, accepted, entropy, error = np.full(size, UNKNOWN, dtype=object), np.zeros(size), np.zeros(size, bool), np.zeros(size), np.zeros(size)
@@ -222,7 +223,11 @@ def _scored(rows: DataFrame, models: list[KneserNey], langs: list[str], limits:
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score", "accepted", "entropy", "n"])
 
     fields = [f"`{c}` {t}" for c, t in rows.select(*keep).dtypes]
-    return rows.select(*keep, "text").mapInArrow(run, ", ".join(fields) + ", lang_pred string, score double, accepted boolean, entropy double, n long")
+    out = rows.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(run, ", ".join(fields) + ", lang_pred string, score double, accepted boolean, entropy double, n long")
+    # last columns by place: a kept column may have one of their names
+    return out.toDF(*[f"k{i}" for i in range(len(keep))], "lang_pred", "score", "accepted", "entropy", "n").select(
+        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *[F.col(c).alias(prefix + c) for c in ("lang_pred", "score", "accepted", "entropy", "n")]
+    )
 
 
 def learn(labelled: DataFrame, label: str = "language") -> tuple[list[KneserNey], list[str], dict]:
@@ -260,19 +265,18 @@ def learn(labelled: DataFrame, label: str = "language") -> tuple[list[KneserNey]
     return models, langs, limits
 
 
-def identify(docs: DataFrame, train: Column | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def identify(docs: DataFrame, train: Column | None = None, keep: tuple[str, ...] = ("doc_id",), prefix: str = "") -> DataFrame:
     """Language of every row of ``docs`` (doc_id, text, lang); learns from rows with a language
-    for which ``train`` holds (all of them by default)."""
+    for which ``train`` holds (all of them by default). ``keep``: columns to pass through;
+    ``prefix``: before the names of the new ones."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     if train is not None:
         labelled = labelled.filter(train)
     models, langs, limits = learn(labelled.select("doc_id", F.col("lang").cast("string").alias("lang"), "text"))
-    return _scored(docs, models, langs, limits, list(keep))
+    return _scored(docs, models, langs, limits, list(keep), prefix)
 
 
 def accept_languages(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents whose language is rejected."""
-    rest = [F.col(f"`{c}`") for c in docs.columns]
-    held = docs.select(F.struct(*rest).alias("row"), "doc_id", "text", "lang")
-    kept = identify(held, keep=("row",)).filter("accepted")
-    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    kept = identify(docs, keep=tuple(docs.columns), prefix="__").filter("__accepted")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

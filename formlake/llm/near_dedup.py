@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formlake.llm.common import components, shuffle_tasks, staged
-from formlake.llm.textkit import column_bytes, mix, shingle_sets
+from formlake.llm.textkit import column_bytes, mix, shingle_sets, small_batches
 
 SKETCH = 64  # retained values
 WHOLE = 80  # sets up to this size (SKETCH / 0.8) are retained whole
@@ -54,7 +54,7 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
     arrow = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("retained", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text", 8 << 20):
             sizes, first, second, kept = [], [], [], []
             for _, s in shingle_sets(*column_bytes(batch.column("text")), words):
                 sizes.append(len(s))

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formlake.llm.common import shuffle_tasks, staged
+from formlake.llm.textkit import small_batches
 
 CAPACITY = 1024
 SHARD = 30_000
@@ -56,7 +57,7 @@ def pieces(docs: DataFrame, ranks_file: str, pattern: str, capacity: int = CAPAC
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(ranks_file, pattern)
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             rows: tuple[list, ...] = ([], [], [], [], [])
             done: dict[str, list[tuple[int, int, int, int]]] = {}  # copies in a batch are encoded once
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):

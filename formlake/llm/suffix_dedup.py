@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from formlake.llm.common import shuffle_tasks, staged
-from formlake.llm.textkit import Rolling, chunks, column_bytes, mix, signed
+from formlake.llm.textkit import Rolling, chunks, column_bytes, mix, signed, small_batches
 
 LENGTH = 200
 GRAM = 50
@@ -140,7 +140,7 @@ def _cells(prepared: DataFrame, length: int, cell: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("core", pa.int64()), ("content", pa.int64()), ("key", pa.int64()), ("s", pa.int32()), ("n", pa.int32()), ("bytes", pa.binary())])
-        for batch in batches:
+        for batch in small_batches(batches, "packed", 1 << 18):
             rows = [[], [], [], [], [], []]
             for key, packed, marks in zip(batch.column("key").to_pylist(), batch.column("packed").to_pylist(), batch.column("marks").to_pylist()):
                 text = _unpack(packed)
@@ -220,7 +220,7 @@ def _packed(rows: DataFrame) -> DataFrame:
     """Texts compressed before they cross the network."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             data, offsets = column_bytes(batch.column("text"))
             raw = data.tobytes()
             packed = pa.array([_pack(raw[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())
@@ -231,10 +231,10 @@ def _packed(rows: DataFrame) -> DataFrame:
 
 
 def _cut(rows: DataFrame, length: int, with_text: bool) -> DataFrame:
-    """Cut the spans out: (rest, n_bytes, n_removed, n_spans, kept_sha256[, kept])."""
+    """Cut the spans out: (rest, n_bytes, n_removed, n_spans, kept_sha256[, text])."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "packed", 1 << 20):
             out = [[], [], [], [], []]
             for packed, marks, more in zip(batch.column("packed").to_pylist(), batch.column("marks").to_pylist(), batch.column("more").to_pylist()):
                 text = _unpack(packed)
@@ -254,12 +254,12 @@ def _cut(rows: DataFrame, length: int, with_text: bool) -> DataFrame:
             arrays = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.string())]
             names = ["rest", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             if with_text:
-                arrays, names = [*arrays, pa.array(out[4], pa.binary())], [*names, "kept"]
+                arrays, names = [*arrays, pa.array([x.decode("utf-8", "ignore") for x in out[4]], pa.string())], [*names, "text"]
             yield pa.RecordBatch.from_arrays([batch.column("rest"), *arrays], names=names)
 
     kind = rows.schema["rest"].dataType.simpleString()
     return rows.select("rest", "packed", "marks", "more").mapInArrow(
-        run, f"rest {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
+        run, f"rest {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text
     )
 
 
@@ -267,7 +267,8 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cell: i
     """Cut repeated strings out of ``docs`` (doc_id, text, any more columns).
 
     Returns ``rest`` (a struct of all columns but text), n_bytes, n_removed, n_spans (maximal
-    removed runs), kept_sha256 and, if asked for, ``kept`` (the remaining bytes).
+    removed runs), kept_sha256 and, if asked for, ``text`` (the remaining bytes; a span may begin
+    or end inside a character, whose stray bytes then go too).
     """
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), rest.alias("rest"), F.col("text").cast("string").alias("text"))
@@ -302,19 +303,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cell: i
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated strings cut out of ``text`` (``n_chars`` follows); no row is dropped.
-
-    A span may begin or end inside a character; the stray bytes left of such a character go
-    with it.
-    """
-    cut = cut_repeats(docs, with_text=True)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(texts, pa.string())], names=["rest", "text"])
-
-    kind = cut.schema["rest"].dataType.simpleString()
-    out = cut.select("rest", "kept").mapInArrow(run, f"rest {kind}, text string")
+    """``docs`` with repeated strings cut out of ``text`` (``n_chars`` follows); no row is dropped."""
+    out = cut_repeats(docs, with_text=True)
     columns = [F.col("text") if c == "text" else F.length("text").cast(t).alias(c) if c == "n_chars" else F.col(f"rest.`{c}`").alias(c) for c, t in docs.dtypes]
     return out.select(*columns)

@@ -64,6 +64,14 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         i = j
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 2 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of ``column``, so what a task makes of a
+    batch stays small however many long texts follow each other."""
+    for batch in batches:
+        for i, j in chunks(column_bytes(batch.column(column))[1], limit):
+            yield batch.slice(i, j - i)
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, first word of each document plus the total) of the runs of bytes not marked in
     ``outside``; by default of words ``[^\\x20\\x09-\\x0D]+``."""

@@ -135,5 +135,5 @@ def test_toxicity_learns_and_takes_awkward_rows(spark):
     got = {x.doc_id: x.predicted for x in rows}
     assert all(got[k] == (k % 5 == 0) for k, _ in texts)
     assert (got[900], got[901], got[902], got[903]) == (0, 0, 1, 0)
-    assert {x.score for x in score_toxicity(docs, labels.filter("toxic = 0")).collect()} == {pytest.approx(0)}
+    assert max(x.score for x in score_toxicity(docs, labels.filter("toxic = 0")).collect()) < 1e-9
     assert score_toxicity(docs.filter(F.lit(False)), labels.filter(F.lit(False))).count() == 0
