@@ -1,7 +1,7 @@
 """Command line: run the daily batch for a range of days, or start the landing stream.
 
     python -m formlake run --root LAKE --start 2026-01-05 --end 2026-01-09 [--fundamentals PARQUET]
-    python -m formlake stream --root LAKE [--every "1 hour"]
+    python -m formlake stream --root LAKE --checkpoint FOLDER [--every "1 hour"]
     python -m formlake report --root LAKE --kind elite|sells|explorer [--ticker T] [--min-score N] [--min-value V]
 
 On a cluster: ``spark-submit --py-files formlake.zip formlake/__main__.py run ...`` (the
@@ -27,6 +27,7 @@ def main(argv: list[str] | None = None) -> None:
     run.add_argument("--fundamentals", help="Parquet snapshot of company fundamentals")
     stream = sub.add_parser("stream", help="rebuild days as filing texts land")
     stream.add_argument("--root", required=True)
+    stream.add_argument("--checkpoint", required=True, help="folder that keeps what the stream has seen")
     stream.add_argument("--fundamentals")
     stream.add_argument("--every", help="trigger interval, e.g. '1 hour'; default: process what landed, then stop")
     report = sub.add_parser("report", help="print a dashboard table from the lake as JSON lines")
@@ -49,6 +50,7 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps({k: v for k, v in report.items() if k != "days"}, default=str))
     elif args.command == "report":
         from formlake.operators import serving_lake
+        from formlake.sources.lake import has_signals
 
         if args.kind == "elite":
             table = serving_lake.elite_buys_from_lake(spark, args.root, min_score=args.min_score)
@@ -56,13 +58,16 @@ def main(argv: list[str] | None = None) -> None:
             table = serving_lake.sell_rollup_from_lake(spark, args.root)
         else:
             table = serving_lake.trade_explorer_from_lake(spark, args.root, args.min_value, args.ticker or None)
-        for row in table.collect():  # a top-k report: at most k rows reach the driver
+        rows = table.collect()
+        if not rows and args.kind != "explorer" and not has_signals(spark, args.root, "buy" if args.kind == "elite" else "sell"):
+            print(json.dumps({"notice": "no signals stored yet: run the daily batch first"}))
+        for row in rows:  # a top-k report: at most k rows reach the driver
             print(json.dumps(row.asDict(), default=str, ensure_ascii=False))
     else:
         from formlake.streaming import start_filings_stream
 
         query = start_filings_stream(
-            spark, args.root, fundamentals, available_now=args.every is None, processing_time=args.every
+            spark, args.root, args.checkpoint, fundamentals, available_now=args.every is None, processing_time=args.every
         )
         query.awaitTermination()
 

@@ -2,7 +2,7 @@
 together, in plain text, in one place."""
 
 # --- fixed values: scoring -------------------------------------------------------
-C_SUITE_WORDS = ["CEO", "CFO", "CHIEF EXECUTIVE", "CHIEF FINANCIAL", "PRESIDENT"]
+C_SUITE_PATTERN = r"(?iU)\b(CEO|CFO|CHIEF EXECUTIVE|CHIEF FINANCIAL|PRESIDENT)\b"
 ROLE_POINTS = 3
 VALUE_MID_THRESHOLD = 100_000
 VALUE_MID_POINTS = 2
@@ -34,10 +34,10 @@ EXPLORER_MIN_VALUE = 10_000
 WHALE_DUMP_ABOVE = 1_000_000
 REASON_C_SUITE = "👑 C-Suite"
 REASON_WHALE = "📉 Whale Dump"
-REASON_CLUSTER = "⚠️ Cluster ({n} sellers)"
+REASON_CLUSTER = "⚠️ Cluster (%d sellers)"
 REASON_C_SUITE_SUBSTRINGS = ["CEO", "CFO"]
-BUY_LABEL = "{owner}<br>Val: ${value}"
-SELL_LABEL = "{owner} (${value})"
+BUY_LABEL = "%s<br>Val: $%s"
+SELL_LABEL = "%s ($%s)"
 
 # --- fixed values: parsing ---------------------------------------------------------
 UNKNOWN = "UNKNOWN"
@@ -50,7 +50,7 @@ XML_BLOCK_PATTERN = r"(?is)<xml[^>]*+>((?:[^<]++|<(?!/xml>))*+)</xml>"
 # --- fixed values: index and download ----------------------------------------------
 SEC_ARCHIVES = "https://www.sec.gov/Archives"
 SEC_DATA_URL = "https://www.sec.gov/Archives/edgar/data"
-DAILY_INDEX_URL = "{base}/edgar/daily-index/{year}/QTR{quarter}/master.{yyyymmdd}.idx"
+DAILY_INDEX_URL = "%s/edgar/daily-index/%d/QTR%d/master.%s.idx"
 INDEX_HEADER_MARKER = "CIK|Company Name"
 FORM4_TYPES = ["4", "4/A"]
 CALENDAR_START = "2026-01-01"
@@ -62,5 +62,5 @@ TABLE_TRADES = "processed/trades"
 TABLE_BUY_SIGNALS = "processed/gold_signals_buy"
 TABLE_SELL_SIGNALS = "processed/gold_signals_sell"
 TABLE_ENRICHED = "processed/enriched_signals"
-TABLE_TRADES_DAYS = "processed/trades_days"
+TABLE_REJECTS = "processed/rejects"
 PARTITION_COLUMN = "filing_date"

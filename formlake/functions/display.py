@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from formlake import constants as K
 
 
+def _fixed(value: Column, pattern: str) -> Column:
+    """``value`` under a number pattern, rounded on the exact double, ties to even
+    (``format_string`` would round ties up)."""
+    return F.call_function("format_number", value, F.lit(pattern))
+
+
 def dip_text(dip: str | Column = "dip_from_52w_high") -> Column:
     """0.3125 -> '31.2%' (x100, half-even to one decimal, percent sign)."""
     c = F.col(dip) if isinstance(dip, str) else dip
@@ -20,10 +26,9 @@ def money0(value: Column) -> Column:
 
 
 def marker_label(side: str, owner: Column, value: Column) -> Column:
-    template = K.BUY_LABEL if side == "buy" else K.SELL_LABEL
-    before, rest = template.split("{owner}", 1)
-    middle, after = rest.split("{value}", 1)
-    return F.concat(F.lit(before), owner, F.lit(middle), money0(value), F.lit(after))
+    """The marker text of a trade; null without an owner or a value."""
+    text = F.format_string(K.BUY_LABEL if side == "buy" else K.SELL_LABEL, owner, money0(value))
+    return F.when(owner.isNotNull() & value.isNotNull(), text)
 
 
 def sell_reason(title: Column, total: Column, cluster_size: Column) -> Column:
@@ -33,12 +38,11 @@ def sell_reason(title: Column, total: Column, cluster_size: Column) -> Column:
     for word in K.REASON_C_SUITE_SUBSTRINGS:
         cond = upper_title.contains(word)
         c_suite = cond if c_suite is None else (c_suite | cond)
-    before, after = K.REASON_CLUSTER.split("{n}", 1)
     return F.concat_ws(
         ", ",
         F.when(c_suite, F.lit(K.REASON_C_SUITE)),
         F.when(total > K.WHALE_DUMP_ABOVE, F.lit(K.REASON_WHALE)),
-        F.when(cluster_size > 1, F.concat(F.lit(before), cluster_size.cast("string"), F.lit(after))),
+        F.when(cluster_size > 1, F.format_string(K.REASON_CLUSTER, cluster_size)),
     )
 
 
@@ -49,9 +53,9 @@ def dollars0(value: Column) -> Column:
 
 def dollars2(value: Column) -> Column:
     """'$12.35' (display format of prices; no thousands separator)."""
-    return F.concat(F.lit("$"), F.format_string("%.2f", value))
+    return F.concat(F.lit("$"), _fixed(value, "0.00"))
 
 
 def fixed1(value: Column) -> Column:
     """'12.3' (display format of ratios)."""
-    return F.format_string("%.1f", value)
+    return _fixed(value, "0.0")

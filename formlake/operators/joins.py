@@ -3,12 +3,15 @@
 Two rules drive every join in the library:
 
 * a side is broadcast only after an exact count of the persisted side proves it holds
-  at most ``formlake.broadcast.maxRows`` rows;
+  at most ``formlake.broadcast.maxRows`` rows and ``formlake.broadcast.maxBytes`` bytes;
 * otherwise the join shuffles, and keys of the large side holding more than
   ``formlake.skew.rowsPerTask`` rows are salted: their rows are spread over several
   salt values and the single matching lookup row is replicated once per salt. The set
   of such hot keys holds at most ``total_rows / rowsPerTask`` entries, and is itself
-  checked before it is broadcast.
+  checked before it is broadcast (a longer list is joined by shuffle). Equal rows are told
+  apart by their count: they are combined map-side to (row, copies) and numbered again
+  before the salt is taken, so the salt is a function of values alone and a recomputed
+  task gives the same one.
 
 Lookups are pre-aggregated (one row per key) before any shuffle, so a hot key never
 sends more than one lookup row per salt across the network.
@@ -16,40 +19,89 @@ sends more than one lookup row per salt across the network.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import weakref
+from collections.abc import Callable, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from formlake.session import (
+    BROADCAST_MAX_BYTES_DEFAULT,
+    BROADCAST_MAX_BYTES_KEY,
     BROADCAST_MAX_ROWS_DEFAULT,
     BROADCAST_MAX_ROWS_KEY,
     ROWS_PER_TASK_DEFAULT,
     ROWS_PER_TASK_KEY,
     conf_int,
+    staged,
 )
 
-MAX_SALTS = 65_536
-_SALT, _SALTS, _N = "__salt", "__salts", "__n"
+_SALT, _SALTS, _N, _COPY = "__salt", "__salts", "__n", "__copy"
 
-# Lookups persisted by the joins below (so the size check and the join share one
-# computation). A job driver calls ``release_lookups()`` once the results are written.
-_PERSISTED: list[DataFrame] = []
+class LookupScope:
+    """The lookups cached for one run (so a size check and its join share one computation)."""
+
+    def __init__(self) -> None:
+        self._held: list[DataFrame] = []
+
+    def hold(self, df: DataFrame) -> DataFrame:
+        self._held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return self._held[-1]
+
+    def release(self) -> None:
+        while self._held:
+            self._held.pop().unpersist(blocking=False)
+
+
+_SCOPE: ContextVar[LookupScope | None] = ContextVar("lookup_scope", default=None)
+
+
+@contextmanager
+def lookup_scope():
+    """Lookups cached by the joins inside belong to this run and are released at its end, also
+    when it fails; those of other runs stay."""
+    scope = LookupScope()
+    token = _SCOPE.set(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        scope.release()
+
+
+def with_own_lookups(build: Callable[[], DataFrame]) -> DataFrame:
+    """The DataFrame of ``build``, whose lookups stay cached as long as it is referenced."""
+    scope = LookupScope()
+    token = _SCOPE.set(scope)
+    try:
+        out = build()
+    finally:
+        _SCOPE.reset(token)
+    weakref.finalize(out, scope.release).atexit = False
+    return out
 
 
 def _persist(df: DataFrame) -> DataFrame:
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(df)
-    return df
+    """Cached for the current scope; a caller without one clears Spark's cache itself."""
+    scope = _SCOPE.get()
+    if scope is not None:
+        return scope.hold(df)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def release_lookups() -> int:
-    """Unpersist every lookup cached by these joins; returns how many were released."""
-    n = len(_PERSISTED)
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist(blocking=False)
-    return n
+def cached_bytes(df: DataFrame) -> int:
+    """Bytes the filled cache of a persisted DataFrame takes."""
+    return int(df.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def small_enough(df: DataFrame, max_rows: int) -> bool:
+    """Whether a persisted lookup may be broadcast: an exact row count and its cached bytes."""
+    if bounded_count(df, max_rows) is None:
+        return False
+    return cached_bytes(df) <= conf_int(df.sparkSession, BROADCAST_MAX_BYTES_KEY, BROADCAST_MAX_BYTES_DEFAULT)
 
 
 def bounded_count(df: DataFrame, limit: int) -> int | None:
@@ -93,34 +145,28 @@ def lookup_join(
     max_rows = broadcast_limit(big, max_broadcast_rows)
 
     lookup = _persist(lookup)
-    if bounded_count(lookup, max_rows) is not None:
+    if small_enough(lookup, max_rows):
         return big.join(F.broadcast(lookup), keys, how).select(*out_cols)
 
     per_task = rows_per_task(big, task_rows)
     if key_counts is None:
         key_counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
-    hot = (
-        key_counts.filter(F.col(_N) > per_task)
-        .select(*keys, F.least(F.ceil(F.col(_N) / F.lit(per_task)), F.lit(MAX_SALTS)).cast("int").alias(_SALTS))
-    )
+    hot = key_counts.filter(F.col(_N) > per_task).select(*keys, F.ceil(F.col(_N) / F.lit(per_task)).cast("long").alias(_SALTS))
     hot = _persist(hot)
-    n_hot = bounded_count(hot, max_rows)
-    if n_hot == 0 or n_hot is None:
-        # nothing hot (or, beyond any realistic size, too many hot keys to list):
-        # a plain shuffle join; AQE's skew-join split still applies at run time
+    if hot.isEmpty():
         return big.join(lookup, keys, how).select(*out_cols)
 
-    big_salted = _with_salts(big, hot, keys).withColumn(
-        _SALT,
-        F.when(F.col(_SALTS).isNull(), F.lit(0).cast("long")).otherwise(
-            F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.col(_SALTS).cast("long"))
-        ),
-    )
-    lookup_salted = _with_salts(lookup, hot, keys).withColumn(
+    listed = F.broadcast(hot) if small_enough(hot, max_rows) else hot
+    marked = _with_salts(big, listed, keys)
+    usual = marked.filter(F.col(_SALTS).isNull()).select(*big.columns, F.lit(0).cast("long").alias(_SALT))
+    copies = marked.filter(F.col(_SALTS).isNotNull()).groupBy(*big.columns, _SALTS).agg(F.count(F.lit(1)).alias(_N))
+    each = copies.withColumn(_COPY, F.explode(F.sequence(F.lit(1).cast("long"), F.col(_N))))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns], F.col(_COPY)), F.col(_SALTS))
+    big_salted = usual.unionByName(each.select(*big.columns, salt.alias(_SALT)))
+    lookup_salted = _with_salts(lookup, listed, keys).withColumn(
         _SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(_SALTS), F.lit(1)).cast("long") - 1))
     )
-    joined = big_salted.drop(_SALTS).join(lookup_salted.drop(_SALTS), keys + [_SALT], how)
-    return joined.select(*out_cols)
+    return big_salted.join(lookup_salted.drop(_SALTS), keys + [_SALT], how).select(*out_cols)
 
 
 def _with_salts(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
@@ -131,7 +177,18 @@ def _with_salts(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     """
     renamed = hot.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], _SALTS)
     cond = [df[k].eqNullSafe(F.col(f"__hot_{k}")) for k in keys]
-    return df.join(F.broadcast(renamed), cond, "left").drop(*[f"__hot_{k}" for k in keys])
+    return df.join(renamed, cond, "left").drop(*[f"__hot_{k}" for k in keys])
+
+
+def computed_once(df: DataFrame) -> DataFrame:
+    """``df``, first written to the shared folder if computing it takes more than a scan.
+
+    For operators that read their input twice: a plan that joins, aggregates or parses
+    documents would otherwise run twice; a scan is cheaper to repeat (and is pruned).
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    costly = any(mark in plan for mark in ("Join ", "Aggregate ", "Generate ", "from_xml(", "Window "))
+    return staged(df, "once") if costly else df
 
 
 def attach_group_count(
@@ -147,6 +204,7 @@ def attach_group_count(
     per task instead of its rows; the counts are then joined back with ``lookup_join``.
     """
     keys = list(keys)
+    df = computed_once(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     return lookup_join(
         df,
@@ -164,6 +222,6 @@ def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], max_broadc
     keys = list(keys)
     right = _persist(right.select(*keys))
     max_rows = broadcast_limit(left, max_broadcast_rows)
-    if bounded_count(right, max_rows) is not None:
+    if small_enough(right, max_rows):
         right = F.broadcast(right)
     return left.join(right, keys, "left_anti")

@@ -62,21 +62,25 @@ def sell_rollup_groups(sell_signals: DataFrame) -> DataFrame:
     grouped = sell_signals.groupBy(*ROLLUP_KEYS).agg(
         F.max("conviction_score").alias("conviction_score"),
         F.max("cluster_count").alias("cluster_size"),
-        money(F.sum("total_value")).alias("total_value_aggregated"),
+        F.sum("total_value").alias("total_value_aggregated"),
         F.sum("shares").alias("total_shares"),
         F.count(F.lit(1)).alias("num_transactions"),
     )
-    avg = F.try_divide(F.col("total_value_aggregated"), F.nullif(F.col("total_shares"), F.lit(0.0)))
-    return grouped.withColumn("avg_price", avg).filter(F.col("total_value_aggregated") > 0)
+    return grouped.filter(F.col("total_value_aggregated") > 0)
 
 
 def sell_rollup(sell_signals: DataFrame, limit: int = K.SELL_ROLLUP_LIMIT) -> DataFrame:
-    """Top sell groups by day and score, with a reason text."""
+    """Top sell groups by day and score, with a reason text.
+
+    Groups are kept and flagged by their exact sums; the shown total and average come last
+    (the total in cents, so it does not depend on the order of summing).
+    """
     groups = sell_rollup_groups(sell_signals)
-    top = _top(groups, ["filing_date", "conviction_score"], limit)
-    return top.withColumn(
-        "signal_context", sell_reason(F.col("owner_title"), F.col("total_value_aggregated"), F.col("cluster_size"))
-    )
+    reason = sell_reason(F.col("owner_title"), F.col("total_value_aggregated"), F.col("cluster_size"))
+    total = money(F.col("total_value_aggregated"))
+    avg = F.try_divide(total, F.nullif(F.col("total_shares"), F.lit(0.0)))
+    shown = groups.withColumn("signal_context", reason).withColumn("total_value_aggregated", total).withColumn("avg_price", avg)
+    return _top(shown, ["filing_date", "conviction_score"], limit).select(*[c for c in shown.columns if c != "signal_context"], "signal_context")
 
 
 EXPLORER_COLUMNS = [
@@ -91,13 +95,9 @@ EXPLORER_COLUMNS = [
 ]
 
 
-def trade_explorer(
-    trades: DataFrame,
-    min_value: float = K.EXPLORER_MIN_VALUE,
-    ticker: str | None = None,
-    limit: int = K.EXPLORER_LIMIT,
-) -> DataFrame:
-    """Latest trades worth at least ``min_value``, optionally for one ticker.
+def explorer_trades(trades: DataFrame, min_value: float = K.EXPLORER_MIN_VALUE, ticker: str | None = None) -> DataFrame:
+    """All trades worth at least ``min_value``, optionally for one ticker: what the explorer's
+    totals and charts are computed over.
 
     The ticker input is upper-cased (not trimmed); an empty input means all tickers.
     Both values are bound as literals, never spliced into SQL text.
@@ -105,7 +105,17 @@ def trade_explorer(
     rows = trades.filter(F.col("total_value") >= F.lit(min_value))
     if ticker:
         rows = rows.filter(F.col("ticker") == F.upper(F.lit(ticker)))
-    return _top(rows.select(*EXPLORER_COLUMNS), ["transaction_date"], limit)
+    return rows.select(*EXPLORER_COLUMNS)
+
+
+def trade_explorer(
+    trades: DataFrame,
+    min_value: float = K.EXPLORER_MIN_VALUE,
+    ticker: str | None = None,
+    limit: int = K.EXPLORER_LIMIT,
+) -> DataFrame:
+    """The latest ``limit`` of ``explorer_trades``: the table that is shown."""
+    return _top(explorer_trades(trades, min_value, ticker), ["transaction_date"], limit)
 
 
 def explorer_metrics(explorer: DataFrame) -> DataFrame:
@@ -149,7 +159,7 @@ def price_overlay(prices: DataFrame, explorer: DataFrame, ticker: str, as_of: st
         F.lit(None).cast("string").alias("label"),
     )
     mine = explorer.filter((F.col("ticker") == F.upper(F.lit(ticker))) & F.col("transaction_code").isin("P", "S"))
-    # both marker series from one pass over the explorer (a top-k is not reused by Spark)
+    # both marker series from one pass over the explorer's trades
     is_buy = F.col("transaction_code") == "P"
     markers = mine.select(
         F.when(is_buy, F.lit("buy")).otherwise(F.lit("sell")).alias("series"),

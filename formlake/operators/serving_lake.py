@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from formlake import constants as K
 from formlake.operators import serving
-from formlake.schemas import ENRICHED, SIGNALS, TRADES
-from formlake.sources.lake import day_summary, list_children, path_exists, read_table, table_path, trades_view
+from formlake.schemas import ENRICHED, SIGNALS
+from formlake.sources.lake import list_children, path_exists, read_table, table_path, trades_view
 
 _PREFIX = K.PARTITION_COLUMN + "="
 FIRST_BATCH_DAYS = 4
@@ -42,7 +42,7 @@ def newest_days_with(
     needed: int,
 ) -> DataFrame:
     """The table restricted to the newest days holding at least ``needed`` qualifying rows
-    (all days if there are fewer). One count job per doubling batch of days."""
+    (all days if there are fewer; empty without the table). One count job per doubling batch of days."""
     days = stored_days(spark, root, table)
     chosen: list[str] = []
     found, size = 0, FIRST_BATCH_DAYS
@@ -51,7 +51,7 @@ def newest_days_with(
         found += qualifying(read_table(spark, root, table, schema, batch)).count()
         chosen += batch
         size *= 2
-    return read_table(spark, root, table, schema, chosen if chosen else [])
+    return read_table(spark, root, table, schema, chosen, required=False)
 
 
 def elite_buys_from_lake(
@@ -77,34 +77,6 @@ def trade_explorer_from_lake(
     ticker: str | None = None,
     limit: int = K.EXPLORER_LIMIT,
 ) -> DataFrame:
-    """``serving.trade_explorer`` over the stored trades, reading days by recency of trade.
-
-    The per-day summary gives each filing day's latest transaction date. Days are read
-    in that order, in doubling batches; once the k-th best transaction date found is
-    strictly later than every unread day's latest one, no unread row can enter the top k,
-    so the result equals the full scan. Without a summary that covers exactly the stored
-    days (``run_dates`` keeps it current), it scans all days.
-    """
-    summary = sorted(day_summary(spark, root), key=lambda r: (r[1], r[0]), reverse=True)
-    covered = {r[0].isoformat() for r in summary} == set(stored_days(spark, root, K.TABLE_TRADES))
-    if not summary or not covered:
-        # no summary, or one that does not match the stored days: scan everything
-        return serving.trade_explorer(trades_view(spark, root), min_value, ticker, limit)
-    days = [r[0].isoformat() for r in summary]
-    latest = [r[1] for r in summary]
-    # first batch: the fewest days holding k trades at all (enough if every trade qualifies)
-    read, total = 0, 0
-    while read < len(days) and total < limit:
-        total += summary[read][2]
-        read += 1
-    size = max(read, 1)
-    read = 0
-    while True:
-        read = min(len(days), read + size)
-        size = read  # doubles the days read so far
-        top = serving.trade_explorer(read_table(spark, root, K.TABLE_TRADES, TRADES, days[:read]), min_value, ticker, limit)
-        if read == len(days):
-            return top
-        stats = top.agg(F.count(F.lit(1)).alias("n"), F.min("transaction_date").alias("kth")).first()
-        if stats["n"] >= limit and stats["kth"] > latest[read]:
-            return top
+    """``serving.trade_explorer`` over the stored trades: one pruned scan and a distributed top k
+    (trades are ordered by transaction date, which no partition bounds)."""
+    return serving.trade_explorer(trades_view(spark, root), min_value, ticker, limit)

@@ -64,14 +64,13 @@ fx_sell AS (SELECT * FROM fx_scored_sell WHERE conviction_score >= 5)"""
 FUNDAMENTALS = """
 fx_fund_raw AS (
   SELECT ticker,
-    CAST(100 - (n % 9) * 6 AS DOUBLE) AS current_price,
-    CAST(100 AS DOUBLE) AS high_52w,
-    CASE WHEN n % 5 = 0 THEN NULL ELSE CAST(n + 3 AS DOUBLE) END AS trailing_pe,
-    CASE WHEN n % 7 = 0 THEN NULL ELSE CAST(n AS DOUBLE) / 10 END AS price_to_book,
-    CAST(n AS DOUBLE) * 7.5 AS debt_to_equity,
-    CAST((n % 4) - 1 AS DOUBLE) / 10 AS profit_margins
+    CASE WHEN n % 6 <> 0 THEN CAST(100 - (n % 9) * 6 AS DOUBLE) END AS current_price,
+    CASE WHEN n % 6 <> 0 THEN CAST(100 AS DOUBLE) END AS high_52w,
+    CASE WHEN n % 6 <> 0 AND n % 5 <> 0 THEN CAST(n + 3 AS DOUBLE) END AS trailing_pe,
+    CASE WHEN n % 6 <> 0 AND n % 7 <> 0 THEN CAST(n AS DOUBLE) / 10 END AS price_to_book,
+    CASE WHEN n % 6 <> 0 THEN CAST(n AS DOUBLE) * 7.5 END AS debt_to_equity,
+    CASE WHEN n % 6 <> 0 THEN CAST((n % 4) - 1 AS DOUBLE) / 10 END AS profit_margins, n
   FROM (SELECT DISTINCT upper(replace(p_brand, '#', '')) AS ticker, CAST(substr(p_brand, 7) AS INTEGER) AS n FROM part) b
-  WHERE n % 6 <> 0
 ),
 fx_fund AS (
   SELECT ticker,
@@ -124,6 +123,9 @@ EXPLORER = RAW_TRADES + """,
 fx_explorer AS (
   SELECT filing_date, transaction_date, ticker, owner_name, owner_title, transaction_code, price_per_share, total_value
   FROM fx_trades WHERE total_value >= 10000 {ticker_filter}
+),
+fx_explorer_top AS (
+  SELECT * FROM fx_explorer
   ORDER BY transaction_date DESC NULLS LAST, filing_date ASC NULLS FIRST, ticker ASC NULLS FIRST,
     owner_name ASC NULLS FIRST, owner_title ASC NULLS FIRST, transaction_code ASC NULLS FIRST,
     price_per_share ASC NULLS FIRST, total_value ASC NULLS FIRST
@@ -235,26 +237,28 @@ FROM (
 fx_groups AS (
   SELECT filing_date, ticker, company_name, owner_name, owner_title,
     max(conviction_score) AS conviction_score, max(cluster_count) AS cluster_size,
-    round(sum(total_value), 2) AS total_value_aggregated, sum(shares) AS total_shares, count(*) AS num_transactions
+    sum(total_value) AS raw_total, round(sum(total_value), 2) AS total_value_aggregated, sum(shares) AS total_shares,
+    count(*) AS num_transactions
   FROM fx_sell GROUP BY filing_date, ticker, company_name, owner_name, owner_title
 ),
-fx_top AS (
-  SELECT *, total_value_aggregated / NULLIF(total_shares, 0) AS avg_price FROM fx_groups
-  WHERE total_value_aggregated > 0
-  ORDER BY filing_date DESC NULLS LAST, conviction_score DESC NULLS LAST, ticker ASC NULLS FIRST,
-    company_name ASC NULLS FIRST, owner_name ASC NULLS FIRST, owner_title ASC NULLS FIRST, cluster_size ASC NULLS FIRST,
-    total_value_aggregated ASC NULLS FIRST, total_shares ASC NULLS FIRST, num_transactions ASC NULLS FIRST,
-    avg_price ASC NULLS FIRST
-  LIMIT 100
+fx_shown AS (
+  SELECT filing_date, ticker, company_name, owner_name, owner_title, conviction_score, cluster_size,
+    total_value_aggregated, total_shares, num_transactions, total_value_aggregated / NULLIF(total_shares, 0) AS avg_price,
+    concat_ws(', ',
+      CASE WHEN upper(owner_title) LIKE '%CEO%' OR upper(owner_title) LIKE '%CFO%' THEN '👑 C-Suite' END,
+      CASE WHEN raw_total > 1000000 THEN '📉 Whale Dump' END,
+      CASE WHEN cluster_size > 1 THEN '⚠️ Cluster (' || CAST(cluster_size AS VARCHAR) || ' sellers)' END) AS signal_context
+  FROM fx_groups WHERE raw_total > 0
 )""",
         """
-SELECT *, concat_ws(', ',
-    CASE WHEN upper(owner_title) LIKE '%CEO%' OR upper(owner_title) LIKE '%CFO%' THEN '👑 C-Suite' END,
-    CASE WHEN total_value_aggregated > 1000000 THEN '📉 Whale Dump' END,
-    CASE WHEN cluster_size > 1 THEN '⚠️ Cluster (' || CAST(cluster_size AS VARCHAR) || ' sellers)' END) AS signal_context
-FROM fx_top""",
+SELECT * FROM fx_shown
+ORDER BY filing_date DESC NULLS LAST, conviction_score DESC NULLS LAST, ticker ASC NULLS FIRST,
+  company_name ASC NULLS FIRST, owner_name ASC NULLS FIRST, owner_title ASC NULLS FIRST, cluster_size ASC NULLS FIRST,
+  total_value_aggregated ASC NULLS FIRST, total_shares ASC NULLS FIRST, num_transactions ASC NULLS FIRST,
+  avg_price ASC NULLS FIRST
+LIMIT 100""",
     ),
-    "trade_explorer": _with(EXPLORER.format(ticker_filter=""), "SELECT * FROM fx_explorer"),
+    "trade_explorer": _with(EXPLORER.format(ticker_filter=""), "SELECT * FROM fx_explorer_top"),
     "explorer_metrics": _with(
         EXPLORER.format(ticker_filter=""),
         "SELECT count(*) AS visible_trades, round(sum(total_value), 2) / count(*) AS avg_trade_size FROM fx_explorer",
@@ -278,5 +282,53 @@ UNION ALL
 SELECT 'sell', transaction_date, price_per_share, owner_name || ' ($' || format('{{:,.0f}}', total_value) || ')'
 FROM fx_explorer WHERE transaction_code = 'S'""",
     ),
+    "parse_rejects": _with(
+        RAW_TRADES,
+        """
+SELECT CASE WHEN substr(md5(cik || '_' || accession_number || '.txt'), 1, 1) IN ('0', '3', '6', '9', 'c', 'f') THEN 'rejected' ELSE 'read' END AS state,
+  accession_number, ticker, transaction_date, transaction_code, shares, price_per_share
+FROM fx_trades""",
+    ),
+    "fundamentals_as_of": _with(
+        RAW_TRADES + "," + FUNDAMENTALS + """,
+fx_span AS (SELECT CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi FROM orders),
+fx_history AS (
+  SELECT f.* REPLACE (trailing_pe + 50 AS trailing_pe), lo AS as_of FROM fx_fund_raw f, fx_span WHERE n % 4 <> 3
+  UNION ALL SELECT f.*, lo + CAST(floor((hi - lo) / 2) AS INTEGER) FROM fx_fund_raw f, fx_span
+),
+fx_met AS (
+  SELECT d.filing_date, h.*, row_number() OVER (PARTITION BY d.ticker, d.filing_date ORDER BY h.as_of DESC) AS k
+  FROM (SELECT DISTINCT ticker, filing_date FROM fx_trades) d JOIN fx_history h ON h.ticker = d.ticker AND h.as_of <= d.filing_date
+)""",
+        """
+SELECT ticker, filing_date, coalesce(trailing_pe, 999.0) AS pe_ratio, coalesce(price_to_book, 999.0) AS pb_ratio,
+  coalesce(debt_to_equity, 999.0) AS debt_to_equity, coalesce(profit_margins, -1.0) AS profit_margins,
+  CASE WHEN high_52w > 0 AND current_price > 0 THEN (high_52w - current_price) / high_52w ELSE 0.0 END AS dip_from_52w_high
+FROM fx_met WHERE k = 1""",
+    ),
+    "trade_display": _with(
+        RAW_TRADES,
+        """
+SELECT accession_number, ticker, transaction_date, transaction_code,
+  '$' || format('{:.2f}', floor(price_per_share * 8) / 8) AS price_per_share,
+  '$' || format('{:,.0f}', total_value) AS total_value,
+  format('{:.1f}', floor(total_value / 1000) / 4) AS ratio
+FROM fx_trades""",
+    ),
+    "scan_filings": """
+SELECT 'day_' || strftime(day, '%Y%m%d') || '.txt' AS file_name, day AS filing_date,
+  CAST(length(content) AS BIGINT) AS n_chars, md5(content) AS md5
+FROM (SELECT CAST(o_orderdate AS DATE) AS day,
+        string_agg(CAST(o_orderkey AS VARCHAR) || '|' || CAST(o_custkey AS VARCHAR), chr(10) ORDER BY o_orderkey) AS content
+      FROM orders GROUP BY 1) d""",
+    "scan_trades": _with(RAW_TRADES, f"SELECT {TRADE_COLS} FROM fx_trades"),
+    "scan_signals": _with(SCORED, "SELECT * FROM fx_sell"),
+    "write_partitioned": _with(
+        RAW_TRADES,
+        """
+SELECT filing_date, transaction_code, count(*) AS trades, sum(shares) AS shares
+FROM fx_trades WHERE month(filing_date) % 2 = 0 OR transaction_code = 'S' GROUP BY filing_date, transaction_code""",
+    ),
+    "table_preview": _with(RAW_TRADES, "SELECT count(*) AS row_count, least(10, count(*)) AS preview_rows FROM fx_trades"),
     "projected_price": "SELECT upper(replace(p_brand, '#', '')) AS ticker, p_retailprice * 1.1 AS projected_price FROM part",
 }

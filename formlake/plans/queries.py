@@ -8,17 +8,22 @@ input (a ticker, an as-of date) the query binds a fixed example value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formlake import constants as K
+from formlake.functions import display, scores
 from formlake.operators import enrich as E
 from formlake.operators import ingest, parse, serving
-from formlake.operators.joins import release_lookups
+from formlake.operators.joins import with_own_lookups
 from formlake.operators import signals as S
+from formlake.session import scratch_path
 from formlake.sources import fixtures as fx
-from formlake.sources import render
+from formlake.sources import lake, render
+from formlake.sources.filings import read_filings
 from formlake.sources.index import calendar_between, parse_master_index
 
 # example user inputs of the chart views
@@ -50,10 +55,6 @@ def _enriched(spark, sf):
     return E.enrich(_buys(spark, sf), _fundamentals(spark, sf))
 
 
-def _explorer(spark, sf, ticker=None):
-    return serving.trade_explorer(fx.trades(spark, sf), ticker=ticker)
-
-
 def q_index_calendar(spark, sf):
     orders = fx.table(spark, sf, "orders")
     bounds = orders.agg(F.min("o_orderdate").cast("date").alias("start"), F.max("o_orderdate").cast("date").alias("end"))
@@ -69,7 +70,7 @@ def q_form4_index(spark, sf):
 
 
 def q_download_plan(spark, sf):
-    f4 = ingest.form4_index(render.render_index_texts(fx.index_rows(spark, sf)))
+    f4 = ingest.form4_index(render.render_index_texts(fx.index_rows(spark, sf)), with_run_date=True)
     return ingest.download_plan(f4, fx.landed_files(spark, sf, EXAMPLE_ROOT), EXAMPLE_ROOT)
 
 
@@ -82,13 +83,29 @@ def q_parse_filings(spark, sf):
     return trades
 
 
+def q_parse_rejects(spark, sf):
+    """Trades of filings of which every third ends before its root element is closed, with the
+    share of them that were listed as rejects."""
+    filings = render.render_filings(fx.raw_trades(spark, sf))
+    cut = F.substring(F.md5("file_name"), 1, 1).isin("0", "3", "6", "9", "c", "f")
+    broken = F.when(cut, F.replace("content", F.lit("</ownershipDocument>"), F.lit("<footnotes><footnote>"))).otherwise(F.col("content"))
+    docs = parse.parse_documents(filings.withColumn("content", broken))
+    trades = parse.trades_from_documents(docs.withColumn("file_name", F.concat(F.when(F.col("doc._corrupt_record") != "", "rejected_").otherwise("read_"), "file_name")), keep_file_name=True)
+    return trades.select(F.substring_index("file_name", "_", 1).alias("state"), "accession_number", "ticker", "transaction_date", "transaction_code", "shares", "price_per_share")
+
+
 def q_score_role(spark, sf):
-    return _scored_both_sides(spark, sf).select("accession_number", "ticker", "owner_title", "transaction_code", "score_role")
+    return fx.trades(spark, sf).select(
+        "accession_number", "ticker", "owner_title", "transaction_code", scores.score_role("owner_title").alias("score_role")
+    )
 
 
 def q_score_value(spark, sf):
-    return _scored_both_sides(spark, sf).select(
-        "accession_number", "ticker", "transaction_code", "total_value", "score_value_mid", "score_value_high"
+    value, buy = F.col("total_value"), F.col("transaction_code") == S.BUY.code
+    high = F.when(buy, scores.score_value_high(S.BUY.high_threshold, value)).otherwise(scores.score_value_high(S.SELL.high_threshold, value))
+    return fx.trades(spark, sf).select(
+        "accession_number", "ticker", "transaction_code", "total_value",
+        scores.score_value_mid(value).alias("score_value_mid"), high.alias("score_value_high"),
     )
 
 
@@ -123,15 +140,15 @@ def q_sell_rollup(spark, sf):
 
 
 def q_trade_explorer(spark, sf):
-    return _explorer(spark, sf)
+    return serving.trade_explorer(fx.trades(spark, sf))
 
 
 def q_explorer_metrics(spark, sf):
-    return serving.explorer_metrics(_explorer(spark, sf))
+    return serving.explorer_metrics(serving.explorer_trades(fx.trades(spark, sf)))
 
 
 def q_net_volume(spark, sf):
-    return serving.net_volume(_explorer(spark, sf))
+    return serving.net_volume(serving.explorer_trades(fx.trades(spark, sf)))
 
 
 def q_price_history(spark, sf):
@@ -139,7 +156,7 @@ def q_price_history(spark, sf):
 
 
 def q_price_overlay(spark, sf):
-    explorer = _explorer(spark, sf, EXAMPLE_TICKER)
+    explorer = serving.explorer_trades(fx.trades(spark, sf), ticker=EXAMPLE_TICKER)
     return serving.price_overlay(fx.prices(spark, sf), explorer, EXAMPLE_TICKER, EXAMPLE_AS_OF)
 
 
@@ -147,13 +164,69 @@ def q_projected_price(spark, sf):
     return serving.projected_price(fx.smoke_prices(spark, sf))
 
 
-def _releasing(query: Query) -> Query:
-    """Build the query after releasing lookups cached for earlier ones (a released
-    lookup is simply recomputed from lineage if an older DataFrame still needs it)."""
+def q_fundamentals_as_of(spark, sf):
+    return E.fundamentals_as_of(fx.fundamentals_history(spark, sf), fx.trades(spark, sf))
+
+
+def q_trade_display(spark, sf):
+    """Display texts of every trade: prices, totals and half cents at rounding ties."""
+    rows = fx.trades(spark, sf).select("accession_number", "ticker", "transaction_date", "transaction_code", "price_per_share", "total_value")
+    rows = rows.withColumn("ratio", display.fixed1(F.floor(F.col("total_value") / 1000) / 4))
+    return serving.explorer_display(rows.withColumn("price_per_share", F.floor(F.col("price_per_share") * 8) / 8))
+
+
+def _lake(spark) -> str:
+    """A fresh lake root in the shared folder."""
+    return scratch_path(spark, f"lake-{uuid.uuid4().hex[:12]}")
+
+
+def _days(df) -> list:
+    return [r[0] for r in df.select("filing_date").distinct().collect()]  # one row per calendar day
+
+
+def _stored_trades(spark, sf) -> str:
+    root, trades = _lake(spark), fx.trades(spark, sf)
+    lake.write_day(trades, root, K.TABLE_TRADES, _days(trades), sort_asc="ticker")
+    return root
+
+
+def q_scan_filings(spark, sf):
+    root = _lake(spark)
+    render.land_texts(fx.day_files(spark, sf), root)
+    found = read_filings(spark, root)
+    return found.select("file_name", "filing_date", F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("md5"))
+
+
+def q_scan_trades(spark, sf):
+    return lake.trades_view(spark, _stored_trades(spark, sf))
+
+
+def q_scan_signals(spark, sf):
+    root, sells = _lake(spark), _sells(spark, sf)
+    lake.write_day(sells, root, K.TABLE_SELL_SIGNALS, _days(fx.trades(spark, sf)), sort_desc="conviction_score")
+    return lake.signals_view(spark, root, "sell")
+
+
+def q_write_partitioned(spark, sf):
+    """All days written once, then the days of odd months again with sales only: their purchases go,
+    and every other day stays."""
+    root, trades = _stored_trades(spark, sf), fx.trades(spark, sf)
+    odd = trades.filter(F.month("filing_date") % 2 == 1)
+    lake.write_day(odd.filter(F.col("transaction_code") == "S"), root, K.TABLE_TRADES, _days(odd))
+    stored = lake.trades_view(spark, root)
+    return stored.groupBy("filing_date", "transaction_code").agg(F.count(F.lit(1)).alias("trades"), F.sum("shares").alias("shares"))
+
+
+def q_table_preview(spark, sf):
+    found = lake.preview(lake.trades_view(spark, _stored_trades(spark, sf)).select("accession_number", "ticker"), 10)
+    return spark.createDataFrame([(found["row_count"], len(found["preview"]))], "row_count long, preview_rows long")
+
+
+def _holding(query: Query) -> Query:
+    """The query with its cached lookups held as long as its result is referenced."""
 
     def build(spark: SparkSession, sf: str) -> DataFrame:
-        release_lookups()
-        return query(spark, sf)
+        return with_own_lookups(lambda: query(spark, sf))
 
     build.__name__ = build.__qualname__ = getattr(query, "__name__", "query")
     build.__doc__ = query.__doc__
@@ -186,6 +259,14 @@ _QUERIES: dict[str, Query] = {
     "net_volume": q_net_volume,
     "price_overlay": q_price_overlay,
     "projected_price": q_projected_price,
+    "parse_rejects": q_parse_rejects,
+    "fundamentals_as_of": q_fundamentals_as_of,
+    "trade_display": q_trade_display,
+    "scan_filings": q_scan_filings,
+    "scan_trades": q_scan_trades,
+    "scan_signals": q_scan_signals,
+    "write_partitioned": q_write_partitioned,
+    "table_preview": q_table_preview,
 }
 
-QUERIES: dict[str, Query] = {name: _releasing(q) for name, q in _QUERIES.items()}
+QUERIES: dict[str, Query] = {name: _holding(q) for name, q in _QUERIES.items()}

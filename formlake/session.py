@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -11,6 +13,8 @@ from pyspark.sql import SparkSession
 # count proves it holds at most this many rows; otherwise a shuffle join is used.
 BROADCAST_MAX_ROWS_KEY = "formlake.broadcast.maxRows"
 BROADCAST_MAX_ROWS_DEFAULT = 1_000_000
+BROADCAST_MAX_BYTES_KEY = "formlake.broadcast.maxBytes"
+BROADCAST_MAX_BYTES_DEFAULT = 64 << 20
 # Rows one task should handle for a single hot key before the key is salted.
 ROWS_PER_TASK_KEY = "formlake.skew.rowsPerTask"
 ROWS_PER_TASK_DEFAULT = 2_000_000
@@ -61,6 +65,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current.removeprefix("file:")
 
 
+def staged(df, label: str):
+    """``df`` written once to a fresh table in the shared folder and read back: computed once,
+    lineage cut, every executor reaches the files."""
+    path = scratch_path(df.sparkSession, f"{label}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """A staging folder in the shared folder for one run: yields ``stage(df, label)`` (see ``staged``),
+    and the folder is deleted at the end."""
+    path = scratch_path(spark, f"run-{uuid.uuid4().hex[:12]}")
+
+    def stage(df, label: str):
+        df.write.parquet(f"{path}/{label}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{label}")
+
+    try:
+        yield stage
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the checkpoint folder (shared on a cluster)."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)

@@ -75,29 +75,36 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fundamentals_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One snapshot row per brand ticker; some tickers absent, some fields null.
-
-    The ``n % 6`` gap (FIXTURES.md) models tickers that have no fundamentals at all, so the
-    unmatched side of the left join is exercised; it is part of the input's meaning, not
-    a sample.
-    """
+    """One snapshot row per brand ticker; tickers with ``n % 6 = 0`` have a row of nulls, others some."""
     part = table(spark, sf_dir, "part").select("p_brand")
     brands = part.select(
         brand_ticker(F.col("p_brand")).alias("ticker"),
         brand_number(F.col("p_brand")).cast("int").alias("n"),
     ).distinct()
     n = F.col("n")
-    return brands.filter(n % 6 != 0).select(
+    known = n % 6 != 0
+    return brands.select(
         "ticker",
-        (F.lit(100) - (n % 9) * 6).cast("double").alias("current_price"),
-        F.lit(100.0).alias("high_52w"),
-        F.when(n % 5 == 0, F.lit(None).cast("double")).otherwise((n + 3).cast("double")).alias("trailing_pe"),
-        F.when(n % 7 == 0, F.lit(None).cast("double")).otherwise(n.cast("double") / 10).alias("price_to_book"),
-        (n.cast("double") * 7.5).alias("debt_to_equity"),
-        (((n % 4) - 1).cast("double") / 10).alias("profit_margins"),
+        F.when(known, (F.lit(100) - (n % 9) * 6).cast("double")).alias("current_price"),
+        F.when(known, F.lit(100.0)).alias("high_52w"),
+        F.when(known & (n % 5 != 0), (n + 3).cast("double")).alias("trailing_pe"),
+        F.when(known & (n % 7 != 0), n.cast("double") / 10).alias("price_to_book"),
+        F.when(known, n.cast("double") * 7.5).alias("debt_to_equity"),
+        F.when(known, ((n % 4) - 1).cast("double") / 10).alias("profit_margins"),
     )
 
 
+def fundamentals_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots per ticker: one from the start of the orders with a higher P/E, one from
+    the middle; tickers with ``n % 4 = 3`` have the later one only."""
+    lo, hi = table(spark, sf_dir, "orders").agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
+    now = fundamentals_raw(spark, sf_dir)
+    late = now.withColumn("as_of", F.lit(lo + (hi - lo) // 2))
+    early = now.withColumn("as_of", F.lit(lo)).withColumn("trailing_pe", F.col("trailing_pe") + 50)
+    early = early.filter(F.regexp_extract("ticker", r"(\d+)$", 1).cast("int") % 4 != 3)
+    return early.unionByName(late)
+
+
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily close per ticker: the highest trade price of the day."""
     return (
@@ -147,6 +154,18 @@ def landed_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     )
 
 
+def day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One text file per order day: its orders, one line each, in order."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    line = F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"))
+    day = F.col("o_orderdate").cast("date")
+    return (
+        orders.groupBy(day.alias("filing_date"))
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", line.alias("line")))), lambda x: x["line"]), "\n").alias("content"))
+        .select("filing_date", F.concat(F.lit("day_"), F.date_format("filing_date", "yyyyMMdd"), F.lit(".txt")).alias("file_name"), "content")
+    )
+
+
 def smoke_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ticker, price, is_tech) rows: each part's brand ticker and retail price."""
     part = table(spark, sf_dir, "part").select("p_brand", "p_retailprice", "p_type")

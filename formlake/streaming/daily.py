@@ -10,15 +10,12 @@ which files were seen.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from formlake import constants as K
 from formlake.plans.daily_batch import run_dates
-from formlake.session import ensure_checkpoint_dir
 from formlake.sources.lake import table_path
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -28,17 +25,17 @@ DAY_IN_PATH = r"/(\d{4}-\d{2}-\d{2})/[^/]*$"
 def start_filings_stream(
     spark: SparkSession,
     root: str,
+    checkpoint: str,
     fundamentals_raw: DataFrame | None = None,
-    checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
     on_batch=None,
 ) -> StreamingQuery:
-    """Start the stream. ``available_now`` processes everything landed so far and stops;
+    """Start the stream. ``checkpoint`` is the lasting folder that records what was seen: a fresh one
+    would rebuild every day. ``available_now`` processes everything landed so far and stops;
     otherwise it triggers every ``processing_time`` (e.g. '1 hour')."""
     folder = table_path(root, K.TABLE_FILINGS)
-    checkpoint = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "streams", "filings")
     reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)

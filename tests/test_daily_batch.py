@@ -47,6 +47,7 @@ def test_run_dates_end_to_end(spark, tmp_root):
     plan = read_table(spark, tmp_root, "raw/download_plan", spark.read.parquet(report["download_plan"]["path"]).schema)
     assert plan.count() <= report["index"]["rows"]
     assert set(report["elite"]) <= {d.isoformat() for d in days}
+    assert report["failed_days"] == {} and report["rejects"]["rows"] == 0
 
 
 def test_stream_builds_new_days_once(spark, tmp_root):
@@ -104,12 +105,10 @@ def test_lake_serving_reads_newest_days_only_and_matches_full_scan(spark, tmp_ro
 def test_lake_explorer_matches_full_scan(spark, tmp_root):
     from formlake.operators import serving
     from formlake.operators.serving_lake import trade_explorer_from_lake
-    from formlake.sources.lake import day_summary
 
     days = busiest_days(spark, 6)
     land(spark, tmp_root, days)
-    report = run_dates(spark, tmp_root, days, fx.fundamentals_raw(spark, SF_SMALL))
-    assert report["trades_days"] == len(days) == len(day_summary(spark, tmp_root))
+    run_dates(spark, tmp_root, days, fx.fundamentals_raw(spark, SF_SMALL))
     stored = trades_view(spark, tmp_root)
     for kw in ({"limit": 1}, {"limit": 7}, {"limit": 40, "min_value": 50_000.0}, {"limit": 10_000}, {"limit": 3, "ticker": "brand7"}):
         assert rows(trade_explorer_from_lake(spark, tmp_root, **kw)) == rows(serving.trade_explorer(stored, **kw)), kw
@@ -143,3 +142,103 @@ def test_stream_rebuilds_a_day_many_times_idempotently(spark, tmp_root):
     assert len(batches) > 1 and all(b == [days[0].isoformat()] for b in batches)
     expected = fx.trades(spark, SF_SMALL).filter(F.col("filing_date").isin(days))
     assert rows(trades_view(spark, tmp_root)) == rows(expected)
+
+
+def test_a_broken_filing_costs_its_own_day_only(spark, tmp_root):
+    import gzip
+
+    days = busiest_days(spark, 2)
+    land(spark, tmp_root, days)
+    first = run_dates(spark, tmp_root, days)
+    before = rows(trades_view(spark, tmp_root, [days[1]]))
+    # a compressed text with a bad checksum: reading it fails
+    packed = bytearray(gzip.compress(b"<XML></XML>" * 500))
+    packed[-8] ^= 255
+    bad = os.path.join(tmp_root, K.TABLE_FILINGS, days[1].isoformat(), "9_bad.txt.gz")
+    open(bad, "wb").write(bytes(packed))
+    os.rename(bad, bad[:-3])  # read as text: fine; the unreadable one is a folder-level checksum file below
+    with open(os.path.join(os.path.dirname(bad), ".9_bad.txt.crc"), "wb") as f:
+        f.write(b"crc\x00\x00\x00\x02\x00" + b"\x00" * 4 * 8)
+    report = run_dates(spark, tmp_root, days)
+    assert first["failed_days"] == {} and set(report["failed_days"]) == {days[1].isoformat()}
+    assert "9_bad.txt" in report["failed_days"][days[1].isoformat()]
+    # the failed day keeps its data, the other is rebuilt
+    assert rows(trades_view(spark, tmp_root, [days[1]])) == before
+    assert report["by_day"][days[0].isoformat()]["trades"]["rows"] == first["trades"]["rows"] - len(before)
+
+
+def test_index_is_stored_under_its_run_date(spark, tmp_root):
+    from formlake.sources.lake import index_view
+
+    folder = os.path.join(tmp_root, INDEX_TEXTS)
+    os.makedirs(folder)
+    head = "CIK|Company Name|Form Type|Date Filed|File Name\n---\n"
+    line = lambda k: f"{k}|C{k}|4|20260105|edgar/data/{k}/a-{k}.txt\n"
+    open(os.path.join(folder, "master.20260105.idx"), "w").write(head + "".join(map(line, range(5))))
+    open(os.path.join(folder, "master.20260106.idx"), "w").write(head + line(9))
+    run_dates(spark, tmp_root, ["2026-01-05"])
+    report = run_dates(spark, tmp_root, ["2026-01-06"])
+    stored = index_view(spark, tmp_root)
+    assert sorted((str(r.filing_date), str(r.date_filed)) for r in stored.collect()) == [("2026-01-05", "2026-01-05")] * 5 + [("2026-01-06", "2026-01-05")]
+    plan = spark.read.parquet(report["download_plan"]["path"])
+    assert [r.output_path.split("/")[-2] for r in plan.filter("cik = '9'").collect()] == ["2026-01-06"]
+
+
+def test_a_malformed_index_costs_its_own_day_only(spark, tmp_root):
+    days = busiest_days(spark, 2)
+    land(spark, tmp_root, days)
+    with open(os.path.join(tmp_root, INDEX_TEXTS, f"master.{days[0]:%Y%m%d}.idx"), "a") as f:
+        f.write("7|Bad|4|05.01.2026|edgar/data/7/x.txt\n")
+    report = run_dates(spark, tmp_root, days)
+    assert set(report["failed_days"]) == {days[0].isoformat()}
+    assert {r.filing_date for r in trades_view(spark, tmp_root).collect()} == {days[1]}
+
+
+def test_rejects_are_stored_and_their_trades_recovered(spark, tmp_root):
+    from formlake.operators.parse import parse_filings
+    from formlake.schemas import FILINGS
+
+    filings = render.render_filings(fx.raw_trades(spark, SF_SMALL))
+    day = busiest_days(spark, 1)
+    land(spark, tmp_root, day)
+    folder = os.path.join(tmp_root, K.TABLE_FILINGS, day[0].isoformat())
+    names = sorted(os.listdir(folder))[:2]
+    for name in names:
+        path = os.path.join(folder, name)
+        text = open(path).read().replace("</ownershipDocument>", "<remarks>never closed")
+        open(path, "w").write(text)
+    report = run_dates(spark, tmp_root, day)
+    assert report["parse_health"]["rejected"] == 2
+    expected = fx.trades(spark, SF_SMALL).filter(F.col("filing_date").isin(day))
+    assert rows(trades_view(spark, tmp_root)) == rows(expected)
+    stored = spark.read.parquet(report["rejects"]["path"]).collect()
+    assert sorted(r.file_name for r in stored) == names and all("never closed" in r.xml for r in stored)
+    # a broken transaction is dropped alone
+    one = filings.limit(1).withColumn("content", F.regexp_replace("content", "</transactionAmounts>(?s:.*)", "</nonDerivativeTransaction></XML>"))
+    trades, rejects = parse_filings(one.withColumn("path", F.lit("p")).select(*FILINGS.fieldNames()))
+    assert trades.count() == 0 and rejects.count() == 1
+
+
+def test_reports_of_an_empty_lake_are_empty(spark, tmp_root, capsys):
+    from formlake.__main__ import main
+    from formlake.operators.serving_lake import elite_buys_from_lake, sell_rollup_from_lake
+
+    assert elite_buys_from_lake(spark, tmp_root).count() == sell_rollup_from_lake(spark, tmp_root).count() == 0
+    main(["report", "--root", tmp_root, "--kind", "elite"])
+    assert "no signals" in capsys.readouterr().out
+
+
+def test_lookups_of_a_run_are_released_even_when_it_fails(spark):
+    from formlake.operators.joins import lookup_join, lookup_scope
+
+    big, look = spark.range(5).withColumnRenamed("id", "k"), spark.createDataFrame([(1, 2.0)], "k long, y double")
+    with lookup_scope() as other:
+        lookup_join(big, look, ["k"])
+        try:
+            with lookup_scope() as scope:
+                lookup_join(big, look, ["k"])
+                held = list(scope._held)
+                raise ValueError
+        except ValueError:
+            pass
+        assert held and not scope._held and len(other._held) == 1

@@ -83,3 +83,30 @@ def test_hot_null_key_is_salted_and_never_matches(spark):
     # 3,000 null-key rows are spread over ceil(3000 / 100) = 30 salts
     assert "__salt" in salted._jdf.queryExecution().executedPlan().toString()
     assert nulls.count() == 3_000
+
+
+def test_equal_rows_of_a_hot_key_use_all_salts(spark):
+    df = spark.range(3_000).select(F.lit(7).alias("k"), F.lit("same").alias("x"))
+    df = df.unionByName(spark.range(50).select(F.col("id").cast("int").alias("k"), F.lit("other").alias("x")))
+    look = spark.createDataFrame([(k, float(k)) for k in range(50)], "k int, y double")
+    out = lookup_join(df, look, ["k"], "left", max_broadcast_rows=0, task_rows=100)
+    assert rows(out) == rows(lookup_join(df, look, ["k"], "left"))
+    # the salted side of the join as planned: 3,001 rows of the hot key over ceil(3001 / 100) salts
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "__copy" in plan and "__salt" in plan
+    salts = F.pmod(F.xxhash64("k", "x", F.col("copy")), F.lit(31))
+    spread = spark.range(1, 3_001).select(F.lit(7).alias("k"), F.lit("same").alias("x"), F.col("id").alias("copy")).select(salts.alias("s"))
+    assert spread.distinct().count() == 31
+
+
+def test_large_lookups_are_not_broadcast_whatever_their_row_count(spark):
+    from formlake.operators.joins import small_enough
+
+    wide = spark.range(100).select(F.col("id").cast("int").alias("k"), F.repeat(F.md5(F.col("id").cast("string")), 200).alias("y")).persist()
+    assert small_enough(wide, 1_000)
+    spark.conf.set("formlake.broadcast.maxBytes", "10000")
+    try:
+        assert not small_enough(wide, 1_000)
+    finally:
+        spark.conf.unset("formlake.broadcast.maxBytes")
+        wide.unpersist()
