@@ -12,7 +12,6 @@ import sys
 HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, HERE)
 
-from formlake.operators.joins import release_lookups  # noqa: E402
 from formlake.plans.queries import QUERIES  # noqa: E402
 from formlake.session import local_session  # noqa: E402
 
@@ -32,7 +31,6 @@ def main() -> None:
         text = re.sub(r"file:/[^\]\s,]*/", "file:.../", text)
         with open(os.path.join(out_dir, f"{name}.txt"), "w") as f:
             f.write(f"# {name} at {os.path.basename(sf_dir)} (executed plan)\n\n{text}")
-        release_lookups()
     print(f"wrote {len(QUERIES)} plans to {out_dir}")
 
 
