@@ -328,6 +328,22 @@ FROM (SELECT CAST(o_orderdate AS DATE) AS day,
         """
 SELECT filing_date, transaction_code, count(*) AS trades, sum(shares) AS shares
 FROM fx_trades WHERE month(filing_date) % 2 = 0 OR transaction_code = 'S' GROUP BY filing_date, transaction_code""",
+    ),
+    "run_dates": _with(
+        RAW_TRADES + "," + INDEX_ROWS + """,
+fx_day AS (
+  SELECT filing_date, transaction_code AS code, total_value,
+    CASE WHEN month(filing_date) % 2 = 0 THEN 3 ELSE 0 END + CASE WHEN total_value > 100000 THEN 2 ELSE 0 END
+      + CASE WHEN total_value > CASE transaction_code WHEN 'P' THEN 500000 ELSE 1000000 END THEN 3 ELSE 0 END
+      + CASE WHEN count(*) OVER (PARTITION BY filing_date, transaction_code) > 1 THEN 2 ELSE 0 END AS score
+  FROM fx_trades
+)""",
+        """
+SELECT filing_date, stored, count(*) AS n FROM (
+  SELECT filing_date, 'trades' AS stored FROM fx_day
+  UNION ALL SELECT filing_date, CASE code WHEN 'P' THEN 'buy_signals' ELSE 'sell_signals' END FROM fx_day WHERE score >= 5
+  UNION ALL SELECT date_filed, 'form4_filings' FROM fx_form4 WHERE date_filed IN (SELECT filing_date FROM fx_raw_trades)
+) u GROUP BY filing_date, stored""",
     ),
     "table_preview": _with(RAW_TRADES, "SELECT count(*) AS row_count, least(10, count(*)) AS preview_rows FROM fx_trades"),
     "projected_price": "SELECT upper(replace(p_brand, '#', '')) AS ticker, p_retailprice * 1.1 AS projected_price FROM part",

@@ -21,6 +21,7 @@ from formlake.operators import ingest, parse, serving
 from formlake.operators.joins import with_own_lookups
 from formlake.operators import signals as S
 from formlake.session import scratch_path
+from formlake.plans.daily_batch import run_dates
 from formlake.sources import fixtures as fx
 from formlake.sources import lake, render
 from formlake.sources.filings import read_filings
@@ -192,7 +193,7 @@ def _stored_trades(spark, sf) -> str:
 
 def q_scan_filings(spark, sf):
     root = _lake(spark)
-    render.land_texts(fx.day_files(spark, sf), root)
+    render.land_texts(fx.day_files(spark, sf).withColumn("folder", render.day_folder()), root)
     found = read_filings(spark, root)
     return found.select("file_name", "filing_date", F.length("content").cast("long").alias("n_chars"), F.md5("content").alias("md5"))
 
@@ -222,6 +223,22 @@ def q_table_preview(spark, sf):
     return spark.createDataFrame([(found["row_count"], len(found["preview"]))], "row_count long, preview_rows long")
 
 
+def q_run_dates(spark, sf):
+    """The daily batch over all days: one filing per day lands as a file, with every line item in it;
+    the stored tables are counted per day."""
+    root, raw = _lake(spark), fx.day_filings(spark, sf)
+    days = _days(raw)
+    render.land_rendered(raw, fx.index_rows(spark, sf), root)
+    report = run_dates(spark, root, days)
+    if report["failed_days"]:
+        raise RuntimeError(f"failed days: {report['failed_days']}")
+    stored = lake.trades_view(spark, root).select("filing_date", F.lit("trades").alias("stored"))
+    for side in ("buy", "sell"):
+        stored = stored.unionByName(lake.signals_view(spark, root, side).select("filing_date", F.lit(f"{side}_signals").alias("stored")))
+    stored = stored.unionByName(lake.index_view(spark, root).select("filing_date", F.lit("form4_filings").alias("stored")))
+    return stored.groupBy("filing_date", "stored").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _holding(query: Query) -> Query:
     """The query with its cached lookups held as long as its result is referenced."""
 
@@ -267,6 +284,7 @@ _QUERIES: dict[str, Query] = {
     "scan_signals": q_scan_signals,
     "write_partitioned": q_write_partitioned,
     "table_preview": q_table_preview,
+    "run_dates": q_run_dates,
 }
 
 QUERIES: dict[str, Query] = {name: _holding(q) for name, q in _QUERIES.items()}

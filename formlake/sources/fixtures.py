@@ -154,6 +154,23 @@ def landed_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     )
 
 
+def day_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All line items as transactions of one filing per filing day, whose header depends on the day."""
+    day, month = F.col("filing_date"), F.month("filing_date")
+    head = {
+        "cik": F.date_format(day, "yyyyMMdd"),
+        "accession_number": F.concat(F.date_format(day, "yyyyMMdd"), F.lit("-26-000001")),
+        "ticker": F.concat(F.lit("WD"), F.weekday(day).cast("string")),
+        "company_name": F.lit("Day Inc"),
+        "owner_name": F.concat(F.lit("Owner "), month.cast("string")),
+        "owner_title": F.when(month % 2 == 0, F.lit("CFO")).otherwise(F.lit("Clerk")),
+        "is_director": F.lit(False),
+        "is_officer": F.lit(True),
+        "is_ten_percent_owner": F.lit(False),
+    }
+    return raw_trades(spark, sf_dir).withColumns(head)
+
+
 def day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text file per order day: its orders, one line each, in order."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
