@@ -139,6 +139,10 @@ AS_OF_START = "2000-08-01"  # twelve months before EXAMPLE_AS_OF
 assert EXAMPLE_AS_OF == "2001-08-01"
 
 
+# the lake queries file rows on the first of their month
+MONTH = "CAST(date_trunc('month', filing_date) AS DATE) AS filing_date"
+
+
 def _with(ctes: str, body: str) -> str:
     return "WITH " + ctes.strip() + "\n" + body.strip()
 
@@ -318,31 +322,32 @@ FROM fx_trades""",
     "scan_filings": """
 SELECT 'day_' || strftime(day, '%Y%m%d') || '.txt' AS file_name, day AS filing_date,
   CAST(length(content) AS BIGINT) AS n_chars, md5(content) AS md5
-FROM (SELECT CAST(o_orderdate AS DATE) AS day,
+FROM (SELECT CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS day,
         string_agg(CAST(o_orderkey AS VARCHAR) || '|' || CAST(o_custkey AS VARCHAR), chr(10) ORDER BY o_orderkey) AS content
       FROM orders GROUP BY 1) d""",
-    "scan_trades": _with(RAW_TRADES, f"SELECT {TRADE_COLS} FROM fx_trades"),
-    "scan_signals": _with(SCORED, "SELECT * FROM fx_sell"),
+    "scan_trades": _with(RAW_TRADES, f"SELECT {TRADE_COLS.replace('filing_date', MONTH)} FROM fx_trades"),
+    "scan_signals": _with(SCORED, f"SELECT * REPLACE ({MONTH}) FROM fx_sell"),
     "write_partitioned": _with(
         RAW_TRADES,
         """
-SELECT filing_date, transaction_code, count(*) AS trades, sum(shares) AS shares
-FROM fx_trades WHERE month(filing_date) % 2 = 0 OR transaction_code = 'S' GROUP BY filing_date, transaction_code""",
+SELECT CAST(date_trunc('month', filing_date) AS DATE) AS filing_date, transaction_code, count(*) AS trades, sum(shares) AS shares
+FROM fx_trades WHERE month(filing_date) % 2 = 0 OR transaction_code = 'S' GROUP BY 1, 2""",
     ),
     "run_dates": _with(
         RAW_TRADES + "," + INDEX_ROWS + """,
+fx_month AS (SELECT * REPLACE (CAST(date_trunc('month', filing_date) AS DATE) AS filing_date) FROM fx_trades),
 fx_day AS (
   SELECT filing_date, transaction_code AS code, total_value,
     CASE WHEN month(filing_date) % 2 = 0 THEN 3 ELSE 0 END + CASE WHEN total_value > 100000 THEN 2 ELSE 0 END
       + CASE WHEN total_value > CASE transaction_code WHEN 'P' THEN 500000 ELSE 1000000 END THEN 3 ELSE 0 END
       + CASE WHEN count(*) OVER (PARTITION BY filing_date, transaction_code) > 1 THEN 2 ELSE 0 END AS score
-  FROM fx_trades
+  FROM fx_month
 )""",
         """
 SELECT filing_date, stored, count(*) AS n FROM (
   SELECT filing_date, 'trades' AS stored FROM fx_day
   UNION ALL SELECT filing_date, CASE code WHEN 'P' THEN 'buy_signals' ELSE 'sell_signals' END FROM fx_day WHERE score >= 5
-  UNION ALL SELECT date_filed, 'form4_filings' FROM fx_form4 WHERE date_filed IN (SELECT filing_date FROM fx_raw_trades)
+  UNION ALL SELECT CAST(date_trunc('month', date_filed) AS DATE), 'form4_filings' FROM fx_form4
 ) u GROUP BY filing_date, stored""",
     ),
     "table_preview": _with(RAW_TRADES, "SELECT count(*) AS row_count, least(10, count(*)) AS preview_rows FROM fx_trades"),

@@ -185,8 +185,13 @@ def _days(df) -> list:
     return [r[0] for r in df.select("filing_date").distinct().collect()]  # one row per calendar day
 
 
+def _monthly(df, day: str = "filing_date"):
+    """Rows filed on the first of their month: fewer, larger lake partitions, all rows kept."""
+    return df.withColumn(day, F.trunc(day, "MM"))
+
+
 def _stored_trades(spark, sf) -> str:
-    root, trades = _lake(spark), fx.trades(spark, sf)
+    root, trades = _lake(spark), _monthly(fx.trades(spark, sf))
     lake.write_day(trades, root, K.TABLE_TRADES, _days(trades), sort_asc="ticker")
     return root
 
@@ -203,15 +208,15 @@ def q_scan_trades(spark, sf):
 
 
 def q_scan_signals(spark, sf):
-    root, sells = _lake(spark), _sells(spark, sf)
-    lake.write_day(sells, root, K.TABLE_SELL_SIGNALS, _days(fx.trades(spark, sf)), sort_desc="conviction_score")
+    root, sells = _lake(spark), _monthly(_sells(spark, sf))
+    lake.write_day(sells, root, K.TABLE_SELL_SIGNALS, _days(_monthly(fx.trades(spark, sf))), sort_desc="conviction_score")
     return lake.signals_view(spark, root, "sell")
 
 
 def q_write_partitioned(spark, sf):
     """All days written once, then the days of odd months again with sales only: their purchases go,
     and every other day stays."""
-    root, trades = _stored_trades(spark, sf), fx.trades(spark, sf)
+    root, trades = _stored_trades(spark, sf), _monthly(fx.trades(spark, sf))
     odd = trades.filter(F.month("filing_date") % 2 == 1)
     lake.write_day(odd.filter(F.col("transaction_code") == "S"), root, K.TABLE_TRADES, _days(odd))
     stored = lake.trades_view(spark, root)
@@ -224,11 +229,11 @@ def q_table_preview(spark, sf):
 
 
 def q_run_dates(spark, sf):
-    """The daily batch over all days: one filing per day lands as a file, with every line item in it;
-    the stored tables are counted per day."""
-    root, raw = _lake(spark), fx.day_filings(spark, sf)
+    """The daily batch over all days: one filing per day lands as a file, with every line item of its
+    month in it; the stored tables are counted per day."""
+    root, raw = _lake(spark), fx.day_filings(_monthly(fx.raw_trades(spark, sf)))
     days = _days(raw)
-    render.land_rendered(raw, fx.index_rows(spark, sf), root)
+    render.land_rendered(raw, _monthly(fx.index_rows(spark, sf), "date_filed"), root)
     report = run_dates(spark, root, days)
     if report["failed_days"]:
         raise RuntimeError(f"failed days: {report['failed_days']}")

@@ -154,8 +154,8 @@ def landed_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     )
 
 
-def day_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All line items as transactions of one filing per filing day, whose header depends on the day."""
+def day_filings(raw: DataFrame) -> DataFrame:
+    """The rows of ``raw`` as transactions of one filing per filing day, whose header depends on the day."""
     day, month = F.col("filing_date"), F.month("filing_date")
     head = {
         "cik": F.date_format(day, "yyyyMMdd"),
@@ -168,14 +168,14 @@ def day_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "is_officer": F.lit(True),
         "is_ten_percent_owner": F.lit(False),
     }
-    return raw_trades(spark, sf_dir).withColumns(head)
+    return raw.withColumns(head)
 
 
 def day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One text file per order day: its orders, one line each, in order."""
+    """One text file per order month, dated its first day: its orders, one line each, in order."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     line = F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"))
-    day = F.col("o_orderdate").cast("date")
+    day = F.trunc(F.col("o_orderdate").cast("date"), "MM")
     return (
         orders.groupBy(day.alias("filing_date"))
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", line.alias("line")))), lambda x: x["line"]), "\n").alias("content"))
