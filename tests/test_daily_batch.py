@@ -145,19 +145,14 @@ def test_stream_rebuilds_a_day_many_times_idempotently(spark, tmp_root):
 
 
 def test_a_broken_filing_costs_its_own_day_only(spark, tmp_root):
-    import gzip
-
     days = busiest_days(spark, 2)
     land(spark, tmp_root, days)
     first = run_dates(spark, tmp_root, days)
     before = rows(trades_view(spark, tmp_root, [days[1]]))
-    # a compressed text with a bad checksum: reading it fails
-    packed = bytearray(gzip.compress(b"<XML></XML>" * 500))
-    packed[-8] ^= 255
-    bad = os.path.join(tmp_root, K.TABLE_FILINGS, days[1].isoformat(), "9_bad.txt.gz")
-    open(bad, "wb").write(bytes(packed))
-    os.rename(bad, bad[:-3])  # read as text: fine; the unreadable one is a folder-level checksum file below
-    with open(os.path.join(os.path.dirname(bad), ".9_bad.txt.crc"), "wb") as f:
+    # a text whose checksum file doesn't fit: reading it fails
+    folder = os.path.join(tmp_root, K.TABLE_FILINGS, days[1].isoformat())
+    open(os.path.join(folder, "9_bad.txt"), "w").write("<XML></XML>" * 500)
+    with open(os.path.join(folder, ".9_bad.txt.crc"), "wb") as f:
         f.write(b"crc\x00\x00\x00\x02\x00" + b"\x00" * 4 * 8)
     report = run_dates(spark, tmp_root, days)
     assert first["failed_days"] == {} and set(report["failed_days"]) == {days[1].isoformat()}

@@ -1,6 +1,6 @@
 """Write the executed (post-AQE) formatted plan of every registered query to docs/plans/.
 
-Usage: python tools/plans.py [SF_DIR]   (default /root/testdata/sf0.01)
+Usage: python tools/plans.py [SF_DIR [NAME...]]   (default /root/testdata/sf0.01, all queries)
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ def main() -> None:
     os.makedirs(out_dir, exist_ok=True)
     spark = local_session(8)
     spark.conf.set("spark.sql.maxMetadataStringLength", "400")
-    for name, query in QUERIES.items():
+    names = sys.argv[2:] or list(QUERIES)
+    for name, query in ((n, QUERIES[n]) for n in names):
         df = query(spark, sf_dir)
         df._jdf.queryExecution().toRdd().count()  # runs this plan, so AQE finalizes it
         text = spark.sparkContext._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(
@@ -31,7 +32,7 @@ def main() -> None:
         text = re.sub(r"file:/[^\]\s,]*/", "file:.../", text)
         with open(os.path.join(out_dir, f"{name}.txt"), "w") as f:
             f.write(f"# {name} at {os.path.basename(sf_dir)} (executed plan)\n\n{text}")
-    print(f"wrote {len(QUERIES)} plans to {out_dir}")
+    print(f"wrote {len(names)} plans to {out_dir}")
 
 
 if __name__ == "__main__":
