@@ -9,8 +9,9 @@ sample, and rows beyond ``CUT`` are rejected. Variances have a floor, so a stati
 constant in a group doesn't make its covariance singular.
 
 Each step is an aggregate per group (sums of products and quantile sketches, merged from
-partial ones) joined back to narrow rows; a source holding a third of all rows ships one
-partial per task. Groups under ``LEAST`` rows pool with others of their language, then of all
+partial ones) joined back to narrow rows. Rows are joined by group and one of ``SALTS`` salts (the
+group's few numbers are repeated per salt), so a source holding a third of all rows is spread,
+and the next aggregate ships one partial per task. Groups under ``LEAST`` rows pool with others of their language, then of all
 languages; a pool that is still too small rejects nothing.
 
 Defined results: a null text has no words and fails the base rules; null languages and sources
@@ -29,6 +30,7 @@ WINDOW = 8
 HALF = 0.75
 STEPS = 3
 LEAST = 60
+SALTS = 32
 CUT = 60.0  # squared distance
 CHI2_MEDIAN = {1: 0.455, 2: 1.386, 3: 2.366, 4: 3.357, 5: 4.351, 6: 5.348}
 # standard deviations of the transformed statistics are taken to be this much at least
@@ -95,13 +97,17 @@ def _distance(dims: list[str]) -> tuple[dict[str, Column], Column]:
     return factor, total
 
 
+def _per_salt(groups: DataFrame) -> DataFrame:
+    return groups.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+
+
 def _with_distance(rows: DataFrame, estimate: DataFrame, dims: list[str]) -> DataFrame:
     """``rows`` with their squared distance d2 under the estimate of their group."""
     factor, total = _distance(dims)
     for name, value in factor.items():
         estimate = estimate.withColumn(name, value)
     used = ["grp", *[f"m_{i}" for i in range(len(dims))], *factor]
-    out = rows.join(estimate.select(*used), "grp")
+    out = rows.join(_per_salt(estimate.select(*used)), ["grp", "salt"])
     for i, dim in enumerate(dims):
         z = F.col(dim) - F.col(f"m_{i}")
         for k in range(i):
@@ -112,9 +118,10 @@ def _with_distance(rows: DataFrame, estimate: DataFrame, dims: list[str]) -> Dat
 
 def mcd_distances(rows: DataFrame, floor: dict[str, float], label: str = "quality") -> DataFrame:
     """``rows`` (with ``grp`` and the columns named in ``floor``) with robust squared distances ``d2``."""
-    dims = list(floor)
+    dims, columns = list(floor), rows.columns
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)))
     middle = rows.groupBy("grp").agg(*[F.percentile_approx(d, 0.5).alias(f"m_{i}") for i, d in enumerate(dims)])
-    spread = rows.join(middle, "grp").groupBy("grp").agg(
+    spread = rows.join(_per_salt(middle), ["grp", "salt"]).groupBy("grp").agg(
         *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(len(dims))],
         *[(F.percentile_approx(F.abs(F.col(d) - F.col(f"m_{i}")), 0.5) * 1.4826).alias(f"s_{i}") for i, d in enumerate(dims)],
     )
@@ -127,12 +134,13 @@ def mcd_distances(rows: DataFrame, floor: dict[str, float], label: str = "qualit
         near = far.groupBy("grp").agg(F.percentile_approx("d2", HALF).alias("bar"))
         moments = [F.avg(d).alias(f"m_{i}") for i, d in enumerate(dims)]
         moments += [F.covar_pop(a, b).alias(f"c_{i}_{i + j}") for i, a in enumerate(dims) for j, b in enumerate(dims[i:])]
-        fitted = far.join(near, "grp").filter("d2 <= bar").groupBy("grp").agg(*moments)
+        fitted = far.join(_per_salt(near), ["grp", "salt"]).filter("d2 <= bar").groupBy("grp").agg(*moments)
         estimate = fitted.withColumns({f"c_{i}_{i}": F.greatest(F.col(f"c_{i}_{i}"), low[i]) for i in range(len(dims))})
     far = staged(_with_distance(rows, estimate, dims), f"{label}-far")
     scale = far.groupBy("grp").agg((F.percentile_approx("d2", 0.5) / CHI2_MEDIAN[len(dims)]).alias("scale"))
     # floors may make the middle distance small; they are not to be scaled away
-    return far.join(scale, "grp").withColumn("d2", F.col("d2") / F.greatest("scale", F.lit(1.0))).drop("scale")
+    far = far.join(_per_salt(scale), ["grp", "salt"])
+    return far.withColumn("d2", F.col("d2") / F.greatest("scale", F.lit(1.0))).select(*columns, "d2")
 
 
 def quality_verdicts(docs: DataFrame, label: str = "quality") -> DataFrame:
@@ -146,11 +154,13 @@ def quality_verdicts(docs: DataFrame, label: str = "quality") -> DataFrame:
     sizes = sizes.withColumn("own", F.col("n") >= LEAST)
     pooled = F.sum(F.when(F.col("own"), 0).otherwise(F.col("n"))).over(Window.partitionBy("a"))
     sizes = sizes.withColumn("grp", F.when(F.col("own"), F.to_json(F.array("a", "b"))).when(pooled >= LEAST, F.to_json(F.array("a"))).otherwise("all"))
-    groups = staged(sizes.select("a", "b", "grp"), f"{label}-groups")
-    judged = stats.filter("not base_failed").withColumns({"a": lang, "b": source}).join(groups, ["a", "b"]).drop("a", "b")
+    sizes = staged(sizes.select("a", "b", "n", "grp"), f"{label}-groups")
+    judged = stats.filter("not base_failed").withColumns({"a": lang, "b": source, "salt": F.pmod(F.xxhash64("doc_id", "x_length"), F.lit(SALTS))})
+    judged = judged.join(_per_salt(sizes.select("a", "b", "grp")), ["a", "b", "salt"]).drop("a", "b", "salt")
     far = mcd_distances(judged, FLOOR, label)
-    enough = far.groupBy("grp").agg((F.count(F.lit(1)) >= LEAST).alias("enough"))
-    far = far.join(enough, "grp").withColumn("kept", ~F.col("enough") | (F.col("d2") <= CUT))
+    enough = sizes.groupBy("grp").agg((F.sum("n") >= LEAST).alias("enough"))
+    far = far.withColumn("salt", F.pmod(F.xxhash64("doc_id", "d2"), F.lit(SALTS)))
+    far = far.join(_per_salt(enough), ["grp", "salt"]).withColumn("kept", ~F.col("enough") | (F.col("d2") <= CUT))
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2"]
     gone = stats.filter("base_failed").withColumns({"kept": F.lit(False), "d2": F.lit(None).cast("double")})
     return far.select(*out).unionByName(gone.select(*out))
