@@ -9,13 +9,16 @@ A byte goes if a ``LENGTH``-byte string covering it also starts anywhere else in
    repeated window. Pieces seen twice or more with equal bytes are repeated as a whole.
 2. What is left are the distinct pieces of repeated anchors, mostly the borders of
    repeated passages. They are cut into cells of ``CELL`` windows; the bytes common to all windows of
-   a cell choose the shard, so equal windows meet and even the pieces of one hot anchor
-   spread. Cells with equal bytes are counted once before they are gathered.
+   a cell (its core) choose the shard, so equal windows meet and the pieces of one hot anchor
+   spread by their cores. Cells with equal bytes are counted once before they are gathered.
 3. In its shard each batch of cells gets a suffix array (window starts sorted by their next
    ``LENGTH`` bytes) and is merge-scanned against the levels already there; equal starts in a
    batch or between a batch and a level are long matches. The batch then becomes a level, and
-   levels of equal size class merge, so there are at most log2(batches) + 1 of them. Shards
-   hold about ``SHARD_WINDOWS`` window starts, whatever the size of the corpus.
+   levels of equal size class merge, so there are at most log2(batches) + 1 of them. A core
+   with more than ``CORE_WINDOWS`` window starts in distinct cells (a passage followed by different text
+   in many places) goes to no shard: its windows are routed one by one, by a hash of their own
+   ``LENGTH`` bytes, and counted by partial aggregates. So shards hold about ``SHARD_WINDOWS`` window
+   starts, whatever the size of the corpus.
 4. Matched windows become byte spans per document, and the spans are cut out.
 
 Defined results: a null text is empty; a text under ``LENGTH`` bytes keeps all bytes; a row repeated
@@ -43,6 +46,7 @@ GRAM = 50
 CELL = 38
 BATCHES = 4
 SHARD_WINDOWS = 200_000
+CORE_WINDOWS = 25_000
 _U = np.uint64
 
 
@@ -205,6 +209,18 @@ def _matched(cells: DataFrame, shards: int, length: int, batches: int) -> DataFr
     return placed.repartition(tasks, "shard").sortWithinPartitions("shard").mapInPandas(run, "key long, s int, n int")
 
 
+def _counted(cells: DataFrame, length: int, label: str) -> DataFrame:
+    """(key, s, n) of repeated windows among distinct cells, each window counted by its own hash."""
+    at = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at")
+    windows = cells.select("core", "key", "s", "bytes", at).select(
+        "core", F.xxhash64(F.col("bytes").substr(F.col("at") + 1, F.lit(length))).alias("window"), "key", (F.col("s") + F.col("at")).alias("s")
+    )
+    windows = staged(windows, f"{label}-windows")
+    # a table of its own, as the anchors are: a window in many cells can be split
+    again = staged(windows.groupBy("core", "window").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("core", "window"), f"{label}-again")
+    return windows.join(again, ["core", "window"], "left_semi").select("key", "s", F.lit(1).alias("n"))
+
+
 _CODEC = "zstd"
 
 
@@ -292,8 +308,13 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cell: i
     cells = staged(_cells(prepared.filter("open").select("key", "packed", "marks"), length, cell), f"{label}-cells")
     kinds = cells.groupBy("core", "content").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "s", "n")).alias("one"), F.min("bytes").alias("bytes"))
     kinds = staged(kinds.select("core", "content", "c", "one.key", "one.s", "one.n", "bytes"), f"{label}-kinds")
-    windows = kinds.agg(F.sum("n")).first()[0] or 0
-    matched = _matched(kinds.select("core", "key", "s", "n", "bytes"), max(1, -(-windows // SHARD_WINDOWS)), length, batches)
+    hot = staged(kinds.groupBy("core").agg(F.sum("n").alias("windows")).filter(F.col("windows") > CORE_WINDOWS), f"{label}-hot")
+    apart = hot.agg(F.sum("windows")).first()[0] or 0
+    windows = (kinds.agg(F.sum("n")).first()[0] or 0) - apart
+    own = kinds.select("core", "key", "s", "n", "bytes")
+    matched = _matched(own.join(hot, "core", "left_anti") if apart else own, max(1, -(-windows // SHARD_WINDOWS)), length, batches)
+    if apart:
+        matched = matched.unionByName(_counted(own.join(hot, "core", "left_semi"), length, f"{label}-hot"))
     twice = cells.join(kinds.filter("c > 1").select("core", "content"), ["core", "content"], "left_semi").select("key", "s", "n")
     more = matched.unionByName(twice).groupBy("key").agg(F.collect_list(F.struct("s", "n")).alias("more"))
 

@@ -45,6 +45,23 @@ def test_cut_matches_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, got.collect()), key=str) == brute(texts)
 
 
+def test_no_core_fills_a_shard(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CORE_WINDOWS", 400, raising=False)
+    r, held, matched = rng(8), [], suffix_dedup._matched
+
+    def seen(cells, *args):
+        held.extend(cells.groupBy("core").agg(F.sum("n").alias("n")).collect())
+        return matched(cells, *args)
+
+    monkeypatch.setattr(suffix_dedup, "_matched", seen)
+    p = prose(r, 60)
+    # one passage with different text before and after it, also from within
+    texts = cases() + [(200 + k, f"{prose(r, 30)} {p[k % 7:]} {prose(r, 30)}") for k in range(60)]
+    got = cut_repeats(frame(spark, texts)).select("rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted(map(tuple, got.collect()), key=str) == brute(texts)
+    assert held and max(x.n for x in held) <= 400
+
+
 def test_stage_keeps_columns_and_cuts_text(spark):
     r = rng(3)
     p = prose(r, 50)
