@@ -11,8 +11,9 @@ of hashed grams with their discounted probabilities, are therefore of bounded si
 Prediction scores whole texts: the language of the lowest cross-entropy per character. A
 direct-mapped table remembers the probabilities of recent grams.
 
-Rejection is calibrated on a sample of about ``CALIBRATION`` labelled rows: per language the mean and
-spread of the cross-entropy. A text is accepted if its own does not exceed the mean by
+Rejection is calibrated on all labelled rows: per language the median and spread (median absolute
+deviation) of the cross-entropy, by grouped aggregates; a language with fewer than ``ENOUGH`` rows
+in the whole table takes those over all languages. A text is accepted if its own does not exceed the median by
 more than ``TOLERANCE`` standard errors (spread between texts plus sampling error of a text of
 this length). ``score`` is the posterior of the language, tempered by text length.
 
@@ -30,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formlake.llm.common import hash_sample, staged
+from formlake.llm.common import staged
 from formlake.llm.textkit import small_batches
 
 ORDER = 4
 MAX_GRAMS = 200_000
 MAX_LANGUAGES = 500
-CALIBRATION = 4_000
+ENOUGH = 20
 TOLERANCE = 8.0
 UNKNOWN = "und"
 _CHUNK = 500_000  # characters handled at once
@@ -193,15 +194,16 @@ class Scorer:
         return n, letter, sums, squares
 
 
-def _scored(rows: DataFrame, models: list[KneserNey], langs: list[str], limits: dict | None, keep: list[str], prefix: str = "") -> DataFrame:
-    """``keep`` columns with lang_pred, score, accepted, entropy and n (characters scored)."""
+def _scored(rows: DataFrame, models: list[KneserNey], langs: list[str], text: str) -> DataFrame:
+    """``rows`` (less a column ``text``) with lang_pred, score, letter (it has one), entropy, error (of the entropy) and n (characters scored)."""
+    keep = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(models) if models else None
-        for batch in small_batches(batches, "text"):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+        for batch in small_batches(batches, text):
+            texts = [t or "" for t in batch.column(text).to_pylist()]
             size = len(texts)
-            pred, score, accepted, entropy, error = np.full(size, UNKNOWN, dtype=object), np.zeros(size), np.zeros(size, bool), np.zeros(size), np.zeros(size)
+            pred, score, letter, entropy, error = np.full(size, UNKNOWN, dtype=object), np.zeros(size), np.zeros(size, bool), np.zeros(size), np.zeros(size)
             n = np.zeros(size)
             if scorer:
                 n, letter, sums, squares = scorer(texts)
@@ -215,23 +217,29 @@ def _scored(rows: DataFrame, models: list[KneserNey], langs: list[str], limits:
                 posterior = 1 / np.exp((sums - sums[at][:, None]) / ORDER).sum(axis=1)
                 pred[letter] = np.array(langs, dtype=object)[best[letter]]
                 score = np.where(letter, posterior, 0.0)
-                if limits is not None:
-                    mu, sd = np.array(limits["mean"])[best], np.array(limits["spread"])[best]
-                    accepted = letter & (entropy - mu <= TOLERANCE * np.sqrt(sd * sd + error * error))
             arrays = [batch.column(c) for c in keep]
-            arrays += [pa.array(pred.tolist(), pa.string()), pa.array(score), pa.array(accepted), pa.array(entropy), pa.array(n.astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score", "accepted", "entropy", "n"])
+            arrays += [pa.array(pred.tolist(), pa.string()), pa.array(score), pa.array(letter), pa.array(entropy), pa.array(error), pa.array(n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "lang_pred", "score", "letter", "entropy", "error", "n"])
+
+    fields = [f"{c} {t}" for c, t in rows.select(*keep).dtypes]
+    return rows.mapInArrow(run, ", ".join(fields) + ", lang_pred string, score double, letter boolean, entropy double, error double, n long")
+
 
-    fields = [f"`{c}` {t}" for c, t in rows.select(*keep).dtypes]
-    out = rows.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(run, ", ".join(fields) + ", lang_pred string, score double, accepted boolean, entropy double, n long")
-    # last columns by place: a kept column may have one of their names
-    return out.toDF(*[f"k{i}" for i in range(len(keep))], "lang_pred", "score", "accepted", "entropy", "n").select(
-        *[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *[F.col(c).alias(prefix + c) for c in ("lang_pred", "score", "accepted", "entropy", "n")]
-    )
+def limits_of(seen: DataFrame) -> DataFrame:
+    """(lang, mean, spread) of ``seen`` (lang, entropy): all rows count; a language of few rows has the limits over all."""
+    middle = lambda x: F.percentile_approx(x, 0.5, 10_000)
+    means = seen.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), middle(F.col("entropy")).alias("mean"))
+    off = seen.join(F.broadcast(means), "lang").groupBy("lang").agg(F.first("rows").alias("rows"), F.first("mean").alias("mean"), middle(F.abs(F.col("entropy") - F.col("mean"))).alias("off"))
+    every = seen.agg(middle(F.col("entropy")).alias("mean"))
+    every = seen.crossJoin(F.broadcast(every)).agg(F.first("mean").alias("all_mean"), middle(F.abs(F.col("entropy") - F.col("mean"))).alias("all_off"))
+    enough = F.col("rows") >= ENOUGH
+    pick = lambda c: F.when(enough, F.col(c)).otherwise(F.col(f"all_{c}"))
+    return off.crossJoin(F.broadcast(every)).select("lang", pick("mean").alias("mean"), F.greatest(F.lit(0.02), 1.4826 * pick("off")).alias("spread"))
 
 
-def learn(labelled: DataFrame, label: str = "language") -> tuple[list[KneserNey], list[str], dict]:
-    """Models, their languages and rejection limits from ``labelled`` (doc_id, lang, text; no nulls)."""
+
+def learn(labelled: DataFrame, label: str = "language") -> tuple[list[KneserNey], list[str]]:
+    """Models and their languages from ``labelled`` (lang, text; no nulls)."""
     counts = staged(gram_counts(labelled), f"{label}-grams")
     # counts of counts: few rows, whatever the size of the corpus
     spectrum = counts.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("grams")).toPandas()
@@ -239,7 +247,7 @@ def learn(labelled: DataFrame, label: str = "language") -> tuple[list[KneserNey]
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"{len(langs)} languages; the models are of bounded size for {MAX_LANGUAGES} at most")
     if not langs:
-        return [], [], {"mean": [], "spread": []}
+        return [], []
     least = {}
     for lang, part in spectrum.groupby("lang"):
         part = part.sort_values("n", ascending=False)
@@ -254,26 +262,28 @@ def learn(labelled: DataFrame, label: str = "language") -> tuple[list[KneserNey]
         if not len(grams):
             grams, n = np.zeros(1, np.uint64), np.ones(1, np.int64)
         models.append(KneserNey(grams, n, len(np.unique(grams & _U(0xFFFF))) + 1))
-    sample = hash_sample(labelled, CALIBRATION)
-    seen = _scored(sample, models, langs, None, ["lang"]).filter("n > 0").select("lang", "entropy", "n").toPandas()
-    limits = {"mean": [], "spread": []}
-    for lang in langs:
-        own = seen[seen["lang"] == lang]["entropy"].to_numpy() if len(seen) else np.zeros(0)
-        own = own if len(own) >= 20 else (seen["entropy"].to_numpy() if len(seen) else np.zeros(1))
-        limits["mean"].append(float(np.median(own)))
-        limits["spread"].append(float(max(0.02, 1.4826 * np.median(np.abs(own - np.median(own))))))
-    return models, langs, limits
+    return models, langs
 
 
 def identify(docs: DataFrame, train: Column | None = None, keep: tuple[str, ...] = ("doc_id",), prefix: str = "") -> DataFrame:
     """Language of every row of ``docs`` (doc_id, text, lang); learns from rows with a language
     for which ``train`` holds (all of them by default). ``keep``: columns to pass through;
     ``prefix``: before the names of the new ones."""
-    labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    known = F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
     if train is not None:
-        labelled = labelled.filter(train)
-    models, langs, limits = learn(labelled.select("doc_id", F.col("lang").cast("string").alias("lang"), "text"))
-    return _scored(docs, models, langs, limits, list(keep), prefix)
+        known = known & train
+    own = F.when(known, F.col("lang").cast("string")).alias("lang")
+    models, langs = learn(docs.filter(known).select(own, "text"))
+    # kept columns by place: one may have a name used here
+    kept = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
+    text = f"k{keep.index('text')}" if "text" in keep else "text"
+    rows = docs.select(*kept, own, *([] if "text" in keep else ["text"]))
+    # one pass: scored rows are written, limits follow from all labelled ones among them
+    scored = staged(_scored(rows, models, langs, text), "language-scored")
+    limits = limits_of(scored.filter("lang is not null and n > 0").select("lang", "entropy")).withColumnRenamed("lang", "lang_pred")
+    fits = F.col("entropy") - F.col("mean") <= TOLERANCE * F.sqrt(F.col("spread") * F.col("spread") + F.col("error") * F.col("error"))
+    judged = scored.join(F.broadcast(limits), "lang_pred", "left").withColumn("accepted", F.col("letter") & F.coalesce(fits, F.lit(False)))
+    return judged.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *[F.col(c).alias(prefix + c) for c in ("lang_pred", "score", "accepted", "entropy", "n")])
 
 
 def accept_languages(docs: DataFrame) -> DataFrame:

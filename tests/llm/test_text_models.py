@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from formlake.llm import decontaminate
 from formlake.llm.decontaminate import Segments, drop_contaminated, find_matches, normalised
-from formlake.llm.language_id import KneserNey, accept_languages, identify
+from formlake.llm.language_id import KneserNey, accept_languages, identify, limits_of
 from formlake.llm.queries import op6_language_id, op8_toxicity
 from formlake.llm.toxicity import score_toxicity
 from tests.conftest import SF_MID
@@ -114,6 +114,16 @@ def test_language_of_awkward_rows(spark):
     assert identify(docs.filter(F.lit(False))).count() == 0
 
 
+def test_limits_count_every_row(spark):
+    # 30 rows of a rare language among 30,000: its limits are its own; a language of 5 rows has the pooled ones
+    row = F.when(F.col("id") < 30, "rare").when(F.col("id") < 35, "few").otherwise("en")
+    entropy = F.when(F.col("id") < 30, 4.0 + F.col("id") / 100).otherwise(2.0 + F.pmod("id", F.lit(101)) / 100)
+    seen = spark.range(30_000).select(row.alias("lang"), entropy.alias("entropy"))
+    got = {x.lang: (x["mean"], x.spread) for x in limits_of(seen).collect()}
+    assert got["rare"] == (pytest.approx(4.145, abs=0.01), pytest.approx(1.4826 * 0.075, abs=0.02))
+    assert got["en"] == (pytest.approx(2.5, abs=0.01), pytest.approx(1.4826 * 0.25, abs=0.02)) and got["few"] == pytest.approx(got["en"], abs=0.01)
+
+
 def test_toxicity_on_held_out_rows(spark):
     found = op8_toxicity(spark, SF_MID)
     labels = spark.read.parquet(f"{SF_MID}/labels.parquet").select("doc_id", "toxic")
