@@ -2,11 +2,10 @@
 
 Learning counts character 4-grams of every labelled row: each task sums its own rows, and
 Spark sums the partial counts by (language, gram), so what is gathered follows the
-corpus. Lower orders are continuation counts, which follow from the distinct grams. A
-language keeps at most ``MAX_GRAMS`` grams: the cut is a least count taken from its counts of
-counts, and a rarer gram is scored by its lower orders. The models, sorted arrays
-of hashed grams with their discounted probabilities, are therefore of bounded size
-(under ``MAX_LANGUAGES`` languages, or learning fails) and travel with the tasks.
+corpus. Lower orders are continuation counts, which follow from the distinct grams. No gram is
+cut: the models, sorted arrays of all grams with their discounted probabilities, grow with
+the distinct grams of the corpus and travel with the tasks (under ``MAX_LANGUAGES`` languages, or
+learning fails). Driver and tasks hold them whole.
 
 Prediction scores whole texts: the language of the lowest cross-entropy per character. A
 direct-mapped table remembers the probabilities of recent grams.
@@ -35,7 +34,6 @@ from formlake.llm.common import staged
 from formlake.llm.textkit import small_batches
 
 ORDER = 4
-MAX_GRAMS = 200_000
 MAX_LANGUAGES = 500
 ENOUGH = 20
 TOLERANCE = 8.0
@@ -241,26 +239,13 @@ def limits_of(seen: DataFrame) -> DataFrame:
 def learn(labelled: DataFrame, label: str = "language") -> tuple[list[KneserNey], list[str]]:
     """Models and their languages from ``labelled`` (lang, text; no nulls)."""
     counts = staged(gram_counts(labelled), f"{label}-grams")
-    # counts of counts: few rows, whatever the size of the corpus
-    spectrum = counts.groupBy("lang", "n").agg(F.count(F.lit(1)).alias("grams")).toPandas()
-    langs = sorted(spectrum["lang"].unique())
+    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
     if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; the models are of bounded size for {MAX_LANGUAGES} at most")
-    if not langs:
-        return [], []
-    least = {}
-    for lang, part in spectrum.groupby("lang"):
-        part = part.sort_values("n", ascending=False)
-        fits = part["n"][part["grams"].cumsum() <= MAX_GRAMS]
-        least[lang] = int(fits.min()) if len(fits) else int(part["n"].max()) + 1
-    cut = labelled.sparkSession.createDataFrame(list(least.items()), "lang string, least long")
-    kept = counts.join(F.broadcast(cut), "lang").filter("n >= least").select("lang", "gram", "n").toPandas()
+        raise ValueError(f"{len(langs)} languages; at most {MAX_LANGUAGES} models travel with the tasks")
     models = []
-    for lang in langs:
-        own = kept[kept["lang"] == lang]
+    for lang in langs:  # one language at a time goes through the driver
+        own = counts.filter(F.col("lang") == lang).select("gram", "n").toPandas()
         grams, n = own["gram"].to_numpy().view(np.uint64), own["n"].to_numpy()
-        if not len(grams):
-            grams, n = np.zeros(1, np.uint64), np.ones(1, np.int64)
         models.append(KneserNey(grams, n, len(np.unique(grams & _U(0xFFFF))) + 1))
     return models, langs
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from formlake.llm import decontaminate
 from formlake.llm.decontaminate import Segments, drop_contaminated, find_matches, normalised
-from formlake.llm.language_id import KneserNey, accept_languages, identify, limits_of
+from formlake.llm.language_id import KneserNey, accept_languages, identify, learn, limits_of
 from formlake.llm.queries import op6_language_id, op8_toxicity
 from formlake.llm.toxicity import score_toxicity
 from tests.conftest import SF_MID
@@ -114,6 +114,17 @@ def test_language_of_awkward_rows(spark):
     assert identify(docs.filter(F.lit(False))).count() == 0
 
 
+def test_models_hold_every_gram(spark):
+    r = rng(11)
+    letters = "".join(map(chr, range(0x4E00, 0x4E00 + 900)))
+    text = "".join(r.choice(letters) for _ in range(250_000))
+    (model,), langs = learn(spark.createDataFrame([("zh", text)], "lang string, text string"))
+    padded = "\0\0\0" + text
+    # 250,000 characters at random: nearly every gram is a distinct one, and met once
+    assert langs == ["zh"] and len(model.orders[3][0]) == len({padded[k : k + 4] for k in range(len(text))}) > 240_000
+    assert len(model.orders[0][0]) == 900
+
+
 def test_limits_count_every_row(spark):
     # 30 rows of a rare language among 30,000: its limits are its own; a language of 5 rows has the pooled ones
     row = F.when(F.col("id") < 30, "rare").when(F.col("id") < 35, "few").otherwise("en")
