@@ -18,8 +18,9 @@ blocks of that size, one pass over the texts each.
 
 Defined results: null or empty texts match nothing; an item under ``MIN_ITEM`` characters is too short
 to tell from chance and is not searched; repeated items and rows repeat their matches; null
-ids are kept as they are; of several matches of an item in a text the one with the fewest
-edits counts, then the first. Positions refer to the normalised text. Extra columns play no part.
+ids are kept as they are, and items without an id are told apart by their text; of several
+matches of an item in a text the one with the fewest edits counts, then the first. Positions
+refer to the normalised text. Extra columns play no part.
 """
 
 from __future__ import annotations
@@ -65,14 +66,14 @@ class Segments:
 
     def __init__(self, items: list[tuple[int, str | None]], q: int = Q, segment: int = SEGMENT, rate: float = RATE):
         self.q, self.item, self.codes, self.edits = q, [], [], []
-        for item_id, text in items:
-            text = normalised(text)
+        for item_id, raw in items:
+            text = normalised(raw)
             if len(text) < MIN_ITEM:
                 continue
             last = max(0, len(text) - segment)
             for at in sorted({*range(0, last, segment // 2), last}):
                 piece = codes(text[at : at + segment])
-                self.item.append(item_id)
+                self.item.append(raw if item_id is None else item_id)  # without an id the text tells items apart
                 self.codes.append(piece)
                 # no more edits than leave a q-gram to count
                 self.edits.append(min(int(rate * len(piece)), (len(piece) - q) // q))
@@ -142,9 +143,9 @@ class Segments:
                 out += zip(d[good].tolist(), s[good].tolist(), np.maximum(0, stop - m).tolist(), stop.tolist(), edits[good].tolist())
         return out
 
-    def matches(self, texts: list[str]) -> list[dict[int, tuple[int, int, int]]]:
-        """Per text: item -> (edits, start, end) of its best match."""
-        out: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
+    def matches(self, texts: list[str]) -> list[dict[int | str, tuple[int, int, int]]]:
+        """Per text: item (its text, if it has no id) -> (edits, start, end) of its best match."""
+        out: list[dict[int | str, tuple[int, int, int]]] = [{} for _ in texts]
         joined = codes("\0".join(texts))
         begin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])[:-1].astype(np.int64)
         end = begin + np.array([len(t) for t in texts], dtype=np.int64)
@@ -157,13 +158,17 @@ class Segments:
         return out
 
 
+def _place(match: tuple[int | str, tuple]) -> tuple:
+    return (0, 0, match[0]) if isinstance(match[0], str) else (1, match[0], "")
+
+
 def _matched(docs: DataFrame, segments: Segments, keep: list[str]) -> DataFrame:
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", _CHUNK):
             found = segments.matches([normalised(t) for t in batch.column("text").to_pylist()])
-            rows = [[{"item_id": k, "start": a, "end": b, "edits": e} for k, (e, a, b) in sorted(f.items())] for f in found]
+            rows = [[{"item_id": None if isinstance(k, str) else k, "start": a, "end": b, "edits": e} for k, (e, a, b) in sorted(f.items(), key=_place)] for f in found]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(rows, kind)], names=[*keep, "matches"])
 
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
@@ -173,11 +178,11 @@ def _matched(docs: DataFrame, segments: Segments, keep: list[str]) -> DataFrame:
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Segments]:
-    items = benchmark.select("item_id", "text").filter("item_id is not null and text is not null")
+    items = benchmark.select("item_id", "text").filter("text is not null")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-size // INDEX_CHARS))
     for k in range(blocks):
-        part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
+        part = items if blocks == 1 else items.filter(F.pmod(F.when(F.col("item_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("item_id")), F.lit(blocks)) == k)
         yield Segments([(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()])
 
 

@@ -1,5 +1,7 @@
 """op4, op6 and op8: brute force for matches, held-out accuracy for trained models."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +75,18 @@ def test_find_and_drop(spark, monkeypatch):
     assert drop_contaminated(docs, benchmark.filter(F.lit(False))).count() == docs.count()
 
 
+def test_items_without_an_id(spark, monkeypatch):
+    r = rng(12)
+    items = [(1, prose(r, 30)), (None, prose(r, 20)), (None, prose(r, 25))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, [(k, prose(r, 20) + " " + items[k][1] + " " + prose(r, 20)) for k in range(3)] + [(3, items[0][1] + " " + items[1][1]), (4, prose(r, 60)), (5, items[1][1] + " " + items[2][1])])
+    for size in (10_000_000, 150):
+        monkeypatch.setattr(decontaminate, "INDEX_CHARS", size)
+        got = Counter((x.doc_id, x.item_id) for x in find_matches(docs, benchmark).collect())
+        assert got == Counter([(0, 1), (1, None), (2, None), (3, 1), (3, None), (5, None), (5, None)])
+        assert [x.doc_id for x in drop_contaminated(docs, benchmark).collect()] == [4]
+
+
 def test_kneser_ney_sums_to_one():
     r = rng(1)
     text = "\0\0\0" + "".join(r.choice("abc ") for _ in range(4000))
