@@ -51,3 +51,38 @@ cut AS (
 SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
   CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
 FROM bytes LEFT JOIN cut USING (doc_id)"""
+
+# every document against every item that shares a term with it
+RANKED_SEARCH = rf"""
+WITH rows AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_LOWER} AS t FROM documents),
+tokens AS (SELECT r, doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM rows),
+tf AS MATERIALIZED (SELECT r, doc_id, term, count(*) AS tf FROM tokens GROUP BY r, doc_id, term),
+lengths AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY r),
+corpus AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS total FROM lengths),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, corpus GROUP BY term),
+wanted AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scores AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // total)))) AS BIGINT) AS score
+  FROM wanted JOIN tf USING (term) JOIN weights USING (term) JOIN lengths USING (r), corpus GROUP BY item_id, r, doc_id
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+# base32 by groups of five hexadecimal digits, which are four letters; rows of equal id and payload differ by number
+WARC = """
+WITH rows AS MATERIALIZED (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS h FROM pages),
+known AS (SELECT r, page_id, h, sha1(h) AS x FROM rows),
+letters AS (
+  SELECT r, page_id, octet_length(encode(h)) AS payload_bytes, array_to_string(list_transform(range(0, 8), lambda g:
+    array_to_string(list_transform(range(0, 4), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      CAST((CAST('0x' || substr(x, 5 * g + 1, 5) AS BIGINT) >> (15 - 5 * k)) & 31 AS INTEGER) + 1, 1)), '')), '') AS payload_digest
+  FROM known
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST, r) AS place,
+    first_value(page_id) OVER (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST, r) AS best
+  FROM letters
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN place > 1 THEN best END AS refers_to
+FROM placed"""

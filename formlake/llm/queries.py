@@ -15,11 +15,14 @@ from formlake.llm.decontaminate import find_matches
 from formlake.llm.html_extract import extract
 from formlake.llm.language_id import identify
 from formlake.llm.near_dedup import near_duplicates
-from formlake.llm.oracle import NEAR_DEDUP, SUFFIX_DEDUP
+from formlake.llm.oracle import NEAR_DEDUP, RANKED_SEARCH, SUFFIX_DEDUP, WARC
 from formlake.llm.quality_rules import quality_verdicts
+from formlake.llm.ranked_search import ranked_search
 from formlake.llm.suffix_dedup import cut_repeats
+from formlake.llm.token_alignment import alignment
 from formlake.llm.toxicity import score_toxicity
 from formlake.llm.url_filter import judge_urls
+from formlake.llm.warc import archived
 
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
@@ -74,6 +77,20 @@ def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archived(table(spark, sf_dir, "pages"), min_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment(table(spark, sf_dir, "documents"), *files)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_url_template_filter": op2_url_template_filter,
@@ -85,6 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe_token_counts": op9_bpe_token_counts,
     "op10_swap_packing": op10_swap_packing,
+    "op11_reversed_search": op11_reversed_search,
+    "op12_warc": op12_warc,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 # the operators without an entry train models, match approximately or call tokenizers; tests hold them
@@ -92,4 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_near_dedup": NEAR_DEDUP,
     "op3_suffix_array_dedup": SUFFIX_DEDUP,
+    "op11_reversed_search": RANKED_SEARCH,
+    "op12_warc": WARC,
 }
