@@ -13,6 +13,9 @@ which it adds the space itself. Of a batch of whole texts:
 3. ``Table.group_by`` counts the links per (document, A id, B id), and per id pair of the batch. Spark
    merges the second, finds the highest count of every B id, and joins both back to the first.
 
+Neither tokenizer joins characters across the space between two words (checked against their files;
+else a text is one word), so a word is tokenized where it is new to the task and its ids are taken to its places.
+
 Texts go through in batches of about ``BATCH_BYTES``, a longer text alone. The table of id pairs is
 broadcast behind a checked bound, else joined by shuffle with frequent pairs salted.
 
@@ -25,7 +28,9 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +44,12 @@ from formlake.llm.textkit import small_batches
 from formlake.operators.joins import lookup_join, with_own_lookups
 
 BATCH_BYTES = 1 << 20
+CACHE = 400_000  # words whose ids a task remembers beyond its batch
+# before a space that stands between characters no pattern takes for white space
+_WORD_STARTS = re.compile(r"(?<=[\w!-~])(?= [\w!-~])")
+_EDGE = re.compile(r"[\w!-~]")
+WORDS_PER_TEXT = 1000
+_NO_LISTS = pa.array([], pa.list_(pa.int32()))
 _PAIR = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("c", pa.int64())])
 _PAIRS = "array<struct<a: int, b: int, c: bigint>>"
 
@@ -66,22 +77,65 @@ class Tokens:
         a_bytes = [b""] * (max(listed.values()) + 1)
         for token, i in listed.items():
             a_bytes[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
-        b_bytes = []
-        for i in range(self.b.get_piece_size()):
-            piece = self.b.id_to_piece(i)
-            b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+        b_pieces = [self.b.id_to_piece(i).replace("▁", " ") for i in range(self.b.get_piece_size())]
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.encode() for i, p in enumerate(b_pieces)]
         self.a_bytes, self.b_bytes = pa.array(a_bytes, pa.binary()), pa.array(b_bytes, pa.binary())
 
+        # a text may be cut before a space that stands between visible characters if A splits words as
+        # byte-level vocabularies do and no B piece runs on past a space mark
+        split = json.loads(self.a.to_str())
+        words = split["normalizer"] is None and (split["pre_tokenizer"] or {}).get("type") == "ByteLevel" and split["pre_tokenizer"].get("use_regex", True)
+        runs_on = any(x != " " and y == " " for p in b_pieces for x, y in zip(p, p[1:]))
+        self.by_word, self.known, self.a_ids, self.b_ids = words and not runs_on, {}, _NO_LISTS, _NO_LISTS
+        self.a_sizes = np.array([len(x) for x in a_bytes], dtype=np.int64)
+
+    def words(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """(words without the space before them, words before every text) of the texts."""
+        parts = [_WORD_STARTS.split(t) if self.by_word else [t] for t in texts]
+        flat = [w[1:] if k else w for part in parts for k, w in enumerate(part)]
+        return flat, np.concatenate([[0], np.cumsum([len(part) for part in parts])]).astype(np.int64)
+
+    def _a_ids(self, plain: list[str], others: list[str]) -> pa.ListArray:
+        """The A ids of words. ``plain`` ones start and end as words inside a text do: they are tokenized
+        in texts of many, whose ids are dealt out by their byte lengths; the others one by one."""
+        texts = ["".join(" " + w for w in plain[k : k + WORDS_PER_TEXT]) for k in range(0, len(plain), WORDS_PER_TEXT)]
+        each = [np.array(e.ids, dtype=np.int32) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, np.int32), *each])
+        sizes = np.fromiter((len(w.encode()) + 1 for w in plain), np.int64, len(plain))
+        ends = np.searchsorted(np.cumsum(self.a_sizes[ids]), np.cumsum(sizes), side="left") + 1
+        dealt = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids))
+        rest = [e.ids for e in self.a.encode_batch_fast([" " + w for w in others], add_special_tokens=False)]
+        return pa.concat_arrays([dealt, pa.array(rest, pa.list_(pa.int32()))])
+
+    def places(self, words: list[str]) -> pa.Array:
+        """Where the remembered id lists have each word; new words are tokenized first."""
+        distinct = dict.fromkeys(words)
+        fresh = [w for w in distinct if w not in self.known]
+        if len(self.known) + len(fresh) > CACHE:
+            self.known, fresh, self.a_ids, self.b_ids = {}, list(distinct), _NO_LISTS, _NO_LISTS
+        plain = [w for w in fresh if self.by_word and w and _EDGE.match(w[0]) and _EDGE.match(w[-1])]
+        taken = set(plain)
+        others = [w for w in fresh if w not in taken]
+        fresh = plain + others
+        self.known.update(zip(fresh, range(len(self.a_ids), len(self.a_ids) + len(fresh))))
+        self.a_ids = pa.concat_arrays([self.a_ids, self._a_ids(plain, others)])
+        self.b_ids = pa.concat_arrays([self.b_ids, pa.array(self.b.encode(fresh, num_threads=1), pa.list_(pa.int32()))])
+        return pa.array(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
+
     def lists(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
         """The A and B ids of every text; none where their bytes are not a space and the text."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
-        a, b = pa.array(a, pa.list_(pa.int32())), pa.array(b, pa.list_(pa.int32()))
+        flat, first = self.words(texts)
+        place, out = self.places(flat), []
         source = pa.array([b" " + t.encode() for t in texts], pa.binary())
-        equal = pc.and_(pc.equal(_joined(a, self.a_bytes), source), pc.equal(_joined(b, self.b_bytes), source))
-        equal = pc.and_(equal, pc.greater(pc.binary_length(source), 1))
-        none = pa.scalar([], a.type)
-        return pc.if_else(equal, a, none), pc.if_else(equal, b, none)
+        equal = pc.greater(pc.binary_length(source), 1)
+        for of_word, of_id in ((self.a_ids, self.a_bytes), (self.b_ids, self.b_bytes)):
+            ids = of_word.take(place)
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())])
+            ids = pa.ListArray.from_arrays(pa.array(ends[first], pa.int32()), ids.flatten())
+            equal = pc.and_(equal, pc.equal(_joined(ids, of_id), source))
+            out.append(ids)
+        none = pa.scalar([], out[0].type)
+        return tuple(pc.if_else(equal, ids, none) for ids in out)
 
 
 def _joined(ids: pa.ListArray, of_id: pa.Array) -> pa.Array:

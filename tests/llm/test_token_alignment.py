@@ -102,3 +102,21 @@ def test_empty_table(spark):
 def test_only_texts_without_tokens(spark, texts):
     rows = list(enumerate(texts))
     assert sorted(map(tuple, alignment(frame(spark, rows), A_FILE, B_FILE).collect()), key=repr) == brute_force(rows)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ids_by_word_are_those_of_whole_texts(seed):
+    from formlake.llm.token_alignment import Tokens
+
+    r = rng(100 + seed)
+    alphabet = ["a", "The", "é", "e\u0301", "\u0301", " ", "  ", "\n", "\t", "\r\n", "\u00a0", "\u3000", "\u180e", "\u200b", "\x1c", "'s", "'", ".", "!", "_", "1", "42", "日本", "🙂", "▁", "<s>", "<|endoftext|>", "\x85", "-", "ñ", "½", "²"]
+    texts = ["".join(r.choice(alphabet) + (" " if r.random() < 0.4 else "") for _ in range(r.randrange(1, 60))) for _ in range(500)]
+    tokens = Tokens(A_FILE, B_FILE)
+    assert tokens.by_word
+    flat, first = tokens.words(texts)
+    place = tokens.places(flat[: len(flat) // 2]).to_pylist() and tokens.places(flat)  # some words are known already
+    a, b = tokens.a_ids.take(place).to_pylist(), tokens.b_ids.take(place).to_pylist()
+    for k, text in enumerate(texts):
+        own = range(first[k], first[k + 1])
+        assert [i for w in own for i in a[w]] == tokens.a.encode(" " + text, add_special_tokens=False).ids, repr(text)
+        assert [i for w in own for i in b[w]] == tokens.b.encode(text), repr(text)
