@@ -63,4 +63,7 @@ TABLE_BUY_SIGNALS = "processed/gold_signals_buy"
 TABLE_SELL_SIGNALS = "processed/gold_signals_sell"
 TABLE_ENRICHED = "processed/enriched_signals"
 TABLE_REJECTS = "processed/rejects"
+TABLE_CLUSTERS = "processed/cluster_counts"
+TABLE_ERRORS = "processed/errors"
+TABLE_LANDED = "raw/landed_files"
 PARTITION_COLUMN = "filing_date"

@@ -19,20 +19,11 @@ from pyspark.sql import types as T
 from formlake import constants as K
 from formlake.operators import serving
 from formlake.schemas import ENRICHED, SIGNALS
-from formlake.sources.lake import list_children, path_exists, read_table, table_path, trades_view
+from formlake.sources.lake import read_table, stored_days, trades_view
 
-_PREFIX = K.PARTITION_COLUMN + "="
 FIRST_BATCH_DAYS = 4
 
 
-def stored_days(spark: SparkSession, root: str, table: str) -> list[str]:
-    """The table's days, newest first (one listing of the table root)."""
-    path = table_path(root, table)
-    if not path_exists(spark, path):
-        return []
-    return sorted((n[len(_PREFIX):] for n in list_children(spark, path) if n.startswith(_PREFIX)), reverse=True)
-
-
 def newest_days_with(
     spark: SparkSession,
     root: str,
