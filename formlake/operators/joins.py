@@ -36,7 +36,6 @@ from formlake.session import (
     ROWS_PER_TASK_DEFAULT,
     ROWS_PER_TASK_KEY,
     conf_int,
-    staged,
 )
 
 _SALT, _SALTS, _N, _COPY = "__salt", "__salts", "__n", "__copy"
@@ -180,32 +179,26 @@ def _with_salts(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(renamed, cond, "left").drop(*[f"__hot_{k}" for k in keys])
 
 
-def computed_once(df: DataFrame) -> DataFrame:
-    """``df``, first written to the shared folder if computing it takes more than a scan.
-
-    For operators that read their input twice: a plan that joins, aggregates or parses
-    documents would otherwise run twice; a scan is cheaper to repeat (and is pruned).
-    """
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    costly = any(mark in plan for mark in ("Join ", "Aggregate ", "Generate ", "from_xml(", "Window "))
-    return staged(df, "once") if costly else df
-
-
 def attach_group_count(
     df: DataFrame,
     keys: Sequence[str],
     name: str,
     max_broadcast_rows: int | None = None,
     task_rows: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name`` = number of rows of ``df`` sharing the row's key (null keys get null).
 
     The count is a partial (map-side) aggregate, so a hot key ships one partial count
     per task instead of its rows; the counts are then joined back with ``lookup_join``.
+    ``counts`` (keys and ``name``) may be passed when they are kept somewhere; else ``df`` is
+    evaluated a second time for them, with the key columns only. A caller whose ``df`` is costly even
+    then writes it first.
     """
     keys = list(keys)
-    df = computed_once(df)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    if counts is None:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    counts = counts.select(*keys, name)
     return lookup_join(
         df,
         counts,
@@ -217,11 +210,45 @@ def attach_group_count(
     )
 
 
+# a bitmap_construct_agg bitmap: 4096 bytes
+_BITMAP_BITS = 32_768
+_BITS_PER_KEY = 16
+
+
+def key_bitmaps(keys: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
+    """(bucket, bitmap): the bits that the hashed keys of ``keys`` set in a table of ``bits`` bits."""
+    at = F.pmod(F.xxhash64(*columns), F.lit(bits))
+    rows = keys.select(F.floor(at / _BITMAP_BITS).cast("long").alias("__bucket"), (at % _BITMAP_BITS).alias("__bit"))
+    return rows.groupBy("__bucket").agg(F.bitmap_construct_agg("__bit").alias("__bitmap"))
+
+
+def with_may_match(df: DataFrame, bitmaps: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
+    """``df`` plus ``__may``: false only for keys that are surely not among those of ``bitmaps``."""
+    at = F.pmod(F.xxhash64(*columns), F.lit(bits))
+    marked = df.withColumn("__at", at).withColumn("__bucket", F.floor(F.col("__at") / _BITMAP_BITS).cast("long"))
+    met = marked.join(F.broadcast(bitmaps), "__bucket", "left")
+    inside = F.col("__at") % _BITMAP_BITS
+    byte = F.conv(F.hex(F.substring("__bitmap", (F.floor(inside / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (inside % 8).cast("int")) == 1, F.lit(False))
+    return met.withColumn("__may", hit).drop("__at", "__bucket", "__bitmap")
+
+
 def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str], max_broadcast_rows: int | None = None) -> DataFrame:
-    """Rows of ``left`` with no match in ``right``; ``right`` is broadcast only when bounded."""
+    """Rows of ``left`` with no match in ``right``.
+
+    ``right`` is broadcast only when bounded. Beyond the bound a Bloom filter with one hash, made of
+    its keys and no larger than ``formlake.broadcast.maxBytes``, lets the rows of ``left`` pass that surely
+    match nothing; only the others are shuffled and joined. ``left`` is then evaluated twice.
+    """
     keys = list(keys)
     right = _persist(right.select(*keys))
     max_rows = broadcast_limit(left, max_broadcast_rows)
     if small_enough(right, max_rows):
-        right = F.broadcast(right)
-    return left.join(right, keys, "left_anti")
+        return left.join(F.broadcast(right), keys, "left_anti")
+    most = conf_int(left.sparkSession, BROADCAST_MAX_BYTES_KEY, BROADCAST_MAX_BYTES_DEFAULT) // 2 * 8
+    bits = max(1, min(most, _BITS_PER_KEY * right.count()) // _BITMAP_BITS) * _BITMAP_BITS
+    bitmaps = _persist(key_bitmaps(right, keys, bits))
+    marked = with_may_match(left, bitmaps, keys, bits)
+    sure = marked.filter(~F.col("__may")).drop("__may").select(*left.columns)
+    rest = marked.filter("__may").drop("__may").select(*left.columns)
+    return sure.unionByName(rest.join(right, keys, "left_anti").select(*left.columns))

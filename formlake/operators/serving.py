@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formlake import constants as K
+from formlake.functions.exact import exact_sum
 from formlake.functions.display import dip_text, dollars0, dollars2, fixed1, marker_label, sell_reason
 
 
@@ -62,8 +63,8 @@ def sell_rollup_groups(sell_signals: DataFrame) -> DataFrame:
     grouped = sell_signals.groupBy(*ROLLUP_KEYS).agg(
         F.max("conviction_score").alias("conviction_score"),
         F.max("cluster_count").alias("cluster_size"),
-        F.sum("total_value").alias("total_value_aggregated"),
-        F.sum("shares").alias("total_shares"),
+        exact_sum("total_value").alias("total_value_aggregated"),
+        exact_sum("shares").alias("total_shares"),
         F.count(F.lit(1)).alias("num_transactions"),
     )
     return grouped.filter(F.col("total_value_aggregated") > 0)
@@ -72,8 +73,8 @@ def sell_rollup_groups(sell_signals: DataFrame) -> DataFrame:
 def sell_rollup(sell_signals: DataFrame, limit: int = K.SELL_ROLLUP_LIMIT) -> DataFrame:
     """Top sell groups by day and score, with a reason text.
 
-    Groups are kept and flagged by their exact sums; the shown total and average come last
-    (the total in cents, so it does not depend on the order of summing).
+    Groups are kept and flagged by their exact sums, whatever the order of summing; the shown total (in
+    cents) and average come last.
     """
     groups = sell_rollup_groups(sell_signals)
     reason = sell_reason(F.col("owner_title"), F.col("total_value_aggregated"), F.col("cluster_size"))
@@ -122,7 +123,7 @@ def explorer_metrics(explorer: DataFrame) -> DataFrame:
     """(visible_trades, avg_trade_size); the average is null when nothing is visible."""
     return explorer.agg(
         F.count(F.lit(1)).alias("visible_trades"),
-        F.try_divide(money(F.sum("total_value")), F.count(F.lit(1)).cast("double")).alias("avg_trade_size"),
+        F.try_divide(money(exact_sum("total_value")), F.count(F.lit(1)).cast("double")).alias("avg_trade_size"),
     )
 
 
@@ -132,7 +133,7 @@ def net_volume(explorer: DataFrame) -> DataFrame:
     return (
         explorer.filter(F.col("transaction_date").isNotNull() & F.col("transaction_code").isNotNull())
         .groupBy("transaction_date", "transaction_code")
-        .agg(money(F.sum(signed)).alias("plot_value"))
+        .agg(money(exact_sum(signed)).alias("plot_value"))
     )
 
 

@@ -320,11 +320,13 @@ SELECT accession_number, ticker, transaction_date, transaction_code,
 FROM fx_trades""",
     ),
     "scan_filings": """
-SELECT 'day_' || strftime(day, '%Y%m%d') || '.txt' AS file_name, day AS filing_date,
+SELECT 'day_' || strftime(day, '%Y%m%d') || '_' || CAST(part AS VARCHAR) || '.txt' AS file_name, day AS filing_date,
   CAST(length(content) AS BIGINT) AS n_chars, md5(content) AS md5
-FROM (SELECT CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS day,
+FROM (SELECT day, o_orderkey % parts AS part,
         string_agg(CAST(o_orderkey AS VARCHAR) || '|' || CAST(o_custkey AS VARCHAR), chr(10) ORDER BY o_orderkey) AS content
-      FROM orders GROUP BY 1) d""",
+      FROM (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY day) / 2000.0) AS BIGINT) AS parts
+            FROM (SELECT *, CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS day FROM orders) o) p
+      GROUP BY 1, 2) d""",
     "scan_trades": _with(RAW_TRADES, f"SELECT {TRADE_COLS.replace('filing_date', MONTH)} FROM fx_trades"),
     "scan_signals": _with(SCORED, f"SELECT * REPLACE ({MONTH}) FROM fx_sell"),
     "write_partitioned": _with(
@@ -350,6 +352,12 @@ SELECT filing_date, stored, count(*) AS n FROM (
   UNION ALL SELECT CAST(date_trunc('month', date_filed) AS DATE), 'form4_filings' FROM fx_form4
 ) u GROUP BY filing_date, stored""",
     ),
-    "table_preview": _with(RAW_TRADES, "SELECT count(*) AS row_count, least(10, count(*)) AS preview_rows FROM fx_trades"),
+    "table_preview": _with(
+        RAW_TRADES,
+        f"""
+SELECT {TRADE_COLS.replace("filing_date", MONTH)}, (SELECT count(*) FROM fx_trades) AS row_count FROM fx_trades
+ORDER BY cik, accession_number, date_trunc('month', filing_date), ticker, transaction_date, transaction_code, shares, price_per_share
+LIMIT 10""",
+    ),
     "projected_price": "SELECT upper(replace(p_brand, '#', '')) AS ticker, p_retailprice * 1.1 AS projected_price FROM part",
 }

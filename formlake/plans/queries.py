@@ -224,13 +224,15 @@ def q_write_partitioned(spark, sf):
 
 
 def q_table_preview(spark, sf):
-    found = lake.preview(lake.trades_view(spark, _stored_trades(spark, sf)).select("accession_number", "ticker"), 10)
-    return spark.createDataFrame([(found["row_count"], len(found["preview"]))], "row_count long, preview_rows long")
+    """The preview rows of the stored trades, with the table's row count beside them."""
+    stored = lake.trades_view(spark, _stored_trades(spark, sf))
+    order = ["cik", "accession_number", "filing_date", "ticker", "transaction_date", "transaction_code", "shares", "price_per_share"]
+    return lake.preview_rows(stored, 10, order).withColumn("row_count", F.lit(stored.count()).cast("long"))
 
 
 def q_run_dates(spark, sf):
-    """The daily batch over all days: one filing per day lands as a file, with every line item of its
-    month in it; the stored tables are counted per day."""
+    """The daily batch over all days (here: months): filings of about 200 line items each land as files, the
+    index in parts; the stored tables are counted per day."""
     root, raw = _lake(spark), fx.day_filings(_monthly(fx.raw_trades(spark, sf)))
     days = _days(raw)
     render.land_rendered(raw, _monthly(fx.index_rows(spark, sf), "date_filed"), root)

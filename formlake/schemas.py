@@ -98,7 +98,7 @@ FORM4_INDEX = T.StructType(INDEX.fields + [T.StructField("file_url", S, True)])
 # kept beside the trades by the daily batch: rows per cluster, what could not be read, what has landed
 CLUSTER_COUNTS = _struct(("filing_date", D, True), ("ticker", S, True), ("transaction_code", S, True), ("cluster_count", L, True))
 ERRORS = _struct(("filing_date", D, True), ("step", S, True), ("source", S, True), ("detail", S, True))
-LANDED = _struct(("filing_date", D, True), ("output_path", S, True), ("folder_time", L, True))
+LANDED = _struct(("filing_date", D, True), ("relative_path", S, True), ("folder_time", L, True))
 
 PRICES = _struct(("ticker", S, True), ("date", D, True), ("close", F, True))
 OVERLAY = _struct(("series", S, False), ("date", D, True), ("value", F, True), ("label", S, True))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formlake.operators.joins import lookup_join
 from formlake.schemas import TRADE_COLUMNS
 
 
@@ -154,12 +155,20 @@ def landed_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     )
 
 
-def day_filings(raw: DataFrame) -> DataFrame:
-    """The rows of ``raw`` as transactions of one filing per filing day, whose header depends on the day."""
+def parts_per_day(rows: DataFrame, day: str, rows_per_part: int) -> DataFrame:
+    """``rows`` plus ``parts``: into how many parts of about ``rows_per_part`` rows their day is cut."""
+    parts = F.ceil(F.count(F.lit(1)) / F.lit(rows_per_part)).cast("long").alias("parts")
+    return lookup_join(rows, rows.groupBy(day).agg(parts), [day])
+
+
+def day_filings(raw: DataFrame, rows_per_filing: int = 200) -> DataFrame:
+    """The rows of ``raw`` as transactions of filings of about ``rows_per_filing`` rows each, whose
+    header depends on the filing day: whole orders are dealt to a day's filings by a hash."""
     day, month = F.col("filing_date"), F.month("filing_date")
+    part = F.pmod(F.xxhash64(F.substring_index("accession_number", "-", 1)), F.col("parts"))
     head = {
+        "accession_number": F.concat(F.date_format(day, "yyyyMMdd"), F.lit("-26-"), F.lpad(part.cast("string"), 6, "0")),
         "cik": F.date_format(day, "yyyyMMdd"),
-        "accession_number": F.concat(F.date_format(day, "yyyyMMdd"), F.lit("-26-000001")),
         "ticker": F.concat(F.lit("WD"), F.weekday(day).cast("string")),
         "company_name": F.lit("Day Inc"),
         "owner_name": F.concat(F.lit("Owner "), month.cast("string")),
@@ -168,18 +177,21 @@ def day_filings(raw: DataFrame) -> DataFrame:
         "is_officer": F.lit(True),
         "is_ten_percent_owner": F.lit(False),
     }
-    return raw.withColumns(head)
+    return parts_per_day(raw, "filing_date", rows_per_filing).withColumns(head).drop("parts")
 
 
-def day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One text file per order month, dated its first day: its orders, one line each, in order."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+def day_files(spark: SparkSession, sf_dir: str, rows_per_text: int = 2000) -> DataFrame:
+    """Text files of about ``rows_per_text`` orders of one month, dated its first day: one line
+    each, in order; an order's key chooses its file."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     line = F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"))
-    day = F.trunc(F.col("o_orderdate").cast("date"), "MM")
+    orders = orders.withColumn("filing_date", F.trunc(F.col("o_orderdate").cast("date"), "MM"))
+    dealt = parts_per_day(orders, "filing_date", rows_per_text)
+    name = F.concat(F.lit("day_"), F.date_format("filing_date", "yyyyMMdd"), F.lit("_"), F.col("part").cast("string"), F.lit(".txt"))
     return (
-        orders.groupBy(day.alias("filing_date"))
+        dealt.groupBy("filing_date", (F.col("o_orderkey") % F.col("parts")).alias("part"))
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", line.alias("line")))), lambda x: x["line"]), "\n").alias("content"))
-        .select("filing_date", F.concat(F.lit("day_"), F.date_format("filing_date", "yyyyMMdd"), F.lit(".txt")).alias("file_name"), "content")
+        .select("filing_date", name.alias("file_name"), "content")
     )
 
 

@@ -9,8 +9,8 @@ from formlake.operators import signals as S
 from formlake.plans.daily_batch import INDEX_TEXTS, run_dates
 from formlake.sources import fixtures as fx
 from formlake.sources import render
-from formlake.sources.lake import read_table, trades_view
-from formlake.schemas import SIGNALS
+from formlake.sources.lake import read_manifest, read_table, trades_view
+from formlake.schemas import ERRORS, SIGNALS
 from formlake.streaming import start_filings_stream
 from tests.conftest import SF_SMALL
 
@@ -31,6 +31,30 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def errors_of(spark, root):
+    return read_table(spark, root, K.TABLE_ERRORS, ERRORS).collect()
+
+
+def lake_rows(spark, root):
+    """All rows of all published tables, by table."""
+    _, tables = read_manifest(spark, root)
+    out = {}
+    for table, days in tables.items():
+        if table != K.TABLE_ERRORS and days:
+            paths = [f"{root}/{table}/version={v}/filing_date={d}" for d, v in days.items()]
+            df = spark.read.option("basePath", f"{root}/{table}").parquet(*paths).drop("version", "folder_time")
+            out[table] = sorted((str(r) for r in df.collect()))
+    return out
+
+
+def break_filing(root, day, name="9_bad.txt"):
+    """A text whose checksum file doesn't fit: reading it fails."""
+    folder = os.path.join(root, K.TABLE_FILINGS, day.isoformat())
+    open(os.path.join(folder, name), "w").write("<XML></XML>" * 500)
+    with open(os.path.join(folder, f".{name}.crc"), "wb") as f:
+        f.write(b"crc\x00\x00\x00\x02\x00" + b"\x00" * 4 * 8)
+
+
 def test_run_dates_end_to_end(spark, tmp_root):
     days = busiest_days(spark, 3)
     land(spark, tmp_root, days)
@@ -69,7 +93,7 @@ def test_stream_builds_new_days_once(spark, tmp_root):
 
 def test_landed_paths_match_plan_paths_for_any_root_form(spark, tmp_root):
     from formlake.operators.ingest import download_targets
-    from formlake.plans.daily_batch import landed_filings
+    from formlake.sources.landed import list_landed
 
     folder = os.path.join(tmp_root, K.TABLE_FILINGS, "2026-01-05")
     os.makedirs(folder)
@@ -78,7 +102,7 @@ def test_landed_paths_match_plan_paths_for_any_root_form(spark, tmp_root):
         [("7", "edgar/data/7/0000000001-26-000001.txt", "2026-01-05")], "cik string, filename string, date_filed string"
     ).withColumn("date_filed", F.to_date("date_filed"))
     for root in (tmp_root, "file://" + tmp_root):
-        landed = {r[0] for r in landed_filings(spark, root, ["2026-01-05"]).collect()}
+        landed = {r[0] for r in list_landed(spark, root, ["2026-01-05"]).collect()}
         planned = {r[0] for r in download_targets(index, root).select("output_path").collect()}
         assert landed == planned
 
@@ -149,17 +173,103 @@ def test_a_broken_filing_costs_its_own_day_only(spark, tmp_root):
     land(spark, tmp_root, days)
     first = run_dates(spark, tmp_root, days)
     before = rows(trades_view(spark, tmp_root, [days[1]]))
-    # a text whose checksum file doesn't fit: reading it fails
-    folder = os.path.join(tmp_root, K.TABLE_FILINGS, days[1].isoformat())
-    open(os.path.join(folder, "9_bad.txt"), "w").write("<XML></XML>" * 500)
-    with open(os.path.join(folder, ".9_bad.txt.crc"), "wb") as f:
-        f.write(b"crc\x00\x00\x00\x02\x00" + b"\x00" * 4 * 8)
+    break_filing(tmp_root, days[1])
     report = run_dates(spark, tmp_root, days)
     assert first["failed_days"] == {} and set(report["failed_days"]) == {days[1].isoformat()}
     assert "9_bad.txt" in report["failed_days"][days[1].isoformat()]
-    # the failed day keeps its data, the other is rebuilt
-    assert rows(trades_view(spark, tmp_root, [days[1]])) == before
-    assert report["by_day"][days[0].isoformat()]["trades"]["rows"] == first["trades"]["rows"] - len(before)
+    # the failed day keeps its data, the other is rebuilt, in one pass
+    assert rows(trades_view(spark, tmp_root, [days[1]])) == before and "parts" not in report
+    assert report["trades"]["rows"] == first["trades"]["rows"] - len(before)
+    assert [(r.step, r.source) for r in errors_of(spark, tmp_root)] == [("filings", "9_bad.txt")]
+
+
+def test_a_failed_day_keeps_the_old_version_of_all_its_tables(spark, tmp_root):
+    days = sorted(busiest_days(spark, 3))
+    land(spark, tmp_root, days)
+    run_dates(spark, tmp_root, days, fx.fundamentals_raw(spark, SF_SMALL))
+    before = lake_rows(spark, tmp_root)
+    # the middle day: another index line and another filing landed, but one filing cannot be read
+    with open(os.path.join(tmp_root, INDEX_TEXTS, f"master.{days[1]:%Y%m%d}.idx"), "a") as f:
+        f.write(f"7|New|4|{days[1]:%Y%m%d}|edgar/data/7/new.txt\n")
+    folder = os.path.join(tmp_root, K.TABLE_FILINGS, days[1].isoformat())
+    some = next(n for n in sorted(os.listdir(folder)) if n.endswith(".txt"))
+    open(os.path.join(folder, "8_copy.txt"), "w").write(open(os.path.join(folder, some)).read())
+    break_filing(tmp_root, days[1])
+    report = run_dates(spark, tmp_root, days, fx.fundamentals_raw(spark, SF_SMALL))
+    assert list(report["failed_days"]) == [days[1].isoformat()] and "parts" not in report
+    assert lake_rows(spark, tmp_root) == before
+    # mended, the day is rebuilt with both and its error goes
+    for name in ("9_bad.txt", ".9_bad.txt.crc"):
+        os.remove(os.path.join(folder, name))
+    report = run_dates(spark, tmp_root, [days[1]], fx.fundamentals_raw(spark, SF_SMALL))
+    assert report["failed_days"] == {} and errors_of(spark, tmp_root) == []
+    after = lake_rows(spark, tmp_root)
+    assert len(after[K.TABLE_INDEX]) == len(before[K.TABLE_INDEX]) + 1 and len(after[K.TABLE_TRADES]) > len(before[K.TABLE_TRADES])
+
+
+def test_an_unforeseen_error_is_halved_down_to_its_day(spark, tmp_root, monkeypatch):
+    from formlake.plans import daily_batch
+
+    days = sorted(busiest_days(spark, 4))
+    land(spark, tmp_root, days)
+    passes, real = [], daily_batch._run_days
+
+    def failing(spark, root, some, fundamentals):
+        passes.append(len(some))
+        if days[2].isoformat() in some:
+            raise ValueError("nobody foresaw this")
+        return real(spark, root, some, fundamentals)
+
+    monkeypatch.setattr(daily_batch, "_run_days", failing)
+    report = run_dates(spark, tmp_root, days)
+    assert passes == [4, 2, 2, 1, 1] and report["failed_days"] == {days[2].isoformat(): "nobody foresaw this"}
+    assert {r.filing_date for r in trades_view(spark, tmp_root).collect()} == {days[0], days[1], days[3]}
+    # passes are bounded, and memory errors are not tried again
+    passes.clear()
+    monkeypatch.setattr(daily_batch, "RERUNS", 2)
+    report = run_dates(spark, tmp_root, days)
+    assert passes == [4, 2, 2] and set(report["failed_days"]) == {d.isoformat() for d in days[2:]}
+
+    def exhausted(*_):
+        raise MemoryError("java.lang.OutOfMemoryError: Java heap space")
+
+    monkeypatch.setattr(daily_batch, "_run_days", exhausted)
+    assert len(run_dates(spark, tmp_root, days)["failed_days"]) == 4
+
+
+def test_only_changed_folders_are_listed_again(spark, tmp_root, monkeypatch):
+    from formlake.sources import landed
+
+    days = sorted(busiest_days(spark, 3))
+    land(spark, tmp_root, days)
+    folders = [os.path.join(tmp_root, K.TABLE_FILINGS, d.isoformat()) for d in days]
+    for folder in folders:
+        os.utime(folder, (1e9, 1e9))  # landed long ago
+    assert run_dates(spark, tmp_root, days)["listed_days"] == [d.isoformat() for d in days]
+    first = lake_rows(spark, tmp_root)
+    assert run_dates(spark, tmp_root, days)["listed_days"] == [] and lake_rows(spark, tmp_root) == first
+    open(os.path.join(folders[1], "7_0000000001-26-000009.txt"), "w").write("x")  # the folder's time changes
+    assert run_dates(spark, tmp_root, days)["listed_days"] == [days[1].isoformat()]
+    # a folder changed just now may change again within its clock tick: listed until it has settled
+    assert run_dates(spark, tmp_root, days)["listed_days"] == [days[1].isoformat()]
+    monkeypatch.setattr(landed, "SETTLED_SECONDS", 0.0)
+    run_dates(spark, tmp_root, days)
+    assert run_dates(spark, tmp_root, days)["listed_days"] == []
+
+
+def test_cluster_counts_are_kept_beside_the_trades(spark, tmp_root):
+    from formlake.schemas import CLUSTER_COUNTS
+
+    days = busiest_days(spark, 2)
+    land(spark, tmp_root, days)
+    run_dates(spark, tmp_root, days)
+    stored = trades_view(spark, tmp_root)
+    kept = read_table(spark, tmp_root, K.TABLE_CLUSTERS, CLUSTER_COUNTS)
+    assert rows(kept.select("ticker", "filing_date", "transaction_code", "cluster_count")) == rows(S.cluster_counts(stored))
+    scored = S.score_both_sides(stored, kept)
+    assert rows(scored) == rows(S.score_both_sides(stored))
+    # with kept counts the trades are scanned once
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("Relation [cik") == 1
 
 
 def test_index_is_stored_under_its_run_date(spark, tmp_root):
@@ -208,10 +318,12 @@ def test_rejects_are_stored_and_their_trades_recovered(spark, tmp_root):
     assert rows(trades_view(spark, tmp_root)) == rows(expected)
     stored = spark.read.parquet(report["rejects"]["path"]).collect()
     assert sorted(r.file_name for r in stored) == names and all("never closed" in r.xml for r in stored)
-    # a broken transaction is dropped alone
-    one = filings.limit(1).withColumn("content", F.regexp_replace("content", "</transactionAmounts>(?s:.*)", "</nonDerivativeTransaction></XML>"))
-    trades, rejects = parse_filings(one.withColumn("path", F.lit("p")).select(*FILINGS.fieldNames()))
-    assert trades.count() == 0 and rejects.count() == 1
+    # a filing cut off inside its last transaction keeps that transaction
+    whole = filings.join(parse_filings(filings)[0].groupBy("accession_number").count().filter("count = 1"), F.col("file_name").contains(F.col("accession_number"))).limit(1)
+    cut = whole.withColumn("content", F.regexp_replace("content", "</transactionAmounts>(?s:.*)", "</nonDerivativeTransaction></XML>"))
+    one = [df.withColumn("path", F.lit("p")).select(*FILINGS.fieldNames()) for df in (whole, cut)]
+    (full, _), (trades, rejects) = map(parse_filings, one)
+    assert rejects.count() == 1 and rows(trades)[-1:] == rows(full)[-1:]
 
 
 def test_reports_of_an_empty_lake_are_empty(spark, tmp_root, capsys):

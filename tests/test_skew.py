@@ -110,3 +110,20 @@ def test_large_lookups_are_not_broadcast_whatever_their_row_count(spark):
     finally:
         spark.conf.unset("formlake.broadcast.maxBytes")
         wide.unpersist()
+
+
+def test_anti_join_beyond_the_bound_lets_sure_rows_pass(spark):
+    from formlake.operators.joins import anti_join, key_bitmaps, with_may_match
+
+    left = spark.range(4000).select((F.col("id") % 1500).alias("a"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("b"), F.col("id").alias("n"))
+    left = left.unionByName(spark.createDataFrame([(None, "p1", -1), (3, None, -2)], "a long, b string, n long"))
+    right = left.filter("n % 3 = 0 or n < 0").select("a", "b")
+    expected = sorted(map(tuple, left.join(right, ["a", "b"], "left_anti").collect()), key=repr)
+    out = anti_join(left, right, ["a", "b"], max_broadcast_rows=10)
+    assert out.columns == left.columns and sorted(map(tuple, out.collect()), key=repr) == expected
+    assert sorted(map(tuple, anti_join(left, right.limit(0), ["a", "b"], max_broadcast_rows=-1).collect()), key=repr) == sorted(map(tuple, left.collect()), key=repr)
+    bits = 2 * 32_768
+    marked = with_may_match(left, key_bitmaps(right, ["a", "b"], bits), ["a", "b"], bits)
+    # no key is missed, and few others are kept
+    assert marked.filter("n % 3 = 0 and not __may").count() == 0
+    assert marked.filter("n % 3 != 0 and __may").count() < 200
