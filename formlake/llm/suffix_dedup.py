@@ -22,8 +22,10 @@ A byte goes if a ``LENGTH``-byte string covering it also starts anywhere else in
 4. Matched windows become byte spans per document, and the spans are cut out.
 
 Defined results: a null text is empty; a text under ``LENGTH`` bytes keeps all bytes; a row repeated
-as a whole counts as another place, so both lose their strings; nulls and repeats of ``doc_id`` are
-kept apart by a hash of id and text; other columns pass through. A periodic text has an
+as a whole (id and text) counts as another place, so all copies lose their strings: such rows are
+settled by a count, and one copy stands for them in the search; nulls and repeats of ``doc_id`` are
+otherwise told apart by a hash of id and text; other columns pass through. A long text is read in
+overlapping tiles of ``TILE_BYTES``. A periodic text has an
 anchor at nearly every position: it costs more rows, with the same result.
 """
 
@@ -38,8 +40,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formlake.llm.common import shuffle_tasks, staged
+from formlake.llm.common import delete_staged, shuffle_tasks, staged
 from formlake.llm.textkit import Rolling, chunks, column_bytes, mix, signed, small_batches
+from formlake.operators.joins import lookup_join, with_own_lookups
 
 LENGTH = 200
 GRAM = 50
@@ -47,6 +50,7 @@ CELL = 38
 BATCHES = 4
 SHARD_WINDOWS = 200_000
 CORE_WINDOWS = 25_000
+TILE_BYTES = 256 << 10
 _U = np.uint64
 
 
@@ -88,17 +92,30 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return d, signed(grams[p]), signed(piece), s - offsets[d], count, p - offsets[d]
 
 
-def _pieces_of(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def tiles(offsets: np.ndarray, length: int, limit: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first document, first byte, own offsets) of neighbouring stretches of about ``limit`` bytes: whole
+    documents, or parts of a longer one that overlap by ``length - 1`` bytes, so every window lies in one."""
+    for i, j in chunks(offsets, limit):
+        size = int(offsets[j] - offsets[i])
+        if j > i + 1 or size <= limit:
+            yield i, int(offsets[i]), offsets[i : j + 1] - offsets[i]
+        else:
+            for at in range(0, max(1, size - length + 1), limit):
+                yield i, int(offsets[i]) + at, np.array([0, min(limit + length - 1, size - at)], dtype=np.int64)
+
+
+def _pieces_of(docs: DataFrame, length: int, gram: int, tile: int) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), ("anchor", pa.int64()), ("piece", pa.int64()), ("s", pa.int32()), ("n", pa.int32()), ("p", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             keys = batch.column("key").to_numpy()
             data, offsets = column_bytes(batch.column("text"))
-            for i, j in chunks(offsets):
-                d, anchor, piece, s, n, p = pieces(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length, gram)
+            for i, at, own in tiles(offsets, length, tile):
+                d, anchor, piece, s, n, p = pieces(data[at : at + own[-1]], own, length, gram)
                 if len(d):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[i:j][d]), pa.array(anchor), pa.array(piece), *(pa.array(x.astype(np.int32)) for x in (s, n, p))], schema=schema)
+                    ahead = at - int(offsets[i])  # where a tile inside a document begins; 0 for whole documents
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[i + d]), pa.array(anchor), pa.array(piece), *(pa.array(x.astype(np.int32)) for x in (s + ahead, n, p + ahead))], schema=schema)
 
     return docs.select("key", "text").mapInArrow(run, "key long, anchor long, piece long, s int, n int, p int")
 
@@ -288,12 +305,44 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cell: i
     """
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), rest.alias("rest"), F.col("text").cast("string").alias("text"))
-    found = staged(_pieces_of(rows, length, gram), f"{label}-pieces")
+    twice = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key", F.lit(True).alias("copied")), f"{label}-copied")
+    if twice.isEmpty():
+        return _cut_distinct(rows, length, gram, cell, batches, with_text, label)
+
+    def with_copies() -> DataFrame:
+        marked = lookup_join(rows, twice, ["key"])
+        copies = marked.filter("copied")
+        # one copy of each, without a row of its own, stands for the text in the search
+        one = copies.groupBy("key").agg(F.first("text", ignorenulls=True).alias("text"))
+        searched = marked.filter("copied is null").select("key", "rest", "text").unionByName(
+            one.select("key", F.lit(None).cast(rows.schema["rest"].dataType).alias("rest"), "text")
+        )
+        cut = _cut_distinct(searched, length, gram, cell, batches, with_text, label)
+        return cut.unionByName(_cut_copies(copies, length, with_text))
+
+    return with_own_lookups(with_copies)
+
+
+def _cut_copies(copies: DataFrame, length: int, with_text: bool) -> DataFrame:
+    """Rows that repeat as a whole: all their strings stand elsewhere, so only a text under ``length`` bytes stays."""
+    text, n = F.coalesce("text", F.lit("")), F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    gone = n >= length
+    kept = F.when(gone, F.lit("")).otherwise(text)
+    return copies.select(
+        "rest", n.alias("n_bytes"), F.when(gone, n).otherwise(F.lit(0).cast("long")).alias("n_removed"), gone.cast("long").alias("n_spans"),
+        F.sha2(kept.cast("binary"), 256).alias("kept_sha256"), *([kept.alias("text")] if with_text else []),
+    )
+
+
+def _cut_distinct(rows: DataFrame, length: int, gram: int, cell: int, batches: int, with_text: bool, label: str) -> DataFrame:
+    """``cut_repeats`` of (key, rest, text) with unique keys; rows without a ``rest`` are searched, not returned."""
+    found = staged(_pieces_of(rows, length, gram, TILE_BYTES), f"{label}-pieces")
 
     anchors = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("places"), F.min("piece").alias("lo"), F.max("piece").alias("hi"))
     # a table of its own, so that the join reads two plain exchanges and a hot anchor can be split
     anchors = staged(anchors.filter("places > 1").select("anchor", (F.col("lo") == F.col("hi")).alias("alike")), f"{label}-anchors")
     again = staged(found.join(anchors, "anchor"), f"{label}-again")
+    delete_staged(found, anchors)
     mixed = again.filter("not alike")
     # distinct pieces of an anchor that has several: their borders are compared below
     distinct = mixed.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "s", "n", "p")).alias("one"))
@@ -304,6 +353,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cell: i
     marks = whole.withColumn("border", F.lit(False)).unionByName(border.withColumn("border", F.lit(True)))
     marks = marks.groupBy("key").agg(F.collect_list(F.struct("s", "n", "p", "border")).alias("marks"), F.max("border").alias("open"))
     prepared = staged(_packed(rows).join(marks, "key", "left"), f"{label}-prepared")
+    delete_staged(again, distinct)
 
     cells = staged(_cells(prepared.filter("open").select("key", "packed", "marks"), length, cell), f"{label}-cells")
     kinds = cells.groupBy("core", "content").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "s", "n")).alias("one"), F.min("bytes").alias("bytes"))
@@ -320,7 +370,8 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cell: i
 
     done = prepared.filter("open is null or not open").withColumn("more", F.lit(None).cast("array<struct<s:int,n:int>>"))
     opened = prepared.filter("open").join(staged(more, f"{label}-more"), "key", "left")
-    return _cut(done.unionByName(opened), length, with_text)
+    delete_staged(cells, kinds, hot)
+    return _cut(done.unionByName(opened).filter("rest is not null"), length, with_text)
 
 
 def drop_repeats(docs: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from formlake.llm import suffix_dedup
@@ -62,6 +63,42 @@ def test_no_core_fills_a_shard(spark, monkeypatch):
     assert held and max(x.n for x in held) <= 400
 
 
+@pytest.mark.parametrize("tile", [1, 230, 1000])
+def test_tiles_of_long_texts_change_nothing(spark, monkeypatch, tile):
+    monkeypatch.setattr(suffix_dedup, "TILE_BYTES", tile)
+    r = rng(4)
+    p = [prose(r, 70) for _ in range(4)]
+    texts = [(k, prose(r, 90 * k) + " " + p[k % 4] + " " + prose(r, 5)) for k in range(1, 7)] + [(20, p[0] + p[1] + p[0]), (21, "z" * 900), (22, p[3][:200]), (23, None)]
+    got = cut_repeats(frame(spark, texts)).select("rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted(map(tuple, got.collect()), key=str) == brute(texts)
+
+
+def test_tiles_cover_every_window_once():
+    offsets = np.array([0, 0, 5, 40, 41, 300, 300, 310])
+    for length, limit in ((3, 7), (3, 1), (20, 30), (50, 1000)):
+        windows = Counter()
+        for i, at, own in suffix_dedup.tiles(offsets, length, limit):
+            assert own[0] == 0 and own[-1] <= limit + length - 1 or len(own) > 2 or own[-1] <= limit
+            for a, b in zip(own[:-1], own[1:]):
+                windows.update(range(at + a, at + max(a, b - length + 1)))
+        assert windows == Counter(w for a, b in zip(offsets[:-1], offsets[1:]) for w in range(a, max(a, b - length + 1)))
+
+
+def test_many_equal_rows_are_settled_by_a_count(spark):
+    r = rng(6)
+    p = prose(r, 60)
+    copied = prose(r, 20) + " " + p
+    some = [(1, copied), (2, "x " + p + " y"), (3, prose(r, 80)), (4, "short")]
+    texts = some + [(1, copied)] * 19_999 + [(None, copied)] * 300 + [(4, "short")] * 50 + [(5, None)] * 40
+    got = cut_repeats(frame(spark, texts).repartition(6), with_text=True)
+    rows = Counter(tuple(x) for x in got.select("rest.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect())
+    # equal rows have equal results: two of each stand for all in the brute force
+    few = brute(some + [(1, copied), (None, copied), (None, copied), (4, "short"), (5, None), (5, None)])
+    times = {1: 20_000, None: 300, 4: 51, 5: 40}
+    assert rows == Counter({x: times.get(x[0], 1) for x in few})
+    assert {x.text for x in got.filter("rest.doc_id = 1 or rest.doc_id is null").select("text").distinct().collect()} == {""}
+
+
 def test_stage_keeps_columns_and_cuts_text(spark):
     r = rng(3)
     p = prose(r, 50)
