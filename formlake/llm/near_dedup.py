@@ -23,8 +23,9 @@ Nothing is dropped or capped: long lists and large components only change how pa
 
 Defined results: a null or blank text has no shingles and links with nothing; fewer words
 than a shingle give the whole sequence as one shingle; a null ``doc_id`` belongs to no
-component (``component_id`` null) and is kept; rows repeating a ``doc_id`` count as one document;
-ties cannot occur, as the smallest id represents a group. Extra columns are ignored.
+component (``component_id`` null) and is kept; rows that share a ``doc_id`` and a group are one
+document and stay or go together, but rows of one ``doc_id`` with unlike texts are judged each in its
+own group; ties cannot occur, as the smallest id represents a group. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,21 +38,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formlake.llm.common import components, shuffle_tasks, staged
+from formlake.llm.common import components, delete_staged, shuffle_tasks, staged
 from formlake.llm.textkit import column_bytes, mix, shingle_sets, small_batches
+from formlake.operators.joins import anti_join, lookup_join, with_own_lookups
 
 SKETCH = 64  # retained values
 WHOLE = 80  # sets up to this size (SKETCH / 0.8) are retained whole
 SHARED = 34  # fewest retained values a linked pair has in common
+WIDE, WIDE_WHOLE, WIDE_SHARED = 1024, 1280, 750  # the same for the members of large components
 LONG_LIST = 48
 BLOCK = 512
 _U = np.uint64
 
 
-def sketch(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, h1, h2, retained): set size, 128-bit set hash, sorted smallest hashes."""
-    schema = "doc_id long, n_shingles long, h1 long, h2 long, retained array<long>"
-    arrow = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("retained", pa.list_(pa.int64()))])
+def sketch(docs: DataFrame, words: int, size: int = SKETCH, whole: int = WHOLE) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, h1, h2, retained) of ``docs`` (doc_id, text): set size, 128-bit
+    set hash, and the ``size`` smallest hashes in order (all of them up to ``whole``)."""
+    schema = "doc_id long, text_hash long, n_shingles long, h1 long, h2 long, retained array<long>"
+    arrow = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("retained", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", 8 << 20):
@@ -60,25 +64,25 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
                 sizes.append(len(s))
                 first.append(int(mix(s).sum(dtype=_U)) >> 1)
                 second.append(int(mix(s ^ _U(0x6A09E667F3BCC909)).sum(dtype=_U)) >> 1)
-                kept.append((s[: SKETCH if len(s) > WHOLE else WHOLE] >> _U(1)).astype(np.int64))
+                kept.append((s[: size if len(s) > whole else whole] >> _U(1)).astype(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int32)
             values = np.concatenate(kept) if kept else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
                 schema=arrow,
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema)
 
 
-def _listed(reps: DataFrame, label: str) -> DataFrame:
+def _listed(reps: DataFrame, label: str, whole: int = SKETCH, least: int = SHARED) -> DataFrame:
     """(value, rep): the rarest retained values of each representative that also occur elsewhere."""
     values = reps.select("rep", F.explode("retained").alias("value"))
     common = staged(values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), f"{label}-df")
     shared = values.join(common, "value").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("shared"))
     # retained values that occur nowhere else are the rarest: they use up the first places
     held = F.size("retained")
-    prefix = F.when(F.col("n_shingles") <= SKETCH, F.col("n_shingles") - F.ceil(F.col("n_shingles") * 4 / 5) + 1).otherwise(held - SHARED + 1)
+    prefix = F.when(F.col("n_shingles") <= whole, F.col("n_shingles") - F.ceil(F.col("n_shingles") * 4 / 5) + 1).otherwise(held - least + 1)
     places = (prefix - (held - F.size("shared"))).cast("int")
     rows = reps.join(shared, "rep").withColumn("places", places).filter("places > 0")
     return rows.select("rep", F.explode(F.slice("shared", F.lit(1), F.col("places"))).alias("e")).select(F.col("e.value").alias("value"), "rep")
@@ -107,6 +111,19 @@ def _candidates(reps: DataFrame, label: str) -> DataFrame:
     return pairs.filter(estimate).select("a", "b").unionByName(long_links)
 
 
+def _again(clusters: DataFrame, texts: DataFrame, words: int, label: str) -> DataFrame:
+    """(a, b) links among the members of components over ``BLOCK``, from wide sketches."""
+    large = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > BLOCK)
+    members = lookup_join(clusters, large.select("component"), ["component"], "inner").select(F.col("id").alias("rep"))
+    wide = sketch(texts.join(members, "rep").select(F.col("rep").alias("doc_id"), "text"), words, WIDE, WIDE_WHOLE)
+    wide = staged(wide.select(F.col("doc_id").alias("rep"), "n_shingles", "retained"), f"{label}-wide")
+    listed = staged(_listed(wide, f"{label}-wide", WIDE_WHOLE, WIDE_SHARED), f"{label}-wide-listed")
+    low = listed.groupBy("value").agg(F.min("rep").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    links = listed.join(low, "value").filter("rep != low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
+    kept = lookup_join(clusters, large.select("component", F.lit(True).alias("large")), ["component"]).filter("large is null and id != component")
+    return staged(links.unionByName(kept.select(F.col("component").alias("a"), F.col("id").alias("b"))), f"{label}-again")
+
+
 def _compare(ids: np.ndarray, sets: list[np.ndarray], apart: np.ndarray | None, num: int, den: int) -> list[tuple[int, int]]:
     """Links of a spanning forest: exact Jaccard >= num/den; ``apart``: only pairs whose values differ."""
     n = len(sets)
@@ -203,26 +220,48 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5,
     """
     if 5 * num < 4 * den:
         raise ValueError("the sketch constants hold for a similarity of 0.8 or more")
-    # equal (h1, h2): equal sets; lists and links know only the smallest id of a class
-    own = docs.select("doc_id", "text")
+    out = with_own_lookups(lambda: _labelled(docs, words, num, den, label))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _labelled(docs: DataFrame, words: int, num: int, den: int, label: str) -> DataFrame:
+    """``near_duplicates`` with the ``text_hash`` that tells rows of one id apart."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     all_sets = staged(sketch(own, words), f"{label}-sketch")
-    classes = all_sets.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"))
+    # equal (h1, h2): equal sets, one class; lists and links know its number and one of its rows
+    classes = all_sets.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("one"), F.first("n_shingles").alias("n_shingles"), F.first("retained").alias("retained")
+    )
+    classes = classes.select(F.monotonically_increasing_id().alias("rep"), "h1", "h2", "one.doc_id", "one.text_hash", "n_shingles", "retained")
     classes = staged(classes, f"{label}-classes")
-    firsts = all_sets.select(F.col("doc_id").alias("rep"), "h1", "h2", "n_shingles", "retained")
-    reps = firsts.join(classes, ["rep", "h1", "h2"]).select("rep", "n_shingles", "retained").dropDuplicates(["rep"])
-    reps = staged(reps, f"{label}-reps")
+    reps = classes.select("rep", "n_shingles", "retained")
     clusters = components(_candidates(reps, label), f"{label}-work")
+    # the text of every class in a block, once, however often its row repeats
+    ids = classes.join(clusters.select(F.col("id").alias("rep")), "rep", "left_semi").select("rep", "doc_id", "text_hash")
+    texts = own.withColumn("text_hash", F.xxhash64("text")).join(ids, ["doc_id", "text_hash"])
+    texts = staged(texts.groupBy("rep").agg(F.first("text").alias("text")), f"{label}-texts")
+    if not clusters.groupBy("component").count().filter(F.col("count") > BLOCK).isEmpty():
+        clusters = components(_again(clusters, texts, words, label), f"{label}-apart")
     work = staged(_blocks(clusters, reps.select("rep", "n_shingles")), f"{label}-blocks")
-    texts = own.select(F.col("doc_id").cast("long").alias("rep"), "text")
     verified = staged(_verified(work.join(texts, "rep"), words, num, den), f"{label}-links")
+    delete_staged(texts, work)
     found = components(verified, f"{label}-found").withColumnRenamed("id", "rep")
-    labels = classes.join(found, "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component"))
-    out = all_sets.select("doc_id", "n_shingles", "h1", "h2").join(labels, ["h1", "h2"], "left")
+    # a group's id is the smallest document of its classes
+    grouped = staged(classes.join(found, "rep", "left").select("h1", "h2", "doc_id", F.coalesce("component", "rep").alias("grp")), f"{label}-groups")
+    lowest = grouped.groupBy("grp").agg(F.min("doc_id").alias("component"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    labels = lookup_join(grouped, lowest, ["grp"]).select("h1", "h2", F.coalesce("component", "doc_id").alias("component"))
+    out = all_sets.select("doc_id", "text_hash", "n_shingles", "h1", "h2").join(labels, ["h1", "h2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates (five-word shingles, 0.8)."""
-    gone = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+
+    def left() -> DataFrame:
+        gone = _labelled(docs, 5, 4, 5, "near").filter("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text")).distinct()
+        rows = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__text", F.xxhash64(F.col("text").cast("string")))
+        return anti_join(rows, gone, ["__id", "__text"]).select(*docs.columns)
+
+    return with_own_lookups(left)

@@ -75,6 +75,59 @@ def test_null_ids_and_repeated_rows(spark):
     assert sorted(x.doc_id or -1 for x in left.collect()) == [-1, -1, 3, 3]
 
 
+def test_one_id_on_two_texts_loses_neither(spark):
+    r = rng(21)
+    a, b = prose(r, 80), prose(r, 80)
+    docs = frame(spark, [(1, a), (2, b), (2, a), (3, b)])
+    got = sorted((x.doc_id, x.component_id, x.kept) for x in near_duplicates(docs).collect())
+    assert got == [(1, 1, True), (2, 1, False), (2, 2, True), (3, 2, False)]
+    assert sorted((x.doc_id, x.text) for x in drop_near_duplicates(docs).collect()) == sorted([(1, a), (2, b)])
+
+
+def test_many_equal_rows_with_a_near_copy(spark):
+    r = rng(22)
+    a = prose(r, 120)
+    docs = frame(spark, [(5, a)] * 3000 + [(9, edited(r, a, 0.01)), (6, prose(r, 100))]).repartition(5)
+    got = near_duplicates(docs).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert sorted(map(tuple, got)) == [(5, 5, True, 3000), (6, 6, True, 1), (9, 5, False, 1)]
+
+
+def templated(n, seed=30):
+    """Texts that share 100 of 160 words and no link."""
+    r = rng(seed)
+    shared = prose(r, 100)
+    return [(k, shared + " " + prose(r, 60)) for k in range(n)]
+
+
+def test_work_on_templated_texts_is_linear(spark, monkeypatch):
+    seen, verified = {}, near_dedup._verified
+
+    def counted(work, *args):
+        seen["rows"] = work.count()
+        return verified(work, *args)
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    rows = {}
+    for n in (1000, 4000):
+        base = prose(rng(31), 150)  # a few links among them are found all the same
+        texts = templated(n) + [(10_000 + k, edited(rng(40 + k), base, 0.01)) for k in range(6)]
+        got = {x.doc_id: x.component_id for x in near_duplicates(frame(spark, texts).repartition(4)).collect()}
+        assert got == {k: min(k, 10_000) for k, _ in texts}
+        rows[n] = seen["rows"]
+    assert rows[4000] <= 4 * rows[1000] + 100
+
+
+def test_large_components_of_real_links_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 20)
+    monkeypatch.setattr(near_dedup, "LONG_LIST", 4)
+    r = rng(33)
+    base = prose(r, 250)
+    texts = templated(40, 34) + [(100 + k, edited(r, base, 0.004 * (k % 12))) for k in range(50)]
+    texts += [(200 + k, prose(r, 1500) if k % 2 else base + " " + prose(r, k)) for k in range(20)]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in near_duplicates(frame(spark, texts)).collect()}
+    assert got == brute(texts, 5)
+
+
 def test_empty_table(spark):
     docs = frame(spark, [(1, "x")]).filter(F.lit(False))
     assert near_duplicates(docs).count() == 0
