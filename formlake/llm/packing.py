@@ -4,9 +4,10 @@ Documents become token ids with an end mark; those longer than a sequence are cu
 pieces, the remainder first. Pieces are dealt to shards of about ``SHARD`` pieces by a hash, and each
 shard is packed on its own: best fit in decreasing length, then a local search among the
 underfull bins. A *move* takes a piece into a fuller bin, a one-for-one exchange puts a longer
-piece for a shorter one into the fuller bin, a two-for-one exchange puts two pieces for a longer
-one there; each raises the sum of squared fills, so the search ends, and bins that
-run empty are gone. A shard wastes about one bin, whatever the size of the corpus, and no task
+piece for a shorter one into the fuller bin, a two-for-one exchange puts two pieces for a third
+one there; each raises the sum of squared fills. All underfull bins are partners: their pieces are
+indexed by length and their pairs by the sum of lengths. The search ends when no step is left (or
+as few bins remain as the total length needs), and bins that run empty are gone. A shard wastes about one bin, whatever the size of the corpus, and no task
 holds more than its shard.
 
 Defined results: a null or empty text is the end mark alone; every row is packed, repeated ids
@@ -19,7 +20,7 @@ import zlib
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import islice
+from heapq import heappop, heappush
 
 import pandas as pd
 import pyarrow as pa
@@ -101,13 +102,72 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+class PairIndex:
+    """Pairs of pieces that share an underfull bin, by the sum of their lengths; emptiest bin first.
+
+    Of pairs of one bin with equal sums one is listed. Entries of a bin that has changed since are
+    dropped when they are met.
+    """
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], fill: list[int], capacity: int):
+        self.bins, self.lengths, self.fill, self.capacity = bins, lengths, fill, capacity
+        self.heaps: list[list[tuple[int, int, int, int, int]]] = [[] for _ in range(capacity + 1)]
+        self.version = [0] * len(bins)
+        self.sums = 0  # bit s: the heap of sum s may hold something
+
+    def renew(self, k: int, listed: bool) -> None:
+        """Forget the pairs of bin ``k`` and, if ``listed``, list those it has now."""
+        self.version[k] += 1
+        if not listed:
+            return
+        by_length: dict[int, list[int]] = {}
+        for i in self.bins[k]:
+            by_length.setdefault(self.lengths[i], []).append(i)
+        found: dict[int, tuple[int, int]] = {}
+        own = sorted(by_length)
+        for at, a in enumerate(own):
+            if len(by_length[a]) > 1:
+                found.setdefault(2 * a, tuple(by_length[a][:2]))
+            for b in own[at + 1 :]:
+                found.setdefault(a + b, (by_length[a][0], by_length[b][0]))
+        for s, (i, j) in found.items():
+            heappush(self.heaps[s], (self.fill[k], k, self.version[k], i, j))
+            self.sums |= 1 << s
+
+    def _top(self, s: int):
+        heap = self.heaps[s]
+        while heap and heap[0][2] != self.version[heap[0][1]]:
+            heappop(heap)
+        if not heap:
+            self.sums &= ~(1 << s)
+        return heap[0] if heap else None
+
+    def largest(self, least: int, most: int, target: int):
+        """(sum, i, j) of the largest sum in (least, most] of a bin not fuller than the target."""
+        within = self.sums & ((1 << (min(most, self.capacity) + 1)) - 1)
+        while (s := within.bit_length() - 1) > least:
+            within &= ~(1 << s)
+            top, aside = self._top(s), None
+            if top and top[1] == target:  # the target's own pair: look behind it
+                aside = heappop(self.heaps[s])
+                top = self._top(s)
+            if aside:
+                heappush(self.heaps[s], aside)
+                self.sums |= 1 << s
+            if top and top[0] <= self.fill[target]:
+                return s, top[3], top[4]
+        return None
+
+
 def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
     """Local search: moves and exchanges between underfull bins that raise the sum of squared fills."""
     fill = [sum(lengths[i] for i in b) for b in bins]
     under = {k for k, f in enumerate(fill) if f < capacity}
     where = {i: k for k in under for i in bins[k]}
     index = sorted((lengths[i], i) for i in where)  # pieces of underfull bins by length
-    order: list[int] = []  # underfull bins, fullest first, as the sweep began
+    pairs = PairIndex(bins, lengths, fill, capacity)
+    for k in under:
+        pairs.renew(k, True)
 
     def shift(i: int, source: int, target: int) -> None:
         bins[source].remove(i)
@@ -116,8 +176,11 @@ def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[li
         fill[source] -= lengths[i]
         fill[target] += lengths[i]
 
-    def close(k: int) -> None:
-        if fill[k] == capacity or not fill[k]:
+    def changed(k: int) -> None:
+        """Bring the indexes up to date; a full or empty bin takes no further part."""
+        open_still = 0 < fill[k] < capacity
+        pairs.renew(k, open_still)
+        if not open_still:
             under.discard(k)
             for i in bins[k]:
                 del index[bisect_left(index, (lengths[i], i))]
@@ -141,62 +204,39 @@ def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[li
         if i is not None:  # move
             source = where[i]
             shift(i, source, target)
-            close(source)
+            changed(source)
             return True
         best = None
         for j in bins[target]:  # one for one
             i = longest(lengths[j] + gap, lengths[j], target)
             if i is not None and (best is None or lengths[i] - lengths[j] > best[0]):
-                best = (lengths[i] - lengths[j], i, j)
-        if best and best[0] == gap:
-            exchange(target, best[1:2], best[2])
-            return True
-        pair = None
-        for source in islice((k for k in reversed(order) if k in under), PARTNERS):  # two for one
-            if source == target or len(bins[source]) < 2 or fill[source] > fill[target]:
-                continue
-            own = sorted((lengths[i], i) for i in bins[source])
-            for j in bins[target]:
-                lo, hi = 0, len(own) - 1
-                while lo < hi:
-                    more = own[lo][0] + own[hi][0] - lengths[j]
-                    if more > gap:
-                        hi -= 1
-                        continue
-                    if more > (pair or best or (0,))[0]:
-                        pair = (more, (own[lo][1], own[hi][1]), j)
-                    lo += 1
-        if pair:
-            exchange(target, pair[1], pair[2])
-            return True
-        if best:
-            exchange(target, best[1:2], best[2])
-            return True
-        return False
-
-    def exchange(target: int, taken: tuple[int, ...], given: int) -> None:
+                best = (lengths[i] - lengths[j], (i,), j)
+        for j in bins[target]:  # two for one, where that gains more
+            if best and best[0] == gap:
+                break
+            found = pairs.largest(lengths[j] + (best[0] if best else 0), lengths[j] + gap, target)
+            if found:
+                best = (found[0] - lengths[j], found[1:], j)
+        if not best:
+            return False
+        _, taken, given = best
         source = where[taken[0]]
         for i in taken:
             shift(i, source, target)
         shift(given, target, source)
-        close(source)
-
-    # a sweep goes on to the next as long as it empties a bin and fewer bins are possible
-    least = -(-sum(lengths) // capacity)
-    count, before = sum(map(bool, bins)), None
-    while count > least and count != before:
-        order[:] = sorted(under, key=lambda k: (-fill[k], k))
-        for target in order:
-            while target in under and fill[target] and step(target):
-                close(target)
-        count, before = sum(map(bool, bins)), count
+        changed(source)
+        return True
+
+    least, going = -(-sum(lengths) // capacity), True
+    while going and sum(map(bool, bins)) > least:
+        going = False
+        for target in sorted(under, key=lambda k: (-fill[k], k)):  # fullest first
+            while target in under and step(target):
+                changed(target)
+                going = True
     return [b for b in bins if b]
 
 
-# two-for-one exchanges are sought with this many of the emptiest bins
-PARTNERS = 8
-
-
 def pack(rows: DataFrame, capacity: int = CAPACITY, label: str = "packing") -> DataFrame:
     """``rows`` (pieces as above) with sequence_id and offset."""
     rows = staged(rows, f"{label}-pieces")

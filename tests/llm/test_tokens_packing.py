@@ -106,3 +106,22 @@ def test_exchanges_empty_bins():
     lengths = sorted((r.randint(250, 600) for _ in range(2000)), reverse=True)
     first = best_fit(lengths, 1024)
     assert len(improve([list(b) for b in first], lengths, 1024)) < len(first)
+
+
+@pytest.mark.parametrize("seed,low,high", [(1, 180, 519), (2, 250, 600), (3, 40, 400), (4, 300, 345)])
+def test_search_ends_where_no_step_is_left(seed, low, high):
+    r, capacity = rng(seed), 1024
+    lengths = sorted((r.randint(low, high) for _ in range(240)), reverse=True)
+    bins = improve(best_fit(lengths, capacity), lengths, capacity)
+    assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+    if len(bins) == -(-sum(lengths) // capacity):
+        return
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    for t, target in enumerate(bins):
+        for k, source in enumerate(bins):
+            if k == t or fill[k] > fill[t] or fill[t] == capacity:
+                continue
+            own = [lengths[i] for i in source]
+            gains = set(own) | {a - lengths[j] for a in own for j in target}
+            gains |= {a + b - lengths[j] for x, a in enumerate(own) for b in own[x + 1 :] for j in target}
+            assert not any(0 < g <= capacity - fill[t] for g in gains)
