@@ -12,12 +12,16 @@ passage quoted in part is found too. A segment of m characters may differ by
    diagonals lies in one band. Bands under the bound are dropped.
 3. The rest are verified by a semi-global alignment within the band (all candidates of a chunk
    at once): a match has at most k edits.
+4. Items under ``MIN_ITEM`` characters take the same way with k = 0, and a match must also begin and end
+   at word borders: shorter texts are too common for edits or parts of words to tell. Items under
+   ``Q`` characters have no q-gram; they are searched as they are, at word borders.
 
-Tasks hold the q-gram index of the items. Items beyond ``INDEX_CHARS`` characters in all are taken in
+Tasks hold the q-gram index of the items, some 50 bytes a character. Items beyond ``INDEX_CHARS`` characters in all are taken in
 blocks of that size, one pass over the texts each.
 
-Defined results: null or empty texts match nothing; an item under ``MIN_ITEM`` characters is too short
-to tell from chance and is not searched; repeated items and rows repeat their matches; null
+Defined results: null or empty texts and items match nothing; an item under ``Q`` characters (a word
+or two) is reported by ``find_matches`` but no reason to drop a document, as it says nothing about where
+the document comes from; repeated items and rows repeat their matches; null
 ids are kept as they are, and items without an id are told apart by their text; of several
 matches of an item in a text the one with the fewest edits counts, then the first. Positions
 refer to the normalised text. Extra columns play no part.
@@ -25,6 +29,7 @@ refer to the normalised text. Extra columns play no part.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +43,7 @@ Q = 8
 SEGMENT = 100
 RATE = 0.08
 MIN_ITEM = 30
-INDEX_CHARS = 10_000_000
+INDEX_CHARS = 1_000_000
 _CHUNK = 400_000
 _U = np.uint64
 _BITS = 22
@@ -61,23 +66,38 @@ def gram_hashes(code: np.ndarray, q: int) -> np.ndarray:
     return h * _U(0xD6E8FEB86659FD93)
 
 
+_WORD = re.compile(r"\w")
+
+
+def _at_word_borders(texts) -> re.Pattern:
+    """Matches, at every place, one of ``texts`` (of one length) that has no letter or digit beside it."""
+    return re.compile(rf"(?<!\w)(?=({'|'.join(map(re.escape, sorted(texts)))})(?!\w))")
+
+
 class Segments:
     """q-gram index of the segments of the items."""
 
     def __init__(self, items: list[tuple[int, str | None]], q: int = Q, segment: int = SEGMENT, rate: float = RATE):
         self.q, self.item, self.codes, self.edits = q, [], [], []
+        tiny: dict[str, list[int | str]] = {}
         for item_id, raw in items:
             text = normalised(raw)
-            if len(text) < MIN_ITEM:
+            if not text:
+                continue
+            if len(text) < q:
+                tiny.setdefault(text, []).append(raw if item_id is None else item_id)
                 continue
             last = max(0, len(text) - segment)
             for at in sorted({*range(0, last, segment // 2), last}):
                 piece = codes(text[at : at + segment])
                 self.item.append(raw if item_id is None else item_id)  # without an id the text tells items apart
                 self.codes.append(piece)
-                # no more edits than leave a q-gram to count
-                self.edits.append(min(int(rate * len(piece)), (len(piece) - q) // q))
+                # no more edits than leave a q-gram to count; none in a short item
+                self.edits.append(min(int(rate * len(piece)), (len(piece) - q) // q) if len(text) >= MIN_ITEM else 0)
+        self.tiny = tiny
+        self.tiny_patterns = [_at_word_borders(t for t in tiny if len(t) == n) for n in sorted({len(t) for t in tiny})]
         self.size = np.array([len(c) for c in self.codes], dtype=np.int64)
+        self.short = self.size < MIN_ITEM  # a segment of a longer item is never that short
         self.edits = np.array(self.edits, dtype=np.int64)
         self.bound = self.size - q + 1 - self.edits * q
         self.half = 2 * int(self.edits.max(initial=0)) + 1
@@ -150,13 +170,38 @@ class Segments:
         begin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])[:-1].astype(np.int64)
         end = begin + np.array([len(t) for t in texts], dtype=np.int64)
         found = self.candidates(joined, begin)
+
+        def keep(d: int, item: int | str, new: tuple[int, int, int]) -> None:
+            if item not in out[d] or new < out[d][item]:
+                out[d][item] = new
+
         if len(found[0]):
-            for d, s, a, b, e in self.verify(joined, begin, end, *found):
-                item, new = self.item[s], (e, a, b)
-                if item not in out[d] or new < out[d][item]:
-                    out[d][item] = new
+            short = self.short[found[1]]
+            if not short.all():
+                for d, s, a, b, e in self.verify(joined, begin, end, *(x[~short] for x in found)):
+                    keep(d, self.item[s], (e, a, b))
+            for d, s, band in zip(*(x[short].tolist() for x in found)):
+                place = self._exactly(texts[d], s, band)
+                if place is not None:
+                    keep(d, self.item[s], (0, place, place + int(self.size[s])))
+        for d, text in enumerate(texts):
+            for pattern in self.tiny_patterns:
+                for hit in pattern.finditer(text):
+                    for item in self.tiny[hit[1]]:
+                        keep(d, item, (0, hit.start(1), hit.end(1)))
         return out
 
+    def _exactly(self, text: str, segment: int, band: int) -> int | None:
+        """Where the segment first stands between word borders within the diagonals of a band."""
+        wanted = self.codes[segment].tobytes().decode("utf-32-le", "surrogatepass")
+        low, high = max(0, band * self.half), (band + 2) * self.half
+        at = text.find(wanted, low)
+        while 0 <= at < high:
+            if not (_WORD.match(text, at - 1) if at else None) and not _WORD.match(text, at + len(wanted)):
+                return at
+            at = text.find(wanted, at + 1)
+        return None
+
 
 def _place(match: tuple[int | str, tuple]) -> tuple:
     return (0, 0, match[0]) if isinstance(match[0], str) else (1, match[0], "")
@@ -177,13 +222,14 @@ def _matched(docs: DataFrame, segments: Segments, keep: list[str]) -> DataFrame:
     return out.toDF(*[f"k{i}" for i in range(len(keep))], "found").select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], F.col("found").alias("__matches"))
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[Segments]:
+def _blocks(benchmark: DataFrame, least: int = 1) -> Iterator[Segments]:
+    """The indexes of all items of at least ``least`` characters, about ``INDEX_CHARS`` at a time."""
     items = benchmark.select("item_id", "text").filter("text is not null")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-size // INDEX_CHARS))
     for k in range(blocks):
         part = items if blocks == 1 else items.filter(F.pmod(F.when(F.col("item_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("item_id")), F.lit(blocks)) == k)
-        yield Segments([(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()])
+        yield Segments([(r[0], r[1]) for r in part.orderBy("item_id", "text").collect() if len(normalised(r[1])) >= least])
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -199,6 +245,6 @@ def find_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark passage."""
     columns = docs.columns
-    for segments in _blocks(benchmark):
+    for segments in _blocks(benchmark, Q):
         docs = _matched(docs, segments, columns).filter(F.size("__matches") == 0).drop("__matches")
     return docs

@@ -1,5 +1,6 @@
 """op4, op6 and op8: brute force for matches, held-out accuracy for trained models."""
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -63,18 +64,41 @@ def test_find_and_drop(spark, monkeypatch):
     items = [(1, prose(r, 30)), (2, prose(r, 12)), (2, prose(r, 12)), (3, None), (4, "too short"), (None, prose(r, 20)), (5, "É Ñ " + prose(r, 20))]
     benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("matches", F.lit(1))
     leak = lambda k: prose(r, 40) + "\n" + items[k][1].upper().replace(" ", "  ") + " " + prose(r, 40)
-    docs = frame(spark, [(0, None), (1, ""), (10, leak(0)), (11, leak(1)), (11, leak(2)), (12, leak(6)), (13, prose(r, 20_000)), (None, leak(0)), (14, "too short")])
+    docs = frame(spark, [(0, None), (1, ""), (10, leak(0)), (11, leak(1)), (11, leak(2)), (12, leak(6)), (13, prose(r, 20_000)), (None, leak(0)), (14, "Far  TOO short, it is"), (15, "too shorty, not too\u00e9 short")])
     for size in (10_000_000, 150):  # one block of items, then several
         monkeypatch.setattr(decontaminate, "INDEX_CHARS", size)
         got = sorted(((x.doc_id, x.item_id) for x in find_matches(docs, benchmark).collect()), key=str)
-        assert got == sorted([(10, 1), (11, 2), (11, 2), (12, 5), (None, 1)], key=str)
+        assert got == sorted([(10, 1), (11, 2), (11, 2), (12, 5), (None, 1), (14, 4)], key=str)
         left = drop_contaminated(docs, benchmark)
         assert left.columns == docs.columns
-        assert sorted(x.doc_id for x in left.collect()) == [0, 1, 13, 14]
+        assert sorted(x.doc_id for x in left.collect()) == [0, 1, 13, 15]
     assert find_matches(docs.filter(F.lit(False)), benchmark).count() == 0
     assert drop_contaminated(docs, benchmark.filter(F.lit(False))).count() == docs.count()
 
 
+def test_short_items_are_found_at_word_borders(spark):
+    r = rng(14)
+    alphabet = "ab "
+    items = [(k, "".join(r.choice(alphabet) for _ in range(r.randrange(0, 30)))) for k in range(60)] + [(100, "What is the capital of Peru?"), (101, "42"), (102, "a b"), (102, "b"), (None, "ba ab"), (103, "é")]
+    texts = [(k, "".join(r.choice(alphabet + alphabet + ".") for _ in range(400))) for k in range(30)]
+    texts += [(50, "so: what IS the\ncapital of peru? Lima"), (51, "what is the capital of perus? no"), (52, "142 42a 42é"), (53, "is it 42."), (54, None), (55, "")]
+    want = Counter()
+    for doc, raw in texts:
+        text = normalised(raw)
+        for item, own in {(i if i is not None else t, normalised(t)) for i, t in items}:
+            places = [m.start() for m in re.finditer(rf"(?<!\w)(?={re.escape(own)}(?!\w))", text)] if own else []
+            if places:
+                key = (doc, item if isinstance(item, int) else None)
+                want[key] = min(want.get(key, 10**9), places[0]) if key in want else places[0]
+    found = find_matches(frame(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(x.doc_id, x.item_id): x.start for x in found} == dict(want) and all(x.edits == 0 for x in found)
+    # items without a q-gram drop nothing, the others do
+    tiny = [i for i in items if len(normalised(i[1])) < decontaminate.Q]
+    assert drop_contaminated(frame(spark, texts), spark.createDataFrame(tiny, "item_id long, text string")).count() == len(texts)
+    left = drop_contaminated(frame(spark, texts), spark.createDataFrame(items[60:61], "item_id long, text string"))
+    assert {x.doc_id for x in left.collect()} == {k for k, _ in texts} - {50}
+
+
 def test_items_without_an_id(spark, monkeypatch):
     r = rng(12)
     items = [(1, prose(r, 30)), (None, prose(r, 20)), (None, prose(r, 25))]
