@@ -3,15 +3,16 @@
 A listed rule fits its host and all subdomains where the path starts with the rule's; the longest
 wins. Urls under a rule are also the labelled examples of the method, which judges the rest:
 
-1. Per host the distinct paths are walked level by level. At each node a segment that makes up
-   less than ``SHARE`` of the node's urls, or fewer than ``SUPPORT``, is variable: it becomes ``*``. So a
-   node keeps at most 1 / ``SHARE`` constant branches, however many segments it has. Beyond ``DEPTH``
-   levels the rest of a path is one segment.
-2. Constant branches of a node that are statistically similar merge: siblings in order of their
-   blocked share, joined while a homogeneity test over (blocked, allowed, unlabelled) does
-   not tell neighbours apart.
-3. A template is rejected if its labelled purity, smoothed by ``PRIOR`` urls of even odds, is
-   at least ``PURITY``. Templates without labels stay at 0.5 and are allowed.
+1. Per host the distinct paths are walked level by level. At each node a segment with fewer than
+   ``SUPPORT`` urls of its own, or one of digits only, is variable: it becomes ``*``. Any other stays a branch,
+   whatever its share. Beyond ``DEPTH`` levels the rest of a path is one segment.
+2. Constant branches of a node that are statistically similar merge. Branches whose urls are all blocked,
+   all allowed or all unlabelled are similar to their like and enter as one unit each; these and the
+   mixed branches (at most one per rule) are put in order of their blocked share and joined while a
+   homogeneity test over (blocked, allowed, unlabelled) does not tell neighbours apart.
+3. A template is rejected if its labelled purity is at least ``PURITY``. It is smoothed by ``PRIOR`` urls of
+   even odds and by ``DOUBT`` of such a url for each unlabelled one, so a few blocked urls do not
+   speak for thousands nobody labelled. Templates without labels stay at 0.5 and are allowed.
 
 Everything is counted per distinct (host, path) first, so a host with a third of all rows ships
 its distinct paths only; the labels of branches, few per node, are joined back to them.
@@ -29,12 +30,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formlake.llm.common import staged
+from formlake.operators.joins import lookup_join, lookup_scope
 
 SUPPORT = 5
-SHARE = 0.02
 DEPTH = 8
 CHI2 = 9.21  # two degrees of freedom, 1 %
 PRIOR = 2.0
+DOUBT = 0.1
 PURITY = 0.85
 MAX_RULES = 1_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -66,9 +68,12 @@ def _counts() -> list[Column]:
 
 def _branches(kids: DataFrame) -> DataFrame:
     """(node, segment, label) of the constant branches; similar ones share a label."""
-    total = kids.groupBy("node").agg(F.sum("n").alias("all"))
-    kept = kids.join(total, "node").filter((F.col("n") >= SUPPORT) & (F.col("n") >= SHARE * F.col("all")) & ~F.col("segment").rlike("^[0-9]+$"))
-    order = Window.partitionBy("node").orderBy(F.col("blocked") / F.col("n"), F.col("allowed") / F.col("n"), "segment")
+    branches = kids.filter((F.col("n") >= SUPPORT) & ~F.col("segment").rlike("^[0-9]+$"))
+    whole = [F.when(F.col(c) == F.col("n"), F.lit(c)) for c in ("blocked", "allowed")]
+    unlabelled = F.when(F.col("blocked") + F.col("allowed") == 0, F.lit("none"))
+    branches = branches.withColumn("unit", F.coalesce(*whole, unlabelled, F.concat(F.lit("="), "segment")))
+    kept = branches.groupBy("node", "unit").agg(*_counts(), F.min("segment").alias("low"), F.max("segment").alias("high"), F.count(F.lit(1)).alias("size"))
+    order = Window.partitionBy("node").orderBy(F.col("blocked") / F.col("n"), F.col("allowed") / F.col("n"), "low")
     # homogeneity of a branch and the one before it over blocked, allowed and unlabelled urls
     statistic, columns = F.lit(0.0), {"blocked": F.col("blocked"), "allowed": F.col("allowed"), "rest": F.col("n") - F.col("blocked") - F.col("allowed")}
     size, before = F.col("n"), F.lag("n").over(order)
@@ -79,9 +84,12 @@ def _branches(kids: DataFrame) -> DataFrame:
             statistic = statistic + F.when(expected > 0, (observed - expected) ** 2 / expected).otherwise(0.0)
     kept = kept.withColumn("differs", F.coalesce((statistic > CHI2).cast("int"), F.lit(1)))
     kept = kept.withColumn("set", F.sum("differs").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    names = F.sort_array(F.collect_list("segment").over(Window.partitionBy("node", "set")))
-    label = F.when(F.size(names) > 1, F.concat(F.lit("{"), F.array_join(names, "|"), F.lit("}"))).otherwise(F.col("segment"))
-    return kept.select("node", "segment", label.alias("label"))
+    # a label names the first and the last of its branches and how many lie between
+    own = Window.partitionBy("node", "set")
+    first, last, size = F.min("low").over(own), F.max("high").over(own), F.sum("size").over(own)
+    between = F.when(size > 2, F.concat(F.lit("+"), (size - 2).cast("string"), F.lit("|"))).otherwise(F.lit(""))
+    label = F.when(size == 1, first).otherwise(F.concat(F.lit("{"), first, F.lit("|"), between, last, F.lit("}")))
+    return lookup_join(branches.select("node", "segment", "unit"), kept.select("node", "unit", label.alias("label")), ["node", "unit"]).drop("unit")
 
 
 def path_templates(paths: DataFrame, label: str = "url") -> DataFrame:
@@ -94,10 +102,13 @@ def path_templates(paths: DataFrame, label: str = "url") -> DataFrame:
     for level in range(1, depth + 1):
         here = state.withColumn("segment", F.get("segments", F.lit(level - 1)))
         kids = here.filter("segment is not null").groupBy("node", "segment").agg(*_counts())
-        named = here.join(staged(_branches(kids), f"{label}-branches"), ["node", "segment"], "left")
+        with lookup_scope():
+            branches = staged(_branches(kids), f"{label}-branches")
+        named = here.join(branches, ["node", "segment"], "left")
         step = F.when(F.col("segment").isNull(), F.col("node")).otherwise(F.concat("node", F.lit("/"), F.coalesce("label", F.lit("*"))))
         state = staged(named.withColumn("node", step).drop("segment", "label"), f"{label}-level{level}")
-    purity = (F.col("blocked") + PRIOR / 2) / (F.col("blocked") + F.col("allowed") + PRIOR)
+    doubt = PRIOR + DOUBT * (F.col("n") - F.col("blocked") - F.col("allowed"))
+    purity = (F.col("blocked") + doubt / 2) / (F.col("blocked") + F.col("allowed") + doubt)
     judged = state.groupBy("node").agg(*_counts()).select("node", purity.alias("purity"))
     return state.select("host", "path", "node").join(judged, "node").withColumnRenamed("node", "template")
 

@@ -68,6 +68,26 @@ def test_variable_branch_of_blocked_pages_is_rejected(spark):
     assert got[5].rule is None and got[5].template == "x.org/*" and got[5].verdict == "block"
 
 
+@pytest.mark.parametrize("sections", [40, 60, 300])
+def test_a_blocked_section_does_not_speak_for_its_siblings(spark, sections):
+    urls = [f"http://many.org/{chr(97 + s // 26)}{chr(97 + s % 26)}/{k}" for s in range(sections) for k in range(50)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = judge_urls(pages, [("many.org/aa/", "block")]).collect()
+    assert {x.path.split("/")[1] for x in got if x.verdict == "block"} == {"aa"}
+    # a rule on half of a section's pages judges the other half, and nothing else
+    rules = [(f"many.org/ab/{d}", "block") for d in (1, 2, 3, 4)]
+    got = judge_urls(pages, rules).collect()
+    assert {x.path.split("/")[1] for x in got if x.verdict == "block"} == {"ab"}
+    assert all(x.verdict == "block" for x in got if x.path.startswith("/ab/"))
+
+
+def test_unlabelled_urls_weigh_in(spark):
+    # five blocked pages and thousands nobody labelled share a variable segment
+    pages = spark.createDataFrame([(k, f"http://y.org/{k}x{k}") for k in range(3000)], "page_id long, url string")
+    got = judge_urls(pages, [(f"y.org/{k}x{k}", "block") for k in range(1000, 1005)]).collect()
+    assert sum(x.verdict == "block" for x in got) == 5 and all(x.template == "y.org/*" for x in got)
+
+
 def base(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     n = len(words)
