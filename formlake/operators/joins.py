@@ -36,6 +36,7 @@ from formlake.session import (
     ROWS_PER_TASK_DEFAULT,
     ROWS_PER_TASK_KEY,
     conf_int,
+    staged,
 )
 
 _SALT, _SALTS, _N, _COPY = "__salt", "__salts", "__n", "__copy"
@@ -179,6 +180,18 @@ def _with_salts(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(renamed, cond, "left").drop(*[f"__hot_{k}" for k in keys])
 
 
+def costly(df: DataFrame) -> DataFrame:
+    """``df``, marked as one that should not be computed twice (it parses documents, say)."""
+    df.formlake_costly = True
+    return df
+
+
+def written_if_costly(df: DataFrame) -> DataFrame:
+    """``df`` or, if it is marked ``costly``, the table it is written to in the shared folder. Other inputs
+    are cheaper to read twice, pruned to the columns each reading needs."""
+    return staged(df, "once") if getattr(df, "formlake_costly", False) is True else df
+
+
 def attach_group_count(
     df: DataFrame,
     keys: Sequence[str],
@@ -192,8 +205,7 @@ def attach_group_count(
     The count is a partial (map-side) aggregate, so a hot key ships one partial count
     per task instead of its rows; the counts are then joined back with ``lookup_join``.
     ``counts`` (keys and ``name``) may be passed when they are kept somewhere; else ``df`` is
-    evaluated a second time for them, with the key columns only. A caller whose ``df`` is costly even
-    then writes it first.
+    evaluated a second time for them, with the key columns only (see ``written_if_costly``).
     """
     keys = list(keys)
     if counts is None:
