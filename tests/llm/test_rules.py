@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from formlake.llm.html_extract import extract, main_text
+from formlake.llm.html_extract import _tuples, extract, main_text, nesting
 from formlake.llm.quality_rules import quality_verdicts
 from formlake.llm.queries import URL_RULES
 from formlake.llm.url_filter import MAX_RULES, judge_urls, rule_of
@@ -123,9 +123,9 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><b
 
 
 def test_main_text():
-    assert main_text(PAGE, [], [], []) == "Head & line\n\nOne two <x> three\n\na < b © 4\n\ni\n\nii"
-    assert main_text(None, [], [], []) == main_text("", [], [], []) == main_text("<nav>x</nav>", [], [], []) == ""
-    assert main_text("<p>cut <b>of", [], [], []) == "cut of"
+    assert main_text(PAGE) == "Head & line\n\nOne two <x> three\n\na < b © 4\n\ni\n\nii"
+    assert main_text(None) == main_text("") == main_text("<nav>x</nav>") == ""
+    assert main_text("<p>cut <b>of") == "cut of"
 
 
 def test_articles_of_the_given_pages(spark):
@@ -160,3 +160,59 @@ def test_template_of_a_host_without_article_elements(spark):
         assert got[k] == "\n\n".join(a or b for a, b in found)
     assert got[50] == got[51] == "" and got[52] == "odd page" and got[53] == "only\n\npage" and len(got[54]) > 100_000
     assert extract(pages.filter(F.lit(False))).count() == 0
+
+
+def test_classes_are_ordered_and_nested():
+    # a class is one tuple repeated in one order; 0 marks one that is not
+    classes = {1: [10, 11], 2: [20, 21], 3: [30, 31]}
+    found = _tuples([10, 20, 21, 20, 21, 11, 31, 30, 5], classes)
+    assert found[1][0] and found[2][0] and found[3][0] and found[1][1] == [0, 5]
+    assert _tuples([10, 11, 11, 10], classes)[1][0] == 0 == _tuples([10, 10, 11, 11], classes)[1][0] == _tuples([20], classes)[2][0]
+    assert _tuples([11, 10], classes)[1][0] != _tuples([10, 11], classes)[1][0]
+    assert nesting(found, classes) == {1: (0, 0), 2: (1, 1), 3: (0, 0)}
+    # the innermost class around, and one that crosses another
+    assert nesting(_tuples([10, 20, 30, 31, 21, 11], classes), classes) == {1: (0, 0), 2: (1, 1), 3: (2, 1)}
+    assert nesting(_tuples([10, 20, 11, 21], classes), classes)[2][0] == -1
+
+
+def _site(r, host, n, page):
+    return [(k, f"http://{host}/{k}", page(k)) for k in range(n)]
+
+
+@pytest.mark.parametrize("element", ["main", "article", "div"])
+def test_template_of_random_names(spark, element):
+    """Class names say nothing; menus, notices, link lists and repeated blocks go by the template alone."""
+    r = rng(11)
+    wanted = {}
+
+    def page(k):
+        story = [f"Title {k} {prose(r, 4)}"] + [prose(r, 30) for _ in range(2 + k % 5)]
+        wanted[k] = "\n\n".join(story)
+        links = "".join(f'<a href="/{j}">{prose(r, 3)}</a> ' for j in range(3))
+        some = '<div class="kk"><p>Read with care.</p></div>' if k % 3 else ""  # on two pages of three
+        body = f"<h1>{story[0]}</h1>" + some + "".join(f"<p>{x}</p>" for x in story[1:])
+        return f'<body><div class="qx"><p>Daily site</p></div><{element} class="zv">{body}<div class="wq"><p>Support our work today.</p></div><div class="pl">{links}</div></{element}><div class="tt"><p>All rights kept</p><p>{prose(r, 3)}</p></div></body>'
+
+    rows = _site(r, "rand.org", 30, page)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {x.page_id: x.text for x in extract(pages).collect()}
+    assert got == wanted
+    # without a template the repeated block and the links stay
+    assert all("Support our work" in main_text(html) for _, _, html in rows)
+
+
+def test_copies_are_no_template_and_small_hosts_share_one(spark):
+    r = rng(12)
+    story = [prose(r, 30) for _ in range(4)]
+    copy = lambda k: "<body><div class='m'>" + "".join(f"<p>{x}</p>" for x in story) + f"<p>{prose(r, 2)}</p></div></body>"
+    rows = _site(r, "copy.org", 12, copy) + [(100 + k, f"http://copy.org/x{k}", copy(0)) for k in range(3)]
+    # small hosts built alike: one template for all of them
+    rows += [(200 + k, f"http://small{k}.org/", f"<body><div class='qa'>Menu {prose(r, 2)}</div><div class='qb'><p>{prose(r, 40)}</p><p>Sent by the same tool.</p></div></body>") for k in range(20)]
+    pages = spark.createDataFrame(rows + rows[:2], "page_id long, url string, html string")
+    out = extract(pages).collect()
+    assert len(out) == len(rows) + 2
+    got = {x.page_id: x.text for x in out}
+    assert all(all(x in got[k] for x in story) for k, _, _ in rows if k < 200)
+    for k, _, html in rows:
+        if k >= 200:
+            assert got[k] == re.search("qb'><p>(.*?)</p>", html)[1]
