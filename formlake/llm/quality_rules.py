@@ -1,16 +1,19 @@
 """Quality rules: fixed base rules, then robust multivariate outliers.
 
 DataFrame expressions only. Every text gives a vector of transformed statistics (mean word length,
-shares of symbols, capitals, repeated words and duplicate lines). For each language and source a
-minimum-covariance-determinant estimate is sought: from medians and absolute deviations,
-concentration steps refit mean and covariance to the ``HALF`` share of rows with the smallest
-Mahalanobis distances. The covariance is scaled so that the median distance is that of a normal
-sample, and rows beyond ``CUT`` are rejected. Variances have a floor, so a statistic that is
+shares of symbols, capitals, repeated words and duplicate lines). For each language and source the
+minimum covariance determinant is sought: the ``HALF`` share of rows whose covariance has the least
+determinant. Three starts (medians with absolute deviations alone, with the correlations of
+squashed values, and with those of directions) take ``FIRST`` concentration steps each; a step
+refits mean and covariance to the rows with the smallest Mahalanobis distances. The start of the least
+determinant goes on until no group's determinant falls by more than ``FALL``. Means and covariances are sought
+in groups of any size; the covariance is scaled so that the median distance is that of a normal sample, and rows whose
+distance a normal sample exceeds with probability ``TAIL`` are rejected. Variances have a floor, so a statistic that is
 constant in a group doesn't make its covariance singular.
 
 Each step is an aggregate per group (sums of products and quantile sketches, merged from
-partial ones) joined back to narrow rows. Rows are joined by group and one of ``SALTS`` salts (the
-group's few numbers are repeated per salt), so a source holding a third of all rows is spread,
+partial ones) and a join of the group's few numbers to narrow rows. Rows are joined by group and one of ``SALTS`` salts (the
+group's numbers are repeated per salt), so a source holding a third of all rows is spread,
 and the next aggregate ships one partial per task. Groups under ``LEAST`` rows pool with others of their language, then of all
 languages; a pool that is still too small rejects nothing.
 
@@ -21,6 +24,8 @@ an empty table gives no rows. Extra columns pass by unused.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,11 +33,11 @@ from formlake.llm.common import staged
 
 WINDOW = 8
 HALF = 0.75
-STEPS = 3
+FIRST = 2
+FALL = 1e-3
 LEAST = 60
 SALTS = 32
-CUT = 60.0  # squared distance
-CHI2_MEDIAN = {1: 0.455, 2: 1.386, 3: 2.366, 4: 3.357, 5: 4.351, 6: 5.348}
+TAIL = 1e-9
 # standard deviations of the transformed statistics are taken to be this much at least
 FLOOR = {"x_length": 0.03, "x_symbols": 0.04, "x_capitals": 0.04, "x_repeats": 0.12, "x_lines": 0.12}
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -101,13 +106,26 @@ def _per_salt(groups: DataFrame) -> DataFrame:
     return groups.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
 
 
-def _with_distance(rows: DataFrame, estimate: DataFrame, dims: list[str]) -> DataFrame:
+def _chi2(tail: float, dims: int) -> float:
+    """The squared distance that a normal sample of ``dims`` dimensions exceeds with probability ``tail``."""
+
+    def above(x: float) -> float:
+        total, k = (math.erfc(math.sqrt(x / 2)), 1) if dims % 2 else (math.exp(-x / 2), 2)
+        while k < dims:
+            total += (x / 2) ** (k / 2) * math.exp(-x / 2) / math.gamma(k / 2 + 1)
+            k += 2
+        return total
+
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        low, high = (low, (low + high) / 2) if above((low + high) / 2) < tail else ((low + high) / 2, high)
+    return low
+
+
+def _with_distance(rows: DataFrame, estimate: DataFrame, dims: list[str], keys: list[str]) -> DataFrame:
     """``rows`` with their squared distance d2 under the estimate of their group."""
     factor, total = _distance(dims)
-    for name, value in factor.items():
-        estimate = estimate.withColumn(name, value)
-    used = ["grp", *[f"m_{i}" for i in range(len(dims))], *factor]
-    out = rows.join(_per_salt(estimate.select(*used)), ["grp", "salt"])
+    out = rows.join(_per_salt(estimate.select(*keys, *[f"m_{i}" for i in range(len(dims))], *factor)), [*keys, "salt"])
     for i, dim in enumerate(dims):
         z = F.col(dim) - F.col(f"m_{i}")
         for k in range(i):
@@ -116,28 +134,83 @@ def _with_distance(rows: DataFrame, estimate: DataFrame, dims: list[str]) -> Dat
     return out.withColumn("d2", total).select(*rows.columns, "d2")
 
 
-def mcd_distances(rows: DataFrame, floor: dict[str, float], label: str = "quality") -> DataFrame:
-    """``rows`` (with ``grp`` and the columns named in ``floor``) with robust squared distances ``d2``."""
-    dims, columns = list(floor), rows.columns
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)))
-    middle = rows.groupBy("grp").agg(*[F.percentile_approx(d, 0.5).alias(f"m_{i}") for i, d in enumerate(dims)])
+def _factored(estimate: DataFrame, dims: list[str], keys: list[str], low: list[Column], label: str) -> DataFrame:
+    """Estimates (means ``m_i``, covariances ``c_i_j``) with floors, Cholesky factors and the logarithm ``det`` of the determinant."""
+    n = len(dims)
+    estimate = estimate.withColumns({f"c_{i}_{i}": F.greatest(F.col(f"c_{i}_{i}"), low[i]) for i in range(n)})
+    factor, _ = _distance(dims)
+    for name, value in factor.items():
+        estimate = estimate.withColumn(name, value)
+    det = sum((2 * F.log(F.col(f"l_{i}_{i}")) for i in range(n)), F.lit(0.0))
+    return staged(estimate.withColumn("det", det).select(*keys, *[f"m_{i}" for i in range(n)], *factor, "det"), label)
+
+
+def _concentrated(rows: DataFrame, estimate: DataFrame, dims: list[str], keys: list[str]) -> DataFrame:
+    """Means and covariances of the ``HALF`` share of each group's rows nearest to its estimate."""
+    far = _with_distance(rows, estimate, dims, keys)
+    near = far.groupBy(*keys).agg(F.percentile_approx("d2", HALF).alias("bar"))
+    moments = [F.avg(d).alias(f"m_{i}") for i, d in enumerate(dims)]
+    moments += [F.covar_pop(a, b).alias(f"c_{i}_{i + j}") for i, a in enumerate(dims) for j, b in enumerate(dims[i:])]
+    return far.join(_per_salt(near), [*keys, "salt"]).filter("d2 <= bar").groupBy(*keys).agg(*moments)
+
+
+def _starts(rows: DataFrame, dims: list[str], low: list[Column], label: str) -> DataFrame:
+    """(grp, start, means, covariances): medians, with three shapes of covariance around them."""
+    n = len(dims)
+    middle = staged(rows.groupBy("grp").agg(*[F.percentile_approx(d, 0.5).alias(f"m_{i}") for i, d in enumerate(dims)]), f"{label}-middle")
     spread = rows.join(_per_salt(middle), ["grp", "salt"]).groupBy("grp").agg(
-        *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(len(dims))],
+        *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(n)],
         *[(F.percentile_approx(F.abs(F.col(d) - F.col(f"m_{i}")), 0.5) * 1.4826).alias(f"s_{i}") for i, d in enumerate(dims)],
     )
+    spread = staged(spread.withColumns({f"s_{i}": F.greatest(F.col(f"s_{i}"), F.sqrt(low[i])) for i in range(n)}), f"{label}-spread")
+    scaled = rows.join(_per_salt(spread), ["grp", "salt"]).withColumns({f"z_{i}": (F.col(d) - F.col(f"m_{i}")) / F.col(f"s_{i}") for i, d in enumerate(dims)})
+    size = F.sqrt(sum((F.col(f"z_{i}") ** 2 for i in range(n)), F.lit(1e-12)))
+    scaled = scaled.withColumns({f"u_{i}": F.col(f"z_{i}") / size for i in range(n)})
+    pairs = [(i, j) for i in range(n) for j in range(i + 1, n)]
+
+    def correlation(a: Column, b: Column) -> Column:  # none of a constant statistic
+        return F.coalesce(F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)), F.lit(0.0))
+
+    shapes = [correlation(F.tanh(f"z_{i}"), F.tanh(f"z_{j}")).alias(f"a_{i}_{j}") for i, j in pairs]
+    shapes += [correlation(F.col(f"u_{i}"), F.col(f"u_{j}")).alias(f"b_{i}_{j}") for i, j in pairs]
+    shapes = spread.join(scaled.groupBy("grp").agg(*shapes), "grp").withColumn("start", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+
+    def covariance(i: int, j: int) -> Column:
+        if i == j:
+            return F.col(f"s_{i}") ** 2
+        share = F.when(F.col("start") == 1, F.col(f"a_{i}_{j}")).when(F.col("start") == 2, F.col(f"b_{i}_{j}"))
+        return F.coalesce(share, F.lit(0.0)) * F.col(f"s_{i}") * F.col(f"s_{j}")
+
+    return shapes.select("grp", "start", *[f"m_{i}" for i in range(n)], *[covariance(i, j).alias(f"c_{i}_{j}") for i in range(n) for j in range(i, n)])
+
+
+def mcd_estimates(rows: DataFrame, floor: dict[str, float], label: str = "quality") -> DataFrame:
+    """(grp, means, Cholesky factors, det) of the least determinant found, of staged ``rows`` (grp, salt, the columns of ``floor``)."""
+    dims = list(floor)
     low = [F.lit(floor[d] ** 2) for d in dims]
-    estimate = spread.withColumns(
-        {f"c_{i}_{j}": F.greatest(F.col(f"s_{i}") ** 2, low[i]) if i == j else F.lit(0.0) for i in range(len(dims)) for j in range(i, len(dims))}
-    )
-    for step in range(STEPS):
-        far = staged(_with_distance(rows, estimate, dims), f"{label}-step{step}")
-        near = far.groupBy("grp").agg(F.percentile_approx("d2", HALF).alias("bar"))
-        moments = [F.avg(d).alias(f"m_{i}") for i, d in enumerate(dims)]
-        moments += [F.covar_pop(a, b).alias(f"c_{i}_{i + j}") for i, a in enumerate(dims) for j, b in enumerate(dims[i:])]
-        fitted = far.join(_per_salt(near), ["grp", "salt"]).filter("d2 <= bar").groupBy("grp").agg(*moments)
-        estimate = fitted.withColumns({f"c_{i}_{i}": F.greatest(F.col(f"c_{i}_{i}"), low[i]) for i in range(len(dims))})
-    far = staged(_with_distance(rows, estimate, dims), f"{label}-far")
-    scale = far.groupBy("grp").agg((F.percentile_approx("d2", 0.5) / CHI2_MEDIAN[len(dims)]).alias("scale"))
+    rows = rows.select("grp", "salt", *dims)
+    keys = ["grp", "start"]
+    tried = _factored(_starts(rows, dims, low, label), dims, keys, low, f"{label}-starts")
+    each = rows.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    for step in range(FIRST):
+        tried = _factored(_concentrated(each, tried, dims, keys), dims, keys, low, f"{label}-first{step}")
+    numbers = [c for c in tried.columns if c not in keys]
+    least = lambda df: df.groupBy("grp").agg(F.min(F.struct("det", *[c for c in numbers if c != "det"])).alias("x")).select("grp", "x.*")
+    best = staged(least(tried), f"{label}-best")
+    while True:
+        after = _factored(_concentrated(rows, best, dims, ["grp"]), dims, ["grp"], low, f"{label}-step")
+        falling = after.join(best.select("grp", F.col("det").alias("before")), "grp").filter(F.col("det") < F.col("before") + math.log1p(-FALL)).limit(1).count()
+        best = staged(least(best.unionByName(after)), f"{label}-best")
+        if not falling:
+            return best
+
+
+def mcd_distances(rows: DataFrame, floor: dict[str, float], label: str = "quality") -> DataFrame:
+    """``rows`` (with ``grp`` and the columns named in ``floor``) with robust squared distances ``d2``."""
+    dims, columns = list(floor), rows.columns
+    rows = staged(rows.withColumn("salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS))), f"{label}-rows")
+    far = staged(_with_distance(rows, mcd_estimates(rows, floor, label), dims, ["grp"]), f"{label}-far")
+    scale = far.groupBy("grp").agg((F.percentile_approx("d2", 0.5) / _chi2(0.5, len(dims))).alias("scale"))
     # floors may make the middle distance small; they are not to be scaled away
     far = far.join(_per_salt(scale), ["grp", "salt"])
     return far.withColumn("d2", F.col("d2") / F.greatest("scale", F.lit(1.0))).select(*columns, "d2")
@@ -160,7 +233,7 @@ def quality_verdicts(docs: DataFrame, label: str = "quality") -> DataFrame:
     far = mcd_distances(judged, FLOOR, label)
     enough = sizes.groupBy("grp").agg((F.sum("n") >= LEAST).alias("enough"))
     far = far.withColumn("salt", F.pmod(F.xxhash64("doc_id", "d2"), F.lit(SALTS)))
-    far = far.join(_per_salt(enough), ["grp", "salt"]).withColumn("kept", ~F.col("enough") | (F.col("d2") <= CUT))
+    far = far.join(_per_salt(enough), ["grp", "salt"]).withColumn("kept", ~F.col("enough") | (F.col("d2") <= _chi2(TAIL, len(FLOOR))))
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2"]
     gone = stats.filter("base_failed").withColumns({"kept": F.lit(False), "d2": F.lit(None).cast("double")})
     return far.select(*out).unionByName(gone.select(*out))

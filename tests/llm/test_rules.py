@@ -1,13 +1,15 @@
 """op2, op5 and op7: contracts against plain Python, verdicts on planted cases."""
 
+import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from formlake.llm.html_extract import _tuples, extract, main_text, nesting
-from formlake.llm.quality_rules import quality_verdicts
+from formlake.llm.quality_rules import FLOOR, HALF, TAIL, _chi2, mcd_distances, quality_verdicts
 from formlake.llm.queries import URL_RULES
 from formlake.llm.url_filter import MAX_RULES, judge_urls, rule_of
 from tests.conftest import SF_SMALL
@@ -216,3 +218,71 @@ def test_copies_are_no_template_and_small_hosts_share_one(spark):
     for k, _, html in rows:
         if k >= 200:
             assert got[k] == re.search("qb'><p>(.*?)</p>", html)[1]
+
+
+def _numpy_mcd(x, floor, share):
+    """(the estimator in numpy: its log determinant and distances; the least log determinant of 300 random starts)."""
+    r, (n, d) = np.random.default_rng(1), x.shape
+    h, diag = math.ceil(share * n), np.diag_indices(d)
+
+    def fit(part):
+        mean, cov = part.mean(0), np.cov(part.T, bias=True)
+        cov[diag] = np.maximum(cov[diag], np.square(floor))
+        return mean, cov
+
+    def distance(mean, cov):
+        return np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+
+    def step(estimate):
+        d2 = distance(*estimate)
+        return fit(x[d2 <= np.sort(d2)[h - 1]])
+
+    def det(estimate):
+        return np.linalg.slogdet(estimate[1])[1]
+
+    def to_the_end(estimate, fall):
+        while True:
+            after = step(estimate)
+            falls = det(after) < det(estimate) - fall
+            estimate = min(estimate, after, key=det)
+            if not falls:
+                return estimate
+
+    middle = lambda v: np.sort(v)[math.ceil(len(v) / 2) - 1]
+    m = np.array([middle(v) for v in x.T])
+    s = np.maximum([middle(abs(v - c)) * 1.4826 for v, c in zip(x.T, m)], floor)
+    z = (x - m) / s
+    starts = [(m, np.diag(s**2))]
+    for w in (np.tanh(z), z / np.linalg.norm(z, axis=1)[:, None]):
+        spread = np.outer(w.std(0), w.std(0))
+        shape = np.divide(np.cov(w.T, bias=True), spread, out=np.zeros((d, d)), where=spread > 0)
+        shape[diag] = 1
+        starts.append((m, shape * np.outer(s, s)))
+    best = to_the_end(min((step(step(e)) for e in starts), key=det), 1e-3)
+    least = min(det(to_the_end(step(fit(x[r.choice(n, d + 2, replace=False)])), 0)) for _ in range(300))
+    return det(best), distance(*best), least
+
+
+def test_distances_are_those_of_the_least_determinant(spark):
+    r = np.random.default_rng(3)
+    names = list(FLOOR)
+    groups = {}
+    for g, (n, bad) in {"plain": (150, 0), "fifth": (200, 40), "tight": (120, 20)}.items():
+        x = r.normal(size=(n, 5)) @ r.normal(size=(5, 5))
+        x[:bad] = r.normal(size=(bad, 5)) * (0.05 if g == "tight" else 1.0) + 12
+        groups[g] = x
+    constant = r.normal(size=(80, 5))
+    constant[:, 2] = 0.5
+    groups["constant"] = constant
+    rows = [(g, k, *map(float, v)) for g, x in groups.items() for k, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "grp string, k int, " + ", ".join(f"{c} double" for c in names))
+    got = {(x.grp, x.k): x.d2 for x in mcd_distances(df, FLOOR).collect()}
+    assert len(got) == len(rows)
+    for g, x in groups.items():
+        det, d2, least = _numpy_mcd(x, np.array([FLOOR[c] for c in names]), HALF)
+        ours = np.array([got[g, k] for k in range(len(x))])
+        want = d2 / max(1.0, np.sort(d2)[math.ceil(len(x) / 2) - 1] / _chi2(0.5, 5))
+        assert np.allclose(ours, want, rtol=1e-6, atol=1e-6), g
+        assert det < least + 0.05, g  # few random starts come this near
+    assert min(got["fifth", k] for k in range(40)) > _chi2(TAIL, 5)
+    assert abs(_chi2(0.5, 5) - 4.3515) < 1e-3 and abs(_chi2(0.05, 2) - 5.9915) < 1e-3
