@@ -12,8 +12,9 @@ distance a normal sample exceeds with probability ``TAIL`` are rejected. Varianc
 constant in a group doesn't make its covariance singular.
 
 Each step is an aggregate per group (sums of products and quantile sketches, merged from
-partial ones) and a join of the group's few numbers to narrow rows. Rows are joined by group and one of ``SALTS`` salts (the
-group's numbers are repeated per salt), so a source holding a third of all rows is spread,
+partial ones) and a join of the group's few numbers to narrow rows. The numbers of up to ``FEW`` groups, counted in the
+written table, are broadcast; those of more are joined by group and one of ``SALTS`` salts (the
+group's numbers are repeated per salt), so a source holding a third of all rows is spread either way
 and the next aggregate ships one partial per task. Groups under ``LEAST`` rows pool with others of their language, then of all
 languages; a pool that is still too small rejects nothing.
 
@@ -37,6 +38,7 @@ FIRST = 2
 FALL = 1e-3
 LEAST = 60
 SALTS = 32
+FEW = 10_000  # groups of under 300 bytes
 TAIL = 1e-9
 # standard deviations of the transformed statistics are taken to be this much at least
 FLOOR = {"x_length": 0.03, "x_symbols": 0.04, "x_capitals": 0.04, "x_repeats": 0.12, "x_lines": 0.12}
@@ -106,6 +108,11 @@ def _per_salt(groups: DataFrame) -> DataFrame:
     return groups.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
 
 
+def _joined(rows: DataFrame, groups: DataFrame, keys: list[str], few: bool) -> DataFrame:
+    """``rows`` (with a salt) with the numbers of their group: broadcast if ``few``, which a count of the groups says; else spread by salt."""
+    return rows.join(F.broadcast(groups), keys) if few else rows.join(_per_salt(groups), [*keys, "salt"])
+
+
 def _chi2(tail: float, dims: int) -> float:
     """The squared distance that a normal sample of ``dims`` dimensions exceeds with probability ``tail``."""
 
@@ -122,10 +129,10 @@ def _chi2(tail: float, dims: int) -> float:
     return low
 
 
-def _with_distance(rows: DataFrame, estimate: DataFrame, dims: list[str], keys: list[str]) -> DataFrame:
+def _with_distance(rows: DataFrame, estimate: DataFrame, dims: list[str], keys: list[str], few: bool) -> DataFrame:
     """``rows`` with their squared distance d2 under the estimate of their group."""
     factor, total = _distance(dims)
-    out = rows.join(_per_salt(estimate.select(*keys, *[f"m_{i}" for i in range(len(dims))], *factor)), [*keys, "salt"])
+    out = _joined(rows, estimate.select(*keys, *[f"m_{i}" for i in range(len(dims))], *factor), keys, few)
     for i, dim in enumerate(dims):
         z = F.col(dim) - F.col(f"m_{i}")
         for k in range(i):
@@ -134,7 +141,7 @@ def _with_distance(rows: DataFrame, estimate: DataFrame, dims: list[str], keys:
     return out.withColumn("d2", total).select(*rows.columns, "d2")
 
 
-def _factored(estimate: DataFrame, dims: list[str], keys: list[str], low: list[Column], label: str) -> DataFrame:
+def _factored(estimate: DataFrame, dims: list[str], keys: list[str], low: list[Column]) -> DataFrame:
     """Estimates (means ``m_i``, covariances ``c_i_j``) with floors, Cholesky factors and the logarithm ``det`` of the determinant."""
     n = len(dims)
     estimate = estimate.withColumns({f"c_{i}_{i}": F.greatest(F.col(f"c_{i}_{i}"), low[i]) for i in range(n)})
@@ -142,28 +149,27 @@ def _factored(estimate: DataFrame, dims: list[str], keys: list[str], low: list[C
     for name, value in factor.items():
         estimate = estimate.withColumn(name, value)
     det = sum((2 * F.log(F.col(f"l_{i}_{i}")) for i in range(n)), F.lit(0.0))
-    return staged(estimate.withColumn("det", det).select(*keys, *[f"m_{i}" for i in range(n)], *factor, "det"), label)
+    return estimate.withColumn("det", det).select(*keys, *[f"m_{i}" for i in range(n)], *factor, "det")
 
 
-def _concentrated(rows: DataFrame, estimate: DataFrame, dims: list[str], keys: list[str]) -> DataFrame:
+def _concentrated(rows: DataFrame, estimate: DataFrame, dims: list[str], keys: list[str], few: bool, label: str) -> DataFrame:
     """Means and covariances of the ``HALF`` share of each group's rows nearest to its estimate."""
-    far = _with_distance(rows, estimate, dims, keys)
-    near = far.groupBy(*keys).agg(F.percentile_approx("d2", HALF).alias("bar"))
+    far = _with_distance(rows, estimate, dims, keys, few)
+    near = staged(far.groupBy(*keys).agg(F.percentile_approx("d2", HALF).alias("bar")), f"{label}-near")
     moments = [F.avg(d).alias(f"m_{i}") for i, d in enumerate(dims)]
     moments += [F.covar_pop(a, b).alias(f"c_{i}_{i + j}") for i, a in enumerate(dims) for j, b in enumerate(dims[i:])]
-    return far.join(_per_salt(near), [*keys, "salt"]).filter("d2 <= bar").groupBy(*keys).agg(*moments)
+    return _joined(far, near, keys, few).filter("d2 <= bar").groupBy(*keys).agg(*moments)
 
 
-def _starts(rows: DataFrame, dims: list[str], low: list[Column], label: str) -> DataFrame:
-    """(grp, start, means, covariances): medians, with three shapes of covariance around them."""
+def _starts(rows: DataFrame, middle: DataFrame, dims: list[str], low: list[Column], few: bool, label: str) -> DataFrame:
+    """(grp, start, means, covariances): medians ``middle``, with three shapes of covariance around them."""
     n = len(dims)
-    middle = staged(rows.groupBy("grp").agg(*[F.percentile_approx(d, 0.5).alias(f"m_{i}") for i, d in enumerate(dims)]), f"{label}-middle")
-    spread = rows.join(_per_salt(middle), ["grp", "salt"]).groupBy("grp").agg(
+    spread = _joined(rows, middle, ["grp"], few).groupBy("grp").agg(
         *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(n)],
         *[(F.percentile_approx(F.abs(F.col(d) - F.col(f"m_{i}")), 0.5) * 1.4826).alias(f"s_{i}") for i, d in enumerate(dims)],
     )
     spread = staged(spread.withColumns({f"s_{i}": F.greatest(F.col(f"s_{i}"), F.sqrt(low[i])) for i in range(n)}), f"{label}-spread")
-    scaled = rows.join(_per_salt(spread), ["grp", "salt"]).withColumns({f"z_{i}": (F.col(d) - F.col(f"m_{i}")) / F.col(f"s_{i}") for i, d in enumerate(dims)})
+    scaled = _joined(rows, spread, ["grp"], few).withColumns({f"z_{i}": (F.col(d) - F.col(f"m_{i}")) / F.col(f"s_{i}") for i, d in enumerate(dims)})
     size = F.sqrt(sum((F.col(f"z_{i}") ** 2 for i in range(n)), F.lit(1e-12)))
     scaled = scaled.withColumns({f"u_{i}": F.col(f"z_{i}") / size for i in range(n)})
     pairs = [(i, j) for i in range(n) for j in range(i + 1, n)]
@@ -190,29 +196,34 @@ def mcd_estimates(rows: DataFrame, floor: dict[str, float], label: str = "qualit
     low = [F.lit(floor[d] ** 2) for d in dims]
     rows = rows.select("grp", "salt", *dims)
     keys = ["grp", "start"]
-    tried = _factored(_starts(rows, dims, low, label), dims, keys, low, f"{label}-starts")
+    middle = staged(rows.groupBy("grp").agg(*[F.percentile_approx(d, 0.5).alias(f"m_{i}") for i, d in enumerate(dims)]), f"{label}-middle")
+    few = middle.count() <= FEW
+    tried = staged(_factored(_starts(rows, middle, dims, low, few, label), dims, keys, low), f"{label}-starts")
     each = rows.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
     for step in range(FIRST):
-        tried = _factored(_concentrated(each, tried, dims, keys), dims, keys, low, f"{label}-first{step}")
-    numbers = [c for c in tried.columns if c not in keys]
-    least = lambda df: df.groupBy("grp").agg(F.min(F.struct("det", *[c for c in numbers if c != "det"])).alias("x")).select("grp", "x.*")
-    best = staged(least(tried), f"{label}-best")
+        tried = staged(_factored(_concentrated(each, tried, dims, keys, few, label), dims, keys, low), f"{label}-first{step}")
+    numbers = ["det", *[c for c in tried.columns if c not in [*keys, "det"]]]
+    best = staged(tried.groupBy("grp").agg(F.min(F.struct(*numbers)).alias("x")).select("grp", "x.*"), f"{label}-best")
     while True:
-        after = _factored(_concentrated(rows, best, dims, ["grp"]), dims, ["grp"], low, f"{label}-step")
-        falling = after.join(best.select("grp", F.col("det").alias("before")), "grp").filter(F.col("det") < F.col("before") + math.log1p(-FALL)).limit(1).count()
-        best = staged(least(best.unionByName(after)), f"{label}-best")
-        if not falling:
-            return best
+        after = _factored(_concentrated(rows, best, dims, ["grp"], few, label), dims, ["grp"], low)
+        # every group has a nearest share, so every group has a new estimate
+        both = after.select("grp", F.struct(*numbers).alias("new")).join(best.select("grp", F.struct(*numbers).alias("old")), "grp")
+        falls = F.col("new.det") < F.col("old.det") + math.log1p(-FALL)
+        best = staged(both.select("grp", F.least("old", "new").alias("x"), falls.alias("falls")).select("grp", "x.*", "falls"), f"{label}-best")
+        if not best.filter("falls").limit(1).count():
+            return best.drop("falls")
 
 
 def mcd_distances(rows: DataFrame, floor: dict[str, float], label: str = "quality") -> DataFrame:
     """``rows`` (with ``grp`` and the columns named in ``floor``) with robust squared distances ``d2``."""
     dims, columns = list(floor), rows.columns
     rows = staged(rows.withColumn("salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS))), f"{label}-rows")
-    far = staged(_with_distance(rows, mcd_estimates(rows, floor, label), dims, ["grp"]), f"{label}-far")
-    scale = far.groupBy("grp").agg((F.percentile_approx("d2", 0.5) / _chi2(0.5, len(dims))).alias("scale"))
+    estimates = mcd_estimates(rows, floor, label)
+    few = estimates.count() <= FEW
+    far = staged(_with_distance(rows, estimates, dims, ["grp"], few), f"{label}-far")
+    scale = staged(far.groupBy("grp").agg((F.percentile_approx("d2", 0.5) / _chi2(0.5, len(dims))).alias("scale")), f"{label}-scale")
     # floors may make the middle distance small; they are not to be scaled away
-    far = far.join(_per_salt(scale), ["grp", "salt"])
+    far = _joined(far, scale, ["grp"], few)
     return far.withColumn("d2", F.col("d2") / F.greatest("scale", F.lit(1.0))).select(*columns, "d2")
 
 
@@ -229,11 +240,12 @@ def quality_verdicts(docs: DataFrame, label: str = "quality") -> DataFrame:
     sizes = sizes.withColumn("grp", F.when(F.col("own"), F.to_json(F.array("a", "b"))).when(pooled >= LEAST, F.to_json(F.array("a"))).otherwise("all"))
     sizes = staged(sizes.select("a", "b", "n", "grp"), f"{label}-groups")
     judged = stats.filter("not base_failed").withColumns({"a": lang, "b": source, "salt": F.pmod(F.xxhash64("doc_id", "x_length"), F.lit(SALTS))})
-    judged = judged.join(_per_salt(sizes.select("a", "b", "grp")), ["a", "b", "salt"]).drop("a", "b", "salt")
+    few = sizes.count() <= FEW
+    judged = _joined(judged, sizes.select("a", "b", "grp"), ["a", "b"], few).drop("a", "b", "salt")
     far = mcd_distances(judged, FLOOR, label)
-    enough = sizes.groupBy("grp").agg((F.sum("n") >= LEAST).alias("enough"))
+    enough = staged(sizes.groupBy("grp").agg((F.sum("n") >= LEAST).alias("enough")), f"{label}-enough")
     far = far.withColumn("salt", F.pmod(F.xxhash64("doc_id", "d2"), F.lit(SALTS)))
-    far = far.join(_per_salt(enough), ["grp", "salt"]).withColumn("kept", ~F.col("enough") | (F.col("d2") <= _chi2(TAIL, len(FLOOR))))
+    far = _joined(far, enough, ["grp"], few).withColumn("kept", ~F.col("enough") | (F.col("d2") <= _chi2(TAIL, len(FLOOR))))
     out = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2"]
     gone = stats.filter("base_failed").withColumns({"kept": F.lit(False), "d2": F.lit(None).cast("double")})
     return far.select(*out).unionByName(gone.select(*out))
