@@ -8,7 +8,9 @@ part turns negative the step goes back on it alone. The prior is the toxic share
 training rows.
 
 The fit uses a bounded sample: about ``POSITIVE`` toxic and ``UNLABELLED`` other rows, chosen by a
-hash; features are at most ``FEATURES`` words overrepresented in toxic texts, found in ``LEAST`` sampled texts or more. Scoring covers every
+hash and written. Features are the ``FEATURES`` words most overrepresented in toxic texts (by likelihood ratio, equal ones by hash), found in
+``LEAST`` sampled texts or more; Spark counts the texts of every word. The driver gathers the chosen words and, per sampled
+text, the numbers of those it has: at most ``FEATURES`` two-byte numbers a text, however long texts are. Scoring covers every
 row and whole texts: tasks hold the model (at most ``FEATURES`` hashed words) and read texts once.
 
 Words are runs of letters, digits and bytes over 127, A-Z lower-cased; each counts once a text.
@@ -23,16 +25,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formlake.llm.common import hash_sample
-from formlake.llm.textkit import _LOWER, Rolling, chunks, column_bytes, mix, signed, word_spans
+from formlake.llm.common import delete_staged, hash_sample, staged
+from formlake.llm.textkit import _LOWER, Rolling, chunks, column_bytes, mix, signed, small_batches, word_spans
 
 POSITIVE = 4_000
 UNLABELLED = 12_000
 LEAST = 8
-FEATURES = 3_000
+FEATURES = 3_000  # under 32,768
 GAIN = 10.0  # a smaller likelihood gain of a feature is taken for chance
 STEMS = (5, 6, 7)  # bytes
 STEPS = 150
@@ -55,27 +58,61 @@ def word_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int,
         yield i, j, np.concatenate(hashes), np.concatenate(docs)
 
 
-def _features(rows: DataFrame):
-    """(offsets, word hashes) of the distinct words of each sampled text, gathered for the fit."""
+def _word_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(toxic of each text, word hashes, text of each) of the distinct words of texts, by chunk of texts (toxic, text)."""
+    for batch in small_batches(batches, "text"):
+        toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
+        for i, j, hashes, doc in word_sets(*column_bytes(batch.column("text"))):
+            order = np.lexsort((hashes, doc))
+            hashes, doc = hashes[order], doc[order]
+            keep = np.ones(len(doc), dtype=bool)
+            keep[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
+            yield toxic[i:j], hashes[keep], doc[keep] - i
+
+
+def word_gains(sample: DataFrame) -> DataFrame:
+    """(word, gain) of the words of ``sample`` (toxic boolean, text) that are features by themselves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for toxic, hashes, doc in _word_texts(batches):
+            for kind in (True, False):
+                own = toxic[doc] == kind
+                words, n = np.unique(hashes[own], return_counts=True)
+                # texts with a word are counted under no word
+                arrays = [pa.array([None, *signed(words).tolist()], pa.int64()), pa.array(np.append(len(np.unique(doc[own])), n))]
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * (len(words) + 1)), *arrays], names=["toxic", "word", "n"])
+
+    counts = sample.mapInArrow(run, "toxic boolean, word long, n long")
+    both = lambda of: [F.sum(F.when(F.col("toxic") == kind, F.col("n")).otherwise(0)).alias(name) for kind, name in zip((True, False), of)]
+    counts = staged(counts.groupBy("word").agg(*both(("here", "there"))), "toxicity-words")
+    all_here, all_there = counts.filter("word is null").select("here", "there").first() or (0, 0)
+    found = counts.filter((F.col("here") + F.col("there") >= LEAST) & (F.col("here") >= 2) & F.col("word").isNotNull())
+    found = found.filter(F.col("here") * all_there >= F.col("there") * all_here)
+    share = (F.col("here") + F.col("there")) / max(1, all_here + all_there)
+    term = lambda n, of: F.col(n) * F.log(F.greatest(F.col(n), F.lit(1)) / (share * max(1, of)))
+    return found.select("word", (term("here", all_here) + term("there", all_there)).alias("gain")).filter(F.col("gain") >= GAIN)
+
+
+def chosen_words(sample: DataFrame, features: int = FEATURES) -> np.ndarray:
+    """The sorted hashes of the at most ``features`` words of the greatest gain."""
+    rows = word_gains(sample).orderBy(F.desc("gain"), "word").limit(features).select("word").collect()
+    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+
+
+def coded(sample: DataFrame, words: np.ndarray) -> DataFrame:
+    """(toxic, codes: places in ``words`` of the words of the text) of the texts of ``sample`` with a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, hashes, doc in word_sets(*column_bytes(batch.column("text"))):
-                order = np.lexsort((hashes, doc))
-                hashes, doc = hashes[order], doc[order]
-                keep = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])]) if len(doc) else np.zeros(0, bool)
-                hashes, doc = hashes[keep], doc[keep]
-                first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, int)
-                offsets = np.append(first, len(doc)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(hashes)))], names=["words"])
-
-    found = rows.select("text").mapInArrow(run, "words array<long>").toArrow().column("words").combine_chunks()
-    found = found.chunk(0) if isinstance(found, pa.ChunkedArray) and found.num_chunks else found
-    if not len(found):
-        return np.zeros(1, np.int64), np.zeros(0, np.uint64)
-    words = found.flatten().to_numpy().view(np.uint64)
-    sizes = np.diff(np.asarray(found.offsets))
-    return np.concatenate([[0], np.cumsum(sizes)]), words
+        for toxic, hashes, doc in _word_texts(batches):
+            at = np.minimum(np.searchsorted(words, hashes), max(0, len(words) - 1))
+            hit = words[at] == hashes if len(words) else np.zeros(len(hashes), bool)
+            some = np.unique(doc)
+            sizes = np.bincount(doc[hit], minlength=len(toxic))[some]
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            codes = pa.ListArray.from_arrays(pa.array(offsets), pa.array(at[hit].astype(np.int16)))
+            yield pa.RecordBatch.from_arrays([pa.array(toxic[some].astype(bool)), codes], names=["toxic", "codes"])
+
+    return sample.mapInArrow(run, "toxic boolean, codes array<short>")
 
 
 class Model:
@@ -96,24 +133,23 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit(positive, unlabelled, prior: float, steps: int = STEPS, rate: float = 0.05, decay: float = 2e-4) -> Model:
-    """Full-batch Adam on the non-negative risk with logistic loss."""
-    (po, pw), (uo, uw) = positive, unlabelled
+def _gathered(found: pa.Table, toxic: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets of texts, their codes) of one kind."""
+    codes = found.filter(pa.compute.equal(found.column("toxic"), toxic)).column("codes").combine_chunks()
+    codes = pa.concat_arrays(codes.chunks) if isinstance(codes, pa.ChunkedArray) and codes.num_chunks else codes
+    if not len(codes):
+        return np.zeros(1, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([[0], np.cumsum(codes.value_lengths().to_numpy())]), codes.flatten().to_numpy().astype(np.int64)
+
+
+def fit(words: np.ndarray, positive, unlabelled, prior: float, steps: int = STEPS, rate: float = 0.05, decay: float = 2e-4) -> Model:
+    """Full-batch Adam on the non-negative risk with logistic loss; both kinds are (offsets of texts, places in ``words``)."""
+    (po, pc), (uo, uc) = positive, unlabelled
     if len(po) < 2 or len(uo) < 2:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -500.0 if len(po) < 2 else 0.0)
-    words, code = np.unique(np.concatenate([pw, uw]), return_inverse=True)
-    # features: the words whose shares among toxic and unlabelled texts differ most (log-likelihood ratio)
-    here, there = (np.bincount(c, minlength=len(words)).astype(float) for c in (code[: len(pw)], code[len(pw) :]))
-    both = (here + there) / (len(po) + len(uo) - 2)
-    gain = here * np.log(np.maximum(here, 1) / (both * (len(po) - 1))) + there * np.log(np.maximum(there, 1) / (both * (len(uo) - 1)))
-    gain[(here + there < LEAST) | (here < 2) | (here / (len(po) - 1) < there / (len(uo) - 1))] = 0
-    bar = np.partition(gain, -FEATURES)[-FEATURES] if len(gain) > FEATURES else 0.0
-    chosen = (gain >= max(bar, GAIN)) if len(gain) else np.zeros(0, bool)
-    new = np.cumsum(chosen) - 1
-    rows = np.concatenate([np.repeat(np.arange(len(po) - 1), np.diff(po)), len(po) - 1 + np.repeat(np.arange(len(uo) - 1), np.diff(uo))])
-    use = chosen[code]
-    code, rows, words = new[code[use]], rows[use], words[chosen]
     n_p, n_u = len(po) - 1, len(uo) - 1
+    code = np.concatenate([pc, uc])
+    rows = np.concatenate([np.repeat(np.arange(n_p), np.diff(po)), n_p + np.repeat(np.arange(n_u), np.diff(uo))])
     # a word's say is measured against its rarity, and a long text's against its length
     w, b = np.zeros(len(words)), np.log(prior / (1 - prior))
     first, second, at = np.zeros(len(words) + 1), np.zeros(len(words) + 1), 0
@@ -146,13 +182,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = No
     rated = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
     prior = min(0.95, max(1e-3, rated or 0.0))
     toxic = hash_sample(known.filter("toxic = 1").select("doc_id").distinct(), POSITIVE)
-    pool = docs.select("doc_id", "text").filter(F.col("doc_id").isNotNull() & train)
+    pool = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("doc_id").isNotNull() & train)
     # the sample of toxic ids holds about POSITIVE rows, whatever the size of the tables
-    positive = _features(pool.join(F.broadcast(toxic), "doc_id", "left_semi"))
-    model = fit(positive, _features(hash_sample(pool, UNLABELLED)), prior)
+    confirmed = pool.join(F.broadcast(toxic), "doc_id", "left_semi").select(F.lit(True).alias("toxic"), "text")
+    sample = staged(confirmed.unionByName(hash_sample(pool, UNLABELLED).select(F.lit(False).alias("toxic"), "text")), "toxicity-sample")
+    words = chosen_words(sample)
+    found = coded(sample, words).toArrow()
+    delete_staged(sample)
+    model = fit(words, _gathered(found, True), _gathered(found, False), prior)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, "text"):
             score = model.scores(*column_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 

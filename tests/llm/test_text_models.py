@@ -11,7 +11,7 @@ from formlake.llm import decontaminate
 from formlake.llm.decontaminate import Segments, drop_contaminated, find_matches, normalised
 from formlake.llm.language_id import KneserNey, accept_languages, identify, learn, limits_of
 from formlake.llm.queries import op6_language_id, op8_toxicity
-from formlake.llm.toxicity import score_toxicity
+from formlake.llm.toxicity import FEATURES, GAIN, LEAST, chosen_words, coded, score_toxicity, word_gains, word_sets
 from tests.conftest import SF_MID
 from tests.llm.helpers import edited, frame, prose, rng
 
@@ -196,3 +196,48 @@ def test_toxicity_learns_and_takes_awkward_rows(spark):
     assert (got[900], got[901], got[902], got[903]) == (0, 0, 1, 0)
     assert max(x.score for x in score_toxicity(docs, labels.filter("toxic = 0")).collect()) < 1e-9
     assert score_toxicity(docs.filter(F.lit(False)), labels.filter(F.lit(False))).count() == 0
+
+
+def _word_hashes(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return {int(h) for _, _, hashes, _ in word_sets(data, np.array([0, len(data)])) for h in hashes}
+
+
+def test_toxicity_features_equal_brute_force_and_long_texts_stay_bounded(spark):
+    rng = np.random.default_rng(5)
+    bad, common = [f"insult{k}" for k in range(40)], [f"word{k}" for k in range(300)]
+    rows = []
+    for k in range(240):
+        toxic = k % 3 == 0
+        own = rng.choice(common, 30).tolist() + rng.choice(bad, 6 if toxic else int(rng.integers(0, 2))).tolist()
+        rows.append((toxic, " ".join(own)))
+    # thousands of words of their own: none is a feature
+    rows += [(True, " ".join(f"own{k}" for k in range(60_000))), (False, " ".join(f"other{k}" for k in range(60_000))), (True, None), (False, ""), (False, "--")]
+    rows += rows[:1] * 2
+    sample = spark.createDataFrame(rows, "toxic boolean, text string")
+    sets = [(toxic, _word_hashes(text or "")) for toxic, text in rows]
+    sets = [(toxic, words) for toxic, words in sets if words]
+    sizes = {kind: sum(toxic == kind for toxic, _ in sets) for kind in (True, False)}
+    counts = {True: {}, False: {}}
+    for toxic, words in sets:
+        for w in words:
+            counts[toxic][w] = counts[toxic].get(w, 0) + 1
+    want = {}
+    for w, here in counts[True].items():
+        there = counts[False].get(w, 0)
+        if here + there < LEAST or here < 2 or here * sizes[False] < there * sizes[True]:
+            continue
+        both = (here + there) / (sizes[True] + sizes[False])
+        gain = here * np.log(here / (both * sizes[True])) + there * np.log(max(there, 1) / (both * sizes[False]))
+        if gain >= GAIN:
+            want[w] = gain
+    got = {x.word % 2**64: x.gain for x in word_gains(sample).collect()}
+    assert want and got.keys() == want.keys() and all(abs(got[w] - want[w]) < 1e-9 for w in want)
+    words = chosen_words(sample)
+    assert words.tolist() == sorted(want) and len(words) <= FEATURES
+    assert set(chosen_words(sample, 3).tolist()) <= set(want)
+    places = {w: i for i, w in enumerate(words.tolist())}
+    seen = sorted((x.toxic, sorted(x.codes)) for x in coded(sample, words).collect())
+    assert seen == sorted((toxic, sorted(places[w] for w in own if w in places)) for toxic, own in sets)
+    assert coded(sample, words[:0]).count() == len(sets)
+    assert len(chosen_words(sample.filter(F.lit(False)))) == 0
