@@ -178,7 +178,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column | None = No
     """(doc_id, score, predicted) of every row of ``docs`` (doc_id, text); learns from rows of ``docs``
     and ``labels`` (doc_id, toxic) for which ``train``, a condition on doc_id, holds."""
     train = F.lit(True) if train is None else train
-    known = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & train)
+    known = labels.select("doc_id", "toxic").filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & train).distinct()
     rated = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
     prior = min(0.95, max(1e-3, rated or 0.0))
     toxic = hash_sample(known.filter("toxic = 1").select("doc_id").distinct(), POSITIVE)

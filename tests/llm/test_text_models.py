@@ -194,6 +194,9 @@ def test_toxicity_learns_and_takes_awkward_rows(spark):
     got = {x.doc_id: x.predicted for x in rows}
     assert all(got[k] == (k % 5 == 0) for k, _ in texts)
     assert (got[900], got[901], got[902], got[903]) == (0, 0, 1, 0)
+    # repeated label rows count once
+    again = labels.unionByName(labels.filter("toxic = 1")).unionByName(labels.filter("toxic = 1"))
+    assert sorted(x.score for x in rows) == pytest.approx(sorted(x.score for x in score_toxicity(docs, again, F.col("doc_id") % 4 != 1).collect()))
     assert max(x.score for x in score_toxicity(docs, labels.filter("toxic = 0")).collect()) < 1e-9
     assert score_toxicity(docs.filter(F.lit(False)), labels.filter(F.lit(False))).count() == 0
 
