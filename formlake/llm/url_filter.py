@@ -1,7 +1,8 @@
 """URL filter: listed rules, then a tree of path templates per host.
 
 A listed rule fits its host and all subdomains where the path starts with the rule's; the longest
-wins. Urls under a rule are also the labelled examples of the method, which judges the rest:
+wins. Up to ``IN_PLAN`` rules are an expression; more are a table that the distinct (host, path) are joined with, by the
+ends of the host and the path's beginnings of the lengths that the rules of such an end have. Urls under a rule are also the labelled examples of the method, which judges the rest:
 
 1. Per host the distinct paths are walked level by level. At each node a segment with fewer than
    ``SUPPORT`` urls of its own, or one of digits only, is variable: it becomes ``*``. Any other stays a branch,
@@ -38,7 +39,7 @@ CHI2 = 9.21  # two degrees of freedom, 1 %
 PRIOR = 2.0
 DOUBT = 0.1
 PURITY = 0.85
-MAX_RULES = 1_000
+IN_PLAN = 100
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 Rule = tuple[str, str]  # ("host/path", "allow" or "block")
 
@@ -51,9 +52,7 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column, Column]:
-    """The longest rule that fits and its verdict; nulls where none does."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; the rules become part of the plan, at most {MAX_RULES}")
+    """The longest rule that fits and its verdict, as one expression over all rules; nulls where none does."""
     text, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for rule, says in sorted(rules, key=lambda r: (len(r[0]), [-ord(c) for c in r[0]])):
         name, _, rest = rule.partition("/")
@@ -62,6 +61,26 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return text, verdict
 
 
+def with_rules(urls: DataFrame, rules: Sequence[Rule], label: str = "url") -> DataFrame:
+    """``urls`` (host, path and others) with the longest rule that fits and its verdict ``says``; any number of rules."""
+    if len(rules) <= IN_PLAN:
+        rule, says = rule_of(F.col("host"), F.col("path"), rules)
+        return urls.withColumns({"rule": rule, "says": says})
+    split = [(*rule.partition("/")[::2], rule, says) for rule, says in dict(rules).items()]
+    listed = urls.sparkSession.createDataFrame([(name, f"/{rest}", rule, says) for name, rest, rule, says in split], "name string, start string, rule string, says string")
+    lengths = listed.groupBy("name").agg(F.collect_set(F.length("start")).alias("lengths"))
+    names = F.split("host", r"\.")
+    ends = F.transform(F.sequence(F.lit(1), F.size(names)), lambda i: F.array_join(F.slice(names, i, F.size(names)), "."))
+    with lookup_scope():
+        tried = urls.select("host", "path").distinct().withColumn("name", F.explode(ends))
+        tried = lookup_join(tried, lengths, ["name"], "inner").withColumn("size", F.explode("lengths")).filter(F.length("path") >= F.col("size"))
+        tried = tried.withColumn("start", F.substring("path", F.lit(1), F.col("size"))).select("host", "path", "name", "start")
+        fits = lookup_join(tried, listed, ["name", "start"], "inner")
+        first = F.min(F.struct((-F.length("rule")).alias("size"), "rule", "says")).alias("x")
+        found = staged(fits.groupBy("host", "path").agg(first).select("host", "path", "x.rule", "x.says"), f"{label}-ruled")
+    return urls.join(found, ["host", "path"], "left").select(*urls.columns, "rule", "says")
+
+
 def _counts() -> list[Column]:
     return [F.sum(c).alias(c) for c in ("n", "blocked", "allowed")]
 
@@ -117,8 +136,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], label: str = "url") -> D
     """(page_id, host, path, rule, verdict, template, purity) of every row of ``pages`` (page_id, url)."""
     host, path = url_parts(F.col("url"))
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    rule, says = rule_of(F.col("host"), F.col("path"), rules)
-    own = own.withColumns({"rule": rule, "says": says})
+    own = with_rules(own, rules, label)
     count = lambda v: F.sum((F.col("says") == v).cast("long"))
     paths = own.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.coalesce(count("block"), F.lit(0)).alias("blocked"), F.coalesce(count("allow"), F.lit(0)).alias("allowed"))
     found = path_templates(paths, label)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from formlake.llm.html_extract import _tuples, extract, main_text, nesting
 from formlake.llm.quality_rules import FLOOR, HALF, TAIL, _chi2, mcd_distances, quality_verdicts
 from formlake.llm.queries import URL_RULES
-from formlake.llm.url_filter import MAX_RULES, judge_urls, rule_of
+from formlake.llm.url_filter import CHI2, DEPTH, DOUBT, IN_PLAN, PRIOR, PURITY, SUPPORT, judge_urls
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import frame, prose, rng
 
@@ -44,8 +44,104 @@ def test_hosts_paths_and_rules(spark):
     assert Counter((x.page_id, x.host, x.path, x.rule, x.verdict if x.rule else None) for x in got) == want
     assert all(x.verdict in ("allow", "block") for x in got)
     assert judge_urls(pages.filter(F.lit(False)), URL_RULES).count() == 0
-    with pytest.raises(ValueError):
-        rule_of(F.col("host"), F.col("path"), [(f"h{k}/", "block") for k in range(MAX_RULES + 1)])
+
+
+def test_many_rules_are_joined(spark):
+    r = rng(8)
+    hosts = ["a.net", "b.a.net", "c.b.a.net", "xa.net", "net", "", "a..net", "a.net.", "É.net"]
+    paths = ["", "/", "/en", "/en/", "/en/x", "/en/x/1", "/e", "//en"]
+    rules = {f"{h}/{p}": ("block", "allow")[r.randrange(2)] for h in ("a.net", "b.a.net", "net", "et", ".net", "É.net") for p in ("", "e", "en", "en/", "en/x", "/en")}
+    rules |= {f"h{k}.org/{k}": "block" for k in range(IN_PLAN * 20)}
+    urls = [f"http://{h}{p}" for h in hosts for p in paths] * 2 + [f"http://www.h{k}.org/{k}{k}" for k in range(50)] + [None, ""]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {x.page_id: (x.rule, x.verdict) for x in judge_urls(pages, list(rules.items())).collect()}
+    assert len(got) == len(urls)
+    for k, u in enumerate(urls):
+        host, path = parts(u)
+        fit = [x for x in rules if (host == (h := x.split("/", 1)[0]) or host.endswith("." + h)) and path.startswith("/" + x.split("/", 1)[1])]
+        best = min(fit, key=lambda x: (-len(x), x), default=None)
+        assert got[k][0] == best and (best is None or got[k][1] == rules[best]), (u, got[k], best)
+
+
+def _plain_templates(paths):
+    """{(host, path): (template, purity)} of {(host, path): (n, blocked, allowed)}, walked in plain Python."""
+    where = {}
+    for host, path in paths:
+        cut = [s for s in path.split("/") if s]
+        where[host, path] = [host, cut[: DEPTH - 1] + ["/".join(cut[DEPTH - 1 :])] if len(cut) > DEPTH else cut]
+
+    def total(keys):
+        return tuple(sum(paths[k][i] for k in keys) for i in range(3))
+
+    for level in range(max((len(cut) for _, cut in where.values()), default=0)):
+        kids = {}
+        for key, (node, cut) in where.items():
+            if len(cut) > level:
+                kids.setdefault(node, {}).setdefault(cut[level], []).append(key)
+        for node, segments in kids.items():
+            units = {}
+            for segment, keys in segments.items():
+                n, bad, good = total(keys)
+                if n >= SUPPORT and not re.fullmatch("[0-9]+", segment):
+                    kind = "b" if bad == n else "a" if good == n else "none" if bad + good == 0 else "=" + segment
+                    units.setdefault(kind, []).append(segment)
+            rows = [(total([k for s in members for k in segments[s]]), sorted(members)) for members in units.values()]
+            rows.sort(key=lambda x: (x[0][1] / x[0][0], x[0][2] / x[0][0], x[1][0]))
+            sets = []
+            for i, (now, members) in enumerate(rows):
+                statistic = 0.0
+                if i:
+                    last = rows[i - 1][0]
+                    for a, b in ((now[1], last[1]), (now[2], last[2]), (now[0] - now[1] - now[2], last[0] - last[1] - last[2])):
+                        for seen, size in ((a, now[0]), (b, last[0])):
+                            expected = (a + b) * size / (now[0] + last[0])
+                            statistic += (seen - expected) ** 2 / expected if expected else 0
+                if i and statistic <= CHI2:
+                    sets[-1] += members
+                else:
+                    sets.append(list(members))
+            names = {}
+            for members in sets:
+                low, high, more = min(members), max(members), len(members) - 2
+                names |= dict.fromkeys(members, low if more < 0 else "{" + low + "|" + (f"+{more}|" if more else "") + high + "}")
+            for segment, keys in segments.items():
+                for key in keys:
+                    where[key][0] = f"{node}/{names.get(segment, '*')}"
+    sums = {}
+    for key, (node, _) in where.items():
+        sums.setdefault(node, []).append(key)
+    out = {}
+    for node, keys in sums.items():
+        n, bad, good = total(keys)
+        doubt = PRIOR + DOUBT * (n - bad - good)
+        out |= dict.fromkeys(keys, (node, (bad + doubt / 2) / (bad + good + doubt)))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_templates_and_verdicts_equal_brute_force(spark, seed):
+    r = rng(seed)
+    words = ["shop", "news", "blog", "de", "en", "img", "a", "b", "tag", "user"]
+    urls = []
+    for _ in range(1500):
+        host = ("one.org", "two.org", "sub.one.org")[r.randrange(3)]
+        steps = [r.choice(words) if r.random() < 0.7 else str(r.randrange(1000)) if r.random() < 0.6 else f"x{r.randrange(200)}" for _ in range(r.randrange(5))]
+        urls.append(f"http://{host}/" + "/".join(steps) + ("/" if r.random() < 0.1 else ""))
+    urls += ["http://one.org/" + "/".join(str(k) for k in range(DEPTH + 3))] * 3 + [None, "http://"]
+    rules = [("one.org/shop/", "block"), ("two.org/news", "block"), ("two.org/news/de", "allow"), ("sub.one.org/blog/en/", "allow"), ("one.org/x1", "block"), ("org/tag/", "block")]
+    got = judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()
+    says = {}
+    for u in urls:
+        host, path = parts(u)
+        fit = [(x, v) for x, v in rules if (host == (h := x.split("/", 1)[0]) or host.endswith("." + h)) and path.startswith("/" + x.split("/", 1)[1])]
+        says[host, path] = max(fit, key=lambda x: len(x[0]), default=(None, None))[1]
+    n = Counter(parts(u) for u in urls)
+    want = _plain_templates({k: (c, c * (says[k] == "block"), c * (says[k] == "allow")) for k, c in n.items()})
+    assert len(got) == len(urls)
+    for x in got:
+        template, purity = want[x.host, x.path]
+        assert x.template == template and abs(x.purity - purity) < 1e-12
+        assert x.verdict == (says[x.host, x.path] or ("block" if purity >= PURITY else "allow"))
 
 
 def test_templates_of_a_host(spark):
