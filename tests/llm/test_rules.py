@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from formlake.llm import quality_rules
 from formlake.llm.html_extract import _tuples, extract, main_text, nesting
 from formlake.llm.quality_rules import FLOOR, HALF, TAIL, _chi2, mcd_distances, quality_verdicts
 from formlake.llm.queries import URL_RULES
@@ -316,6 +317,16 @@ def test_copies_are_no_template_and_small_hosts_share_one(spark):
             assert got[k] == re.search("qb'><p>(.*?)</p>", html)[1]
 
 
+def test_many_groups_are_joined_by_salt(spark, monkeypatch):
+    r = rng(6)
+    docs = frame(spark, [(k, prose(r, 40 + k % 30) + (" ##" * (k % 3) if k % 2 else "")) for k in range(200)] + [(900, "#&#& " * 40), (901, None)] * 2)
+    broadcast = sorted(quality_verdicts(docs).collect(), key=str)
+    monkeypatch.setattr(quality_rules, "FEW", 0)
+    salted = sorted(quality_verdicts(docs).collect(), key=str)
+    assert len(salted) == 204 and [(x.doc_id, x.kept, x.base_failed) for x in salted] == [(x.doc_id, x.kept, x.base_failed) for x in broadcast]
+    assert [x.d2 for x in salted if x.d2 is not None] == pytest.approx([x.d2 for x in broadcast if x.d2 is not None], rel=1e-6)
+
+
 def _numpy_mcd(x, floor, share):
     """(the estimator in numpy: its log determinant and distances; the least log determinant of 300 random starts)."""
     r, (n, d) = np.random.default_rng(1), x.shape
