@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -54,10 +54,19 @@ def hash_sample(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
     return df if share == 1.0 else df.filter(F.pmod(F.xxhash64(F.lit(17), key), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
 
 
-def signature(df: DataFrame) -> tuple[int, int]:
-    """(rows, order-free checksum) of a two-column table, from partial aggregates."""
-    row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
-    return int(row[0]), int(row[1] or 0)
+ROUND_ROWS = 50_000  # rows of a written file of a round, at least
+
+
+def staged_round(df: DataFrame, label: str, rows: int | None = None) -> tuple[DataFrame, tuple[int, int]]:
+    """A two-column table, ``staged``, and its (rows, order-free checksum), observed while it is written.
+
+    ``rows`` is about how many there will be: a few rows are written by a few tasks.
+    """
+    seen = Observation(label)
+    if rows is not None:
+        df = df.coalesce(min(shuffle_tasks(df.sparkSession), 1 + rows // ROUND_ROWS))
+    out = staged(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("sum")), label)
+    return out, (int(seen.get["n"] or 0), int(seen.get["sum"] or 0))
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
@@ -70,17 +79,15 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     """
     a, b = edges.columns
     pairs = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    now = staged(pairs, f"{label}-edges")
-    before = signature(now)
+    now, before = staged_round(pairs, f"{label}-edges")
     while before[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         star = joined.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.toDF("u", "v"))
-        now = staged(star.distinct(), f"{label}-round")
-        after = signature(now)
+        now, after = staged_round(star.distinct(), f"{label}-round", before[0])
         if after == before:
             break
         before = after

@@ -137,3 +137,14 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(100, 160)] + [(500, k) for k in range(501, 600)] + [(7, 7)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "t").collect()}
     assert got == {**{k: 100 for k in range(100, 161)}, **{k: 500 for k in range(500, 600)}}
+
+
+def test_a_few_edges_are_written_by_a_few_tasks(spark):
+    import glob
+
+    from formlake.llm.common import components, shuffle_tasks, staged_round
+
+    edges = spark.range(400).selectExpr("id + 1 as u", "id - id % 7 as v").repartition(8, "u")
+    out, (rows, _) = staged_round(edges, "few", 400)
+    assert rows == 400 and shuffle_tasks(spark) > 1 and len(glob.glob(f"{out.staged_path}/part-*")) == 1
+    assert {r.component for r in components(edges, "few").collect()} == {0}
