@@ -60,7 +60,7 @@ _OTHER = frozenset(
     "sidebar menu nav navbar navigation breadcrumb breadcrumbs masthead footer comment comments disqus replies share sharing social related recommended widget login signup search pagination".split()
 )
 _OPENS_P = _BLOCK - {"p"}
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<>]*\Z|</[^a-zA-Z>][^>]*>", re.S)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'/]++|\"[^\"]*\"|'[^']*'|/(?!>))*+)(/?)>|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^<>]*\Z|</[^a-zA-Z>][^>]*>", re.S)
 _ATTR = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
 _WORD = re.compile(r"[a-z0-9]+")
 
@@ -72,11 +72,33 @@ class _Element:
         self.name, self.key, self.skip, self.main, self.head, self.link = name, key, skip, main, head, link
 
 
+_TOP = _Element("", "", False, False, False, False)
+_KEPT, _LONG = 1 << 12, 200  # entries of a cache, longest text in one
+_HASHES: dict = {}
+_MARKS: dict = {}
+_ELEMENTS: dict = {}
+
+
+def _kept(cache: dict, make: Callable, *key):
+    """``make(*key)``, kept: pages of a host share their tags and places. A full cache starts again."""
+    value = cache.get(key)
+    if value is None:
+        if len(cache) >= _KEPT:
+            cache.clear()
+        value = cache[key] = make(*key)
+    return value
+
+
 def _hash(text: str) -> int:
+    return _kept(_HASHES, _new_hash, text) if len(text) <= _LONG else _new_hash(text)
+
+
+def _new_hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def _opened(name: str, raw: str, parent: _Element | None) -> _Element:
+def _marks(name: str, raw: str) -> tuple[bool, str, frozenset[str]]:
+    """What a tag says of itself: whether its text doesn't belong to the page's, its role, and its class and id words."""
     role, words, hidden = "", [], False
     if raw:
         for key, a, b, c, bare in _ATTR.findall(raw):
@@ -89,8 +111,14 @@ def _opened(name: str, raw: str, parent: _Element | None) -> _Element:
                 hidden = hidden or "display:none" in value.replace(" ", "")
             elif bare or key == "hidden" or key == "aria-hidden" and value == "true":
                 hidden = True
-    above = parent or _Element("", "", False, False, False, False)
-    skip = above.skip or name in _SKIP or hidden or role in _ROLES or (name not in ("html", "body") and not _OTHER.isdisjoint(words))
+    skip = name in _SKIP or hidden or role in _ROLES or (name not in ("html", "body") and not _OTHER.isdisjoint(words))
+    return skip, role, frozenset(words)
+
+
+def _opened(name: str, marks: tuple[bool, str, frozenset[str]], above: _Element) -> _Element:
+    """The element of a tag in ``above``; elements never change, so equal ones may be one."""
+    own, role, words = marks
+    skip = above.skip or own
     # a header outside an article goes; of one inside only headings stay
     head = above.head or name == "header" or "header" in words and name not in _HEADING
     main = above.main or not skip and (name in ("article", "main") or role in ("main", "article"))
@@ -99,7 +127,7 @@ def _opened(name: str, raw: str, parent: _Element | None) -> _Element:
 
 def blocks(html: str) -> tuple[list[tuple[str, _Element, list[_Element], int]], list[str]]:
     """Text blocks as (text, nearest element, open elements, characters in links), and the page's tokens in order."""
-    out, tokens, stack, parts, linked = [], [], [_Element("", "", False, False, False, False)], [], 0
+    out, tokens, stack, parts, linked = [], [], [_TOP], [], 0
     owner = stack[0]
 
     def close_block() -> None:
@@ -160,7 +188,11 @@ def blocks(html: str) -> tuple[list[tuple[str, _Element, list[_Element], int]],
                     break
         if name in ("td", "th"):
             put(" ")
-        element = _opened(name, found[3], stack[-1])
+        raw = found[3] or ""
+        if len(name) + len(raw) + len(stack[-1].key) <= 4 * _LONG:
+            element = _kept(_ELEMENTS, _opened, name, _kept(_MARKS, _marks, name, raw), stack[-1])
+        else:
+            element = _opened(name, _marks(name, raw), stack[-1])
         tokens.append(element.key)
         if name in _RAW:
             stop = re.compile(rf"</{name}\s*>", re.I).search(html, at)

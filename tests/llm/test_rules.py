@@ -393,3 +393,12 @@ def test_distances_are_those_of_the_least_determinant(spark):
         assert det < least + 0.05, g  # few random starts come this near
     assert min(got["fifth", k] for k in range(40)) > _chi2(TAIL, 5)
     assert abs(_chi2(0.5, 5) - 4.3515) < 1e-3 and abs(_chi2(0.05, 2) - 5.9915) < 1e-3
+
+
+def test_equal_places_of_a_page_are_one_element():
+    from formlake.llm.html_extract import blocks
+
+    first, second, other = (b[1] for b in blocks("<ul class=x><li class=a>1</li><li class=a>2</li></ul><p>3")[0])
+    assert first is second and other is not first
+    # tags with slashes and quotes end where they did
+    assert [b[0] for b in blocks("<p a=/b/ c='x>y/'/><p d=\"/>\">1</p><br/>2<a\"b c\">3")[0]] == ["1", "23"]
