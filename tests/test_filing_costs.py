@@ -1,7 +1,10 @@
-"""What the filing queries shuffle, parse and read, beside what they return."""
+"""What the filing queries shuffle and read, beside what they return."""
 
 import datetime as dt
 
+import pytest
+
+from formlake.plans import queries
 from formlake.sources import render
 
 DAY = dt.date(2026, 1, 6)
@@ -28,3 +31,18 @@ def test_trades_are_shuffled_as_values_and_rendered_whole(spark):
     assert both.count("<nonDerivativeTransaction>") == 2 and both.count("<transactionShares>") == 1
     assert "<transactionCode>S&amp;P</transactionCode>" in both and "<issuerName>A &amp; B &lt;C&gt;</issuerName>" in both
     assert both.count("<transactionAcquiredDisposedCode>") == 1 and "<transactionDate><value>2026-01-05</value></transactionDate>" in both
+
+
+def test_run_dates_joins_the_line_items_once(spark, monkeypatch):
+    from tests.conftest import SF_SMALL
+
+    class Stop(Exception):
+        pass
+
+    def seen(raw, *args, **kw):
+        raise Stop([f.rsplit("/", 2)[-1] for f in raw.inputFiles()])
+
+    monkeypatch.setattr(queries.fx, "day_filings", seen)
+    with pytest.raises(Stop) as stop:
+        queries.q_run_dates(spark, SF_SMALL)
+    assert not {"lineitem.parquet", "orders.parquet"} & set(stop.value.args[0])  # before: joined for the counts, the days and the files
