@@ -39,7 +39,7 @@ def start_filings_stream(
     reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
-        .option("pathGlobFilter", "*.txt")
+        .option("pathGlobFilter", K.FILING_FILES)
         .option("recursiveFileLookup", True)
     )
     if max_files_per_trigger:

@@ -1,0 +1,81 @@
+"""Filings that landed gzipped: the same tables from a fraction of the disk."""
+
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from formlake import constants as K
+from formlake.plans import queries
+from formlake.plans.daily_batch import INDEX_TEXTS, run_dates
+from formlake.session import ensure_checkpoint_dir
+from formlake.sources import fixtures as fx
+from formlake.sources import render
+from formlake.sources.filings import read_filings
+from formlake.sources.landed import list_landed
+from formlake.sources.lake import table_path
+from tests.conftest import SF_SMALL
+from tests.test_daily_batch import busiest_days, lake_rows, rows
+
+
+def landed_files(root):
+    return {f: os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(table_path(root, K.TABLE_FILINGS)) for f in fs}
+
+
+def land(spark, root, days, gzipped):
+    raw = fx.raw_trades(spark, SF_SMALL).filter(F.col("filing_date").isin(days))
+    idx = fx.index_rows(spark, SF_SMALL).filter(F.col("date_filed").isin(days))
+    render.land_rendered(raw, idx, root, INDEX_TEXTS, gzipped)
+
+
+def test_gzipped_filings_give_the_tables_of_plain_ones(spark, tmp_root):
+    days, plain, zipped = busiest_days(spark, 2), f"{tmp_root}/plain", f"{tmp_root}/zipped"
+    land(spark, plain, days, False)
+    # the same texts (rendering them anew would order a filing's transactions anew)
+    shutil.copytree(table_path(plain, INDEX_TEXTS), table_path(zipped, INDEX_TEXTS))
+    texts = read_filings(spark, plain, days).select(render.day_folder(), F.concat("file_name", F.lit(".gz")).alias("file_name"), "content")
+    render.land_texts(texts, zipped)
+    for root in (plain, zipped):
+        assert run_dates(spark, root, days)["failed_days"] == {}
+    assert set(landed_files(zipped)) == {f + ".gz" for f in landed_files(plain)}
+    # one transaction a filing here; the query's filings hold about 200
+    assert sum(landed_files(zipped).values()) < 0.5 * sum(landed_files(plain).values())
+    read = [rows(read_filings(spark, root, days).drop("path")) for root in (plain, zipped)]
+    assert read[0] == read[1] and read[0]
+    listed = [[r[0].removeprefix(root) for r in list_landed(spark, root, days).sort("output_path").collect()] for root in (plain, zipped)]
+    assert listed[0] == listed[1] and all(p.endswith(".txt") for p in listed[0])
+    paths = lambda root: {t: [r.replace(root, "") for r in rs] for t, rs in lake_rows(spark, root).items()}
+    assert paths(plain) == paths(zipped)
+
+
+def test_a_cut_off_gzip_fails_its_day_only(spark, tmp_root):
+    days = busiest_days(spark, 2)
+    land(spark, tmp_root, days, True)
+    folder = os.path.join(tmp_root, K.TABLE_FILINGS, days[0].isoformat())
+    name = next(n for n in sorted(os.listdir(folder)) if n.endswith(".gz"))
+    with open(os.path.join(folder, name), "r+b") as f:
+        f.truncate(os.path.getsize(f.name) // 2)
+    report = run_dates(spark, tmp_root, days)
+    assert set(report["failed_days"]) == {days[0].isoformat()} and "parts" not in report
+    assert name.removesuffix(".gz") in report["failed_days"][days[0].isoformat()]
+
+
+def test_run_dates_lands_gzipped_and_frees_the_line_items(spark, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    def seen(spark, root, days):
+        raise Stop(root)
+
+    monkeypatch.setattr(queries, "run_dates", seen)
+    line_items = lambda: [d for d, _, _ in os.walk(ensure_checkpoint_dir(spark)) if "/line-items" in d]
+    before = line_items()
+    with pytest.raises(Stop) as stop:
+        queries.q_run_dates(spark, SF_SMALL)
+    # before: plain texts, 570 bytes a line item, and the joined line items stayed in the shared folder
+    files, items = landed_files(stop.value.args[0]), fx.raw_trades(spark, SF_SMALL).count()
+    texts = {f: n for f, n in files.items() if not f.endswith(".crc")}
+    assert texts and all(f.endswith(".txt.gz") for f in texts)
+    assert sum(texts.values()) < 100 * items
+    assert line_items() == before
