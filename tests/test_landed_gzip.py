@@ -1,5 +1,6 @@
 """Filings that landed gzipped: the same tables from a fraction of the disk."""
 
+import gzip
 import os
 import shutil
 
@@ -79,3 +80,10 @@ def test_run_dates_lands_gzipped_and_frees_the_line_items(spark, monkeypatch):
     assert texts and all(f.endswith(".txt.gz") for f in texts)
     assert sum(texts.values()) < 100 * items
     assert line_items() == before
+
+
+def test_only_names_that_end_in_gz_are_gzipped(spark, tmp_root):
+    texts = [("f", "a.txt", "plain"), ("f", "b.txt.gz", "zipped"), ("f", None, "unnamed")]
+    render.land_texts(spark.createDataFrame(texts, "folder string, file_name string, content string"), tmp_root)
+    read = {n: open(os.path.join(tmp_root, "f", n), "rb").read() for n in os.listdir(os.path.join(tmp_root, "f")) if not n.startswith(".")}
+    assert read["a.txt"] == b"plain" and read["None"] == b"unnamed" and gzip.decompress(read["b.txt.gz"]) == b"zipped"
